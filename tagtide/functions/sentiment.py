@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagtide.functions.text import WORD
+
 POSITIVE = (
     "amazing awesome beautiful best better brilliant congratulations cool delight enjoy excellent "
     "excited fantastic fun glad good great happy hope inspiring joy kind love lovely lucky nice "
@@ -29,21 +31,30 @@ def sentences(text: Column) -> Column:
 
 
 def lexicon_class(sentence: Column) -> Column:
-    """2 + positive words - negative words, kept within 0..4."""
-    words = F.split(F.lower(sentence), r"\W+")
+    """2 + positive words - negative words, kept within 0..4.
+
+    The hash-set filter leaves few words for the loop that adds them up.
+    """
+    words = F.split(F.lower(sentence), f"[^{WORD}]+")
+    known = F.filter(words, lambda word: word.isin(POSITIVE + NEGATIVE))
     balance = F.aggregate(
-        words,
+        known,
         F.lit(NEUTRAL),
-        lambda total, word: total
-        + F.when(word.isin(POSITIVE), 1).when(word.isin(NEGATIVE), -1).otherwise(0),
+        lambda total, word: total + F.when(word.isin(POSITIVE), 1).otherwise(-1),
     )
     return F.greatest(F.lit(0), F.least(F.lit(TOP_CLASS), balance))
 
 
 def mean_class(classes: Column) -> Column:
     """Whole-number mean of the sentence classes, neutral when there is none."""
-    total = F.aggregate(classes, F.lit(0), lambda total, c: total + c)
-    return F.coalesce(F.floor(F.try_divide(total, F.size(classes))).cast("int"), F.lit(NEUTRAL))
+    zero = F.lit(0)
+    mean = F.aggregate(
+        classes,
+        F.struct(zero.alias("total"), zero.alias("count")),
+        lambda sums, c: F.struct((sums["total"] + c).alias("total"), (sums["count"] + 1).alias("count")),
+        lambda sums: F.floor(F.try_divide(sums["total"], sums["count"])).cast("int"),
+    )
+    return F.coalesce(mean, F.lit(NEUTRAL))
 
 
 def lexicon_score(text: Column) -> Column:

@@ -23,8 +23,8 @@ def aggregate_hashtags(
     Rows collapse to (hashtag, name) pairs first, which spreads a hot hashtag
     over all tasks, then to (hashtag, shard of names), then to the hashtag. No
     task collects more than one shard of one hashtag, or ``inline_names`` names.
-    A hashtag with more names than that gets NULL in ``user_names``; all its
-    names are then in ``overflow_names``.
+    A hashtag with more names than that (seen by a shard being over its part)
+    gets NULL in ``user_names``; all its names are then in ``overflow_names``.
     """
     pairs = exploded.groupBy("hashtag", "user_name").agg(
         F.sum("rt_count").alias("rt_count"),
@@ -49,7 +49,6 @@ def aggregate_hashtags(
         "hashtag", F.pmod(F.xxhash64("user_name"), F.lit(name_shards)).alias("_shard")
     ).agg(*totals(), F.collect_list("user_name").alias("_names"))
     fits = F.size("_names") <= max(1, inline_names // name_shards)
-    # Shards are even: names are spread by hash and are distinct within a hashtag.
     joined = shards.groupBy("hashtag").agg(
         *totals(),
         F.collect_list(F.when(fits, F.col("_names"))).alias("_names"),
@@ -139,7 +138,7 @@ def merge_staging(
     previous = old.drop("last_update")
     if mode == "replace":
         ranked = previous.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-        merged = dedup.greatest_row(ranked, ["hashtag"], [F.col("_new"), F.col("date_recorded")])
+        merged = dedup.greatest_row(ranked, ["hashtag"], ["_new", "date_recorded"])
     elif mode == "reference":
         rows = dedup.union_all(previous, new)
         merged = _merged(dedup.distinct_counts(rows) if dedup_counts else rows, limit)

@@ -94,10 +94,13 @@ def _document() -> Column:
 
 
 def feed_of(events: DataFrame, documents: DataFrame) -> DataFrame:
-    """``event_id, ts, value`` for a batch or streaming ``events``."""
+    """``event_id, ts, value`` for a batch or streaming ``events``.
+
+    The tables are single files, so the texts are spread by the join key first.
+    """
     total = documents.count()  # from the file footers
     reposted = F.col("event_id") % F.lit(total) == F.col("doc_id")
-    return events.join(documents, reposted).select("event_id", "ts", _document().alias("value"))
+    return events.join(documents.repartition("doc_id"), reposted).select("event_id", "ts", _document().alias("value"))
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,44 @@
+"""Invented post documents."""
+
+from __future__ import annotations
+
+import json
+
+CREATED = "Wed Nov 27 09:24:39 +0000 2019"
+_UNSET = object()
+
+
+def tags(*texts):
+    return {"hashtags": [{"text": text, "indices": [0, 1]} for text in texts]}
+
+
+def post(
+    lang="en",
+    tweet_id="1",
+    text="a post",
+    plain=("Plain",),
+    full_text=None,
+    extended=None,
+    count=120,
+    user="maker",
+    created=CREATED,
+    repost=_UNSET,
+) -> str:
+    """One JSON document; ``extended=None`` leaves the extended part out."""
+    status = {
+        "created_at": created,
+        "id_str": tweet_id,
+        "text": text,
+        "retweet_count": count,
+        "user": {"id_str": f"id-{user}", "screen_name": user, "followers_count": 3},
+        "entities": tags(*plain),
+        "favorited": False,
+    }
+    if extended is not None:
+        status["extended_tweet"] = {"full_text": full_text or text, "entities": tags(*extended)}
+    document = {"id": 9, "retweet_count": 0, "lang": lang, "retweeted_status": status}
+    if repost is not _UNSET:
+        document["retweeted_status"] = repost
+    if lang is _UNSET:
+        del document["lang"]
+    return json.dumps(document)

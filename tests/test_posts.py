@@ -1,0 +1,121 @@
+import pytest
+from posts import post
+from pyspark.sql import functions as F
+
+from tagtide.config import FeedSettings
+from tagtide.functions import posts as P
+from tagtide.operators.filters import drop_any_null, first_n, ingest_filter
+from tagtide.sources.feeds import whole_documents
+
+FILTER = FeedSettings(language="en", min_reposts=100)
+MALFORMED = '{"lang":"en","retweeted_status":{'
+DELETED = '{"delete":{"status":{"id":1,"user_id":2}}}'
+
+
+def one(spark, document, column):
+    df = spark.createDataFrame([(document,)], "value string")
+    return P.parse_posts(df).select(column).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("document", "found"),
+    [
+        (post(), "en"),
+        (post(lang="fr"), "other"),
+        (post(lang=None), "null"),
+        (DELETED, "null"),
+        (MALFORMED, "null"),
+        ("no json", "null"),
+        (None, "null"),
+    ],
+)
+def test_lang_class(spark, document, found):
+    assert one(spark, document, P.lang_class("en")) == found
+
+
+@pytest.mark.parametrize(
+    ("document", "status", "count"),
+    [
+        (post(count=136), "yes", 136),
+        (post(repost=None), "no", -1),
+        (post(count=None), "yes", -1),
+        (DELETED, "no", -1),
+        (MALFORMED, "no", -1),
+    ],
+)
+def test_repost(spark, document, status, count):
+    assert one(spark, document, P.repost_status()) == status
+    assert one(spark, document, P.repost_count()) == count
+
+
+@pytest.mark.parametrize(
+    ("document", "has", "texts"),
+    [
+        (post(plain=["A"]), True, ["A"]),
+        (post(plain=[]), False, None),
+        (post(plain=["A"], extended=[]), False, None),
+        (post(plain=[], extended=["B", "C"]), True, ["B", "C"]),
+        (post(plain=["A"], extended=["B"]), True, ["B"]),
+        (post(repost=None), False, None),
+        (MALFORMED, False, None),
+        ('{"retweeted_status":{"entities":{"hashtags":[{"x":1},{"text":"D"}]}}}', True, ["D"]),
+        ('{"retweeted_status":{"entities":{"hashtags":[{"x":1}]}}}', True, None),
+    ],
+)
+def test_hashtags(spark, document, has, texts):
+    assert one(spark, document, P.has_hashtags()) is has
+    assert one(spark, document, P.tag_texts()) == texts
+
+
+def test_extended_text_wins(spark):
+    assert one(spark, post(text="short", full_text="long", extended=["B"]), P.post_text()) == "long"
+    assert one(spark, post(text="short"), P.post_text()) == "short"
+
+
+def test_json_path(spark):
+    assert one(spark, post(user="ann"), P.json_path("value", "$.retweeted_status.user.screen_name")) == "ann"
+    nothing = post(extended=[])
+    path = "$.retweeted_status.extended_tweet.entities.hashtags"
+    assert one(spark, nothing, P.json_path("value", path)) == "[]"
+
+
+def test_ingest_filter(spark):
+    documents = {
+        "ok": post(),
+        "few": post(count=99),
+        "edge": post(count=100),
+        "french": post(lang="fr"),
+        "original": post(repost=None),
+        "untagged": post(extended=[]),
+        "broken": MALFORMED,
+        "deleted": DELETED,
+    }
+    feed = spark.createDataFrame(list(documents.items()), "name string, value string")
+    kept = ingest_filter(feed, FILTER)
+    assert kept.columns == ["name", "value"]
+    assert {row.name for row in kept.collect()} == {"ok", "edge"}
+    assert {row.value for row in kept.collect()} == {documents["ok"], documents["edge"]}
+
+
+def test_first_n(spark):
+    df = spark.range(100)
+    assert first_n(df, 7).count() == 7
+    assert [row.id for row in first_n(df, 3, F.desc("id")).collect()] == [99, 98, 97]
+    assert first_n(df, 1000).count() == 100
+
+
+def test_drop_any_null(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "n int, s string")
+    assert drop_any_null(df).count() == 1
+    assert drop_any_null(df, "n").count() == 2
+
+
+def test_whole_documents(spark):
+    from pathlib import Path
+
+    rows = whole_documents(spark, str(Path(__file__).parent / "data" / "*.json"))
+    found = {r.name: r.ok for r in rows.select(
+        F.col("retweeted_status.user.screen_name").alias("name"),
+        P.accepted("en", 100).alias("ok"),
+    ).collect()}
+    assert found == {"harbour_news": True, "quiet_lane": False}
