@@ -15,8 +15,8 @@ def _text(value: str) -> str:
     return f"('{escaped}')"
 
 
-def _any_of(words: list[str]) -> str:
-    return ", ".join(f"'{word}'" for word in words)
+def _count(text: str, words: list[str]) -> str:
+    return f"len(regexp_extract_all({text}, '\\b(?:{'|'.join(words)})\\b'))"
 
 
 _MOOD = "CASE d.doc_id % 5 " + " ".join(f"WHEN {i} THEN {_text(m)}" for i, m in enumerate(MOODS)) + " END"
@@ -64,12 +64,8 @@ def _clean(text: str) -> str:
 
 
 def _class(sentence: str) -> str:
-    weight = (
-        f"list_sum(list_transform(regexp_split_to_array(lower({sentence}), '\\W+'), "
-        f"lambda w: CASE WHEN w IN ({_any_of(POSITIVE)}) THEN 1 WHEN w IN ({_any_of(NEGATIVE)}) THEN -1 "
-        "ELSE 0 END))"
-    )
-    return f"greatest(0, least(4, 2 + coalesce({weight}, 0)))"
+    words = f"regexp_replace(lower({sentence}), '[^a-z0-9_]+', ' ', 'g')"
+    return f"greatest(0, least(4, 2 + {_count(words, POSITIVE)} - {_count(words, NEGATIVE)}))"
 
 
 def _sentences(text: str) -> str:
@@ -78,7 +74,7 @@ def _sentences(text: str) -> str:
 
 def _score(text: str) -> str:
     classes = f"list_transform({_sentences(text)}, lambda s: {_class('s')})"
-    return f"CAST(coalesce(list_sum({classes}) // len({classes}), 2) AS BIGINT)"
+    return f"CAST(coalesce(floor(list_avg({classes})), 2) AS BIGINT)"
 
 
 def _day(stamp: str) -> str:
@@ -252,8 +248,8 @@ def oracle_sql() -> dict[str, str]:
             "month, day FROM base",
         ),
         "sentiment_lexicon": _feed(
-            f"SELECT event_id, len({_sentences('post_text')}) AS sentences, {_score('post_text')} AS raw_score, "
-            f"{_score(_clean('post_text'))} AS clean_score FROM feed WHERE post_text IS NOT NULL"
+            f"SELECT event_id, len({_sentences('post_text')}) AS sentences, {_score('post_text')} AS score "
+            "FROM feed"
         ),
         "sentiment_model": _with(
             [FEED, BASE, _latest()],

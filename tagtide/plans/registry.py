@@ -223,11 +223,10 @@ def explode_tags(spark: SparkSession, sf: str) -> DataFrame:
 def sentiment_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     raw = parsed(spark, sf).select("event_id", posts.post_text().alias("raw"))
     pieces = sentiment.sentences(F.col("raw"))
-    return raw.where(F.col("raw").isNotNull()).select(
+    return raw.select(
         "event_id",
         F.size(pieces).alias("sentences"),
-        sentiment.lexicon_score(F.col("raw")).alias("raw_score"),
-        sentiment.lexicon_score(text.clean_text(F.col("raw"))).alias("clean_score"),
+        sentiment.lexicon_score(F.col("raw")).alias("score"),
     )
 
 
