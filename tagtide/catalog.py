@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from os.path import dirname
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -10,6 +12,7 @@ from tagtide.operators.ranking import top_n_per_day
 from tagtide.schemas import (
     ANALYTIC,
     BASE,
+    LANDING,
     NAMES,
     PARTITIONS,
     PUBLISHED_NAMES,
@@ -35,14 +38,16 @@ def create_table(
 
 
 def create_all(spark: SparkSession, tables: TableSettings) -> None:
-    """Databases and tables of the base and analytic layers.
-
-    The landing layer is read by path: the streaming sink keeps its own list of
-    complete files there, which a catalog table would not look at.
-    """
-    for name in (tables.base_table, tables.analytic_table, tables.staging_table):
-        if "." in name:
-            create_database(spark, name.split(".")[0])
+    """The databases, next to their tables, and the tables of all layers."""
+    for table, path in (
+        (tables.landing_table, tables.landing_path),
+        (tables.base_table, tables.base_path),
+        (tables.analytic_table, tables.analytic_path),
+        (tables.staging_table, tables.staging_path),
+    ):
+        if "." in table:
+            create_database(spark, table.split(".")[0], dirname(path.rstrip("/")))
+    create_table(spark, tables.landing_table, LANDING, tables.landing_path)
     create_table(spark, tables.base_table, BASE, tables.base_path)
     create_table(spark, tables.analytic_table, ANALYTIC, tables.analytic_path)
     create_table(spark, tables.analytic_names_table, PUBLISHED_NAMES, tables.analytic_names_path)
@@ -50,6 +55,15 @@ def create_all(spark: SparkSession, tables: TableSettings) -> None:
     create_table(spark, tables.staging_names_table, NAMES, f"{tables.staging_names_path}/v-0", False)
 
 
+def add_partitions(spark: SparkSession, table: str) -> None:
+    """Make partitions that a stream has written known to a catalog table.
+
+    The jobs read landing by path, where the streaming sink's own list of
+    complete files counts; the table is for SQL users.
+    """
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
 def top_view(analytic: DataFrame, n: int = 10) -> DataFrame:
     return top_n_per_day(analytic, n).select(*TOP_VIEW)
 

@@ -44,6 +44,7 @@ class SparkSettings:
 
 @dataclass(frozen=True)
 class TableSettings:
+    landing_table: str = "posts_landing.posts"
     landing_path: str = "warehouse/landing/posts"
     landing_checkpoint: str = "warehouse/_stream/landing"
     base_table: str = "posts_base.posts"

@@ -20,7 +20,8 @@ from tagtide.schemas import LANDING, PARTITIONS, PUBLISHED_NAMES, conform
 from tagtide.sinks import tables as sink
 from tagtide.sinks.kafka import start_kafka, write_kafka
 from tagtide.sources import tables as source
-from tagtide.streaming.landing import accepted_stream, start_landing
+from tagtide.streaming.landing import accepted_stream, start_landing, start_text
+from tagtide.streaming.supervise import run_until_collected, run_until_stopped
 
 
 def ingest(feed: DataFrame, settings: Settings, checkpoint: str | None = None) -> StreamingQuery | None:
@@ -42,6 +43,28 @@ def land(records: DataFrame, settings: Settings) -> StreamingQuery:
     )
 
 
+def ingest_until_collected(
+    feed: DataFrame, path: str, checkpoint: str, settings: Settings
+) -> int:
+    """Accepted documents of a stream to a folder, until enough are collected."""
+    query = start_text(
+        accepted_stream(feed, settings.feed), path, checkpoint, settings.spark.batch_seconds
+    )
+    return run_until_collected(query, settings.feed.posts_to_collect, settings.spark.poll_seconds)
+
+
+def land_until_stopped(records: DataFrame, settings: Settings) -> int:
+    """Land records until the stop marker is there or the stream stays idle."""
+    return run_until_stopped(
+        records.sparkSession,
+        land(records, settings),
+        settings.kafka.stop_marker,
+        settings.kafka.stop_text,
+        settings.spark.poll_seconds,
+        settings.spark.idle_batches,
+    )
+
+
 def land_to_base(
     spark: SparkSession, settings: Settings, as_of: dt.datetime | None = None, mode: str = "calendar"
 ) -> int:

@@ -217,3 +217,37 @@ def test_overwrite_partitions_touches_only_its_own(spark, tmp_path):
 def test_preview(spark, capsys):
     sink.preview(spark.range(2))
     assert "id" in capsys.readouterr().out
+
+
+def test_command_line_jobs(spark, settings, tmp_path, capsys):
+    """Feed folder to top ten through the commands."""
+    from tagtide.__main__ import arguments, run
+
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "posts.json").write_text("\n".join(posts_of(0)) + "\n")
+    settings = settings.override(
+        {
+            "spark": {"poll_seconds": 1, "batch_seconds": 1, "idle_batches": 2},
+            "kafka": {"stop_marker": str(tmp_path / "marker")},
+            "feed": {"posts_to_collect": 2, "min_reposts": 80},
+        }
+    )
+    today = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+    def job(*argv):
+        run(spark, settings, arguments(list(argv)))
+        return capsys.readouterr().out
+
+    job("create-tables")
+    out, checkpoint = str(tmp_path / "accepted"), str(tmp_path / "cp")
+    assert "2 posts collected" in job("ingest", "--feed", str(feed), "--out", out, "--checkpoint", checkpoint)
+    assert "4 posts landed" in job("land", "--feed", str(feed))
+    catalog.add_partitions(spark, settings.tables.landing_table)
+    assert spark.table(settings.tables.landing_table).count() == 4
+    assert "3 posts" in job("land-to-base", "--now", today.isoformat())
+    assert "'staged': 2" in job("base-to-analytic", "--now", today.isoformat(), "--merge", "replace")
+    assert str(today.day) in job("status", "--now", today.isoformat())
+    later = (today + dt.timedelta(days=9)).isoformat()
+    assert "'published': 2" in job("base-to-analytic", "--now", later)
+    assert "Sea" in job("top")
