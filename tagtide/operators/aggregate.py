@@ -15,8 +15,22 @@ INLINE_NAMES = 1_000_000
 NAME_SHARDS = 1024
 
 
+def busy_hashtags(base: DataFrame, limit: int = INLINE_NAMES) -> DataFrame:
+    """Hashtags on more than ``limit`` base rows, the only ones that can overflow.
+
+    Reads one column of a stored base table, and names at most one hashtag per
+    ``limit`` rows.
+    """
+    tags = base.select(F.explode("hashtags").alias("hashtag"))
+    rows = tags.groupBy("hashtag").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.where(F.col("rows") > limit).select("hashtag")
+
+
 def aggregate_hashtags(
-    exploded: DataFrame, inline_names: int = INLINE_NAMES, name_shards: int = NAME_SHARDS
+    exploded: DataFrame,
+    inline_names: int = INLINE_NAMES,
+    name_shards: int = NAME_SHARDS,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Totals, mean sentiment, distinct names and dates per hashtag.
 
@@ -25,6 +39,7 @@ def aggregate_hashtags(
     task collects more than one shard of one hashtag, or ``inline_names`` names.
     A hashtag with more names than that (seen by a shard being over its part)
     gets NULL in ``user_names``; all its names are then in ``overflow_names``.
+    Where the ``busy`` hashtags are known, all others need just one shard.
     """
     pairs = exploded.groupBy("hashtag", "user_name").agg(
         F.sum("rt_count").alias("rt_count"),
@@ -45,10 +60,17 @@ def aggregate_hashtags(
             F.max("date_recorded").alias("date_recorded"),
         ]
 
-    shards = pairs.groupBy(
-        "hashtag", F.pmod(F.xxhash64("user_name"), F.lit(name_shards)).alias("_shard")
-    ).agg(*totals(), F.collect_list("user_name").alias("_names"))
-    fits = F.size("_names") <= max(1, inline_names // name_shards)
+    shard = F.pmod(F.xxhash64("user_name"), F.lit(name_shards)).cast("int")
+    part = F.lit(max(1, inline_names // name_shards))
+    if busy is not None:
+        # Broadcast: one row per ``inline_names`` input rows at most.
+        pairs = pairs.join(F.broadcast(busy.select("hashtag", F.lit(True).alias("_busy"))), "hashtag", "left")
+        shard = F.when(F.col("_busy"), shard).otherwise(F.lit(-1))
+        part = F.when(F.col("_shard") < 0, F.lit(inline_names)).otherwise(part)
+    shards = pairs.groupBy("hashtag", shard.alias("_shard")).agg(
+        *totals(), F.collect_list("user_name").alias("_names")
+    )
+    fits = F.size("_names") <= part
     joined = shards.groupBy("hashtag").agg(
         *totals(),
         F.collect_list(F.when(fits, F.col("_names"))).alias("_names"),

@@ -96,7 +96,8 @@ def base_to_analytic(
     day = dates.since_date(zone, chosen.days_back, now)
     base = source.table_since(spark, chosen.base_table, day, scan_mode)
     exploded = explode_posts(base, score, score_before_dedup)
-    fresh = aggregate.aggregate_hashtags(exploded, limit)
+    busy = aggregate.busy_hashtags(base, limit)
+    fresh = aggregate.aggregate_hashtags(exploded, limit, busy=busy)
     staging = spark.table(chosen.staging_table)
     names = spark.table(chosen.staging_names_table)
     new_names = aggregate.hashtag_names(exploded)

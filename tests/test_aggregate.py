@@ -75,6 +75,20 @@ def test_aggregate_equals_brute_force(exploded):
     assert {r.hashtag: tuple(r) for r in found.collect()} == brute_force(exploded_rows())
 
 
+@pytest.mark.parametrize("limit", [60, 100, 1000])
+def test_known_busy_hashtags_give_the_same(exploded, limit):
+    """A hashtag is busy when its base rows pass the limit; names may then overflow."""
+    base = exploded.select(F.array("hashtag").alias("hashtags"))
+    busy = A.busy_hashtags(base, limit)
+    counts = {tag: row[2] for tag, row in brute_force(exploded_rows()).items()}
+    assert {r.hashtag for r in busy.collect()} == {tag for tag, n in counts.items() if n > limit}
+    found = {r.hashtag: tuple(r) for r in A.aggregate_hashtags(exploded, limit, 4, busy).collect()}
+    for tag, row in brute_force(exploded_rows()).items():
+        assert found[tag][:4] + found[tag][5:] == row[:4] + row[5:]
+        assert found[tag][4] == row[4] or (found[tag][4] is None and counts[tag] > limit)
+    assert found["H0"][4] is not None or limit < 1000
+
+
 def test_case_matters(spark):
     rows = [(t, *exploded_rows(rows=1)[0][1:]) for t in ("Tag", "tag")]
     assert A.aggregate_hashtags(spark.createDataFrame(rows, EXPLODED)).count() == 2
