@@ -57,8 +57,13 @@ def mean_class(classes: Column) -> Column:
     return F.coalesce(mean, F.lit(NEUTRAL))
 
 
+def lexicon_mean(pieces: Column) -> Column:
+    """Score of a text that is already split."""
+    return mean_class(F.transform(pieces, lexicon_class))
+
+
 def lexicon_score(text: Column) -> Column:
-    return mean_class(F.transform(sentences(text), lexicon_class))
+    return lexicon_mean(sentences(text))
 
 
 def model_score(load_model: Callable[[], Callable[[list[str]], list[int]]]) -> Callable[[Column], Column]:

@@ -26,6 +26,50 @@ def busy_hashtags(base: DataFrame, limit: int = INLINE_NAMES) -> DataFrame:
     return rows.where(F.col("rows") > limit).select("hashtag")
 
 
+def _measured() -> list[Column]:
+    """Measures of exploded rows."""
+    return [
+        F.sum("rt_count").alias("rt_count"),
+        F.count("tweet_id").alias("tweet_count"),
+        F.sum("sentiment_%").alias("sentiment_sum"),
+        F.count("sentiment_%").alias("sentiment_count"),
+        F.min("date_posted").alias("date_posted"),
+        F.max("date_recorded").alias("date_recorded"),
+    ]
+
+
+def _combined() -> list[Column]:
+    """The same measures of rows that already hold them."""
+    return [
+        *[
+            F.sum(name).alias(name)
+            for name in ("rt_count", "tweet_count", "sentiment_sum", "sentiment_count")
+        ],
+        F.min("date_posted").alias("date_posted"),
+        F.max("date_recorded").alias("date_recorded"),
+    ]
+
+
+def _finished(measured: DataFrame, *names: Column) -> DataFrame:
+    day = F.col("date_recorded")
+    mean = F.try_divide(F.col("sentiment_sum"), F.col("sentiment_count"))
+    return measured.select(
+        "hashtag",
+        "rt_count",
+        "tweet_count",
+        F.round(mean, 2).alias("avg_sentiment"),
+        *names,
+        "date_posted",
+        day,
+        *[part.alias(name) for name, part in dates.partition_parts(day).items()],
+    )
+
+
+def hashtag_totals(exploded: DataFrame) -> DataFrame:
+    """The aggregate without its names: one shuffle, a row per hashtag and task."""
+    return _finished(exploded.groupBy("hashtag").agg(*_measured()))
+
+
 def aggregate_hashtags(
     exploded: DataFrame,
     inline_names: int = INLINE_NAMES,
@@ -36,62 +80,31 @@ def aggregate_hashtags(
 
     Rows collapse to (hashtag, name) pairs first, which spreads a hot hashtag
     over all tasks, then to (hashtag, shard of names), then to the hashtag. No
-    task collects more than one shard of one hashtag, or ``inline_names`` names.
-    A hashtag with more names than that (seen by a shard being over its part)
-    gets NULL in ``user_names``; all its names are then in ``overflow_names``.
+    task collects more than one shard of one hashtag, or names well beyond
+    ``inline_names``. A hashtag with more names than that gets NULL in
+    ``user_names``; all its names are then in ``overflow_names``.
     Where the ``busy`` hashtags are known, all others need just one shard.
     """
-    pairs = exploded.groupBy("hashtag", "user_name").agg(
-        F.sum("rt_count").alias("rt_count"),
-        F.count("tweet_id").alias("tweet_count"),
-        F.sum("sentiment_%").alias("sentiment_sum"),
-        F.count("sentiment_%").alias("sentiment_count"),
-        F.min("date_posted").alias("date_posted"),
-        F.max("date_recorded").alias("date_recorded"),
-    )
-
-    def totals() -> list[Column]:
-        return [
-            *[
-                F.sum(name).alias(name)
-                for name in ("rt_count", "tweet_count", "sentiment_sum", "sentiment_count")
-            ],
-            F.min("date_posted").alias("date_posted"),
-            F.max("date_recorded").alias("date_recorded"),
-        ]
-
+    pairs = exploded.groupBy("hashtag", "user_name").agg(*_measured())
     shard = F.pmod(F.xxhash64("user_name"), F.lit(name_shards)).cast("int")
-    part = F.lit(max(1, inline_names // name_shards))
+    # Twice an even share: a shard beyond it means the limit is passed as well.
+    part = F.lit(2 * inline_names // name_shards + 32)
     if busy is not None:
         # Broadcast: one row per ``inline_names`` input rows at most.
         pairs = pairs.join(F.broadcast(busy.select("hashtag", F.lit(True).alias("_busy"))), "hashtag", "left")
         shard = F.when(F.col("_busy"), shard).otherwise(F.lit(-1))
         part = F.when(F.col("_shard") < 0, F.lit(inline_names)).otherwise(part)
     shards = pairs.groupBy("hashtag", shard.alias("_shard")).agg(
-        *totals(), F.collect_list("user_name").alias("_names")
+        *_combined(), F.collect_list("user_name").alias("_names")
     )
     fits = F.size("_names") <= part
     joined = shards.groupBy("hashtag").agg(
-        *totals(),
+        *_combined(),
         F.collect_list(F.when(fits, F.col("_names"))).alias("_names"),
-        F.bool_and(fits).alias("_inline"),
-    )
-    day = F.col("date_recorded")
-    return conform(
-        joined.select(
-            "hashtag",
-            "rt_count",
-            "tweet_count",
-            F.round(F.try_divide(F.col("sentiment_sum"), F.col("sentiment_count")), 2).alias(
-                "avg_sentiment"
-            ),
-            F.when(F.col("_inline"), F.array_sort(F.flatten("_names"))).alias("user_names"),
-            "date_posted",
-            day,
-            *[part.alias(name) for name, part in dates.partition_parts(day).items()],
-        ),
-        AGGREGATED,
+        (F.bool_and(fits) & (F.sum(F.size("_names")) <= inline_names)).alias("_inline"),
     )
+    names = F.when(F.col("_inline"), F.array_sort(F.flatten("_names"))).alias("user_names")
+    return conform(_finished(joined, names), AGGREGATED)
 
 
 def hashtag_names(exploded: DataFrame) -> DataFrame:

@@ -105,6 +105,9 @@ def base_to_analytic(
     if updated_today(staging, zone, now):
         before = staging.count()
         known = [new_names, names, aggregate.inline_names(staging)]
+        if merge_mode == "replace":
+            seen = new_names.select("hashtag").distinct()
+            known = [new_names, names.join(seen, "hashtag", "left_anti")]
         merged = aggregate.merge_staging(fresh, staging, zone, now, merge_mode, limit=limit)
         after = sink.replace_table(merged, chosen.staging_table, chosen.staging_path)
         _replace_names(spark, settings, known)

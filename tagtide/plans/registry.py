@@ -75,6 +75,10 @@ def aggregated(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.aggregate_hashtags(exploded(spark, sf))
 
 
+def totals(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregate.hashtag_totals(exploded(spark, sf))
+
+
 def two_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Aggregates of what landed before and after the turn of the year."""
     rows = base(spark, sf)
@@ -221,12 +225,13 @@ def explode_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentiment_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    raw = parsed(spark, sf).select("event_id", posts.post_text().alias("raw"))
-    pieces = sentiment.sentences(F.col("raw"))
-    return raw.select(
+    pieces = parsed(spark, sf).select(
+        "event_id", sentiment.sentences(posts.post_text()).alias("pieces")
+    )
+    return pieces.select(
         "event_id",
-        F.size(pieces).alias("sentences"),
-        sentiment.lexicon_score(F.col("raw")).alias("score"),
+        F.size("pieces").alias("sentences"),
+        sentiment.lexicon_mean(F.col("pieces")).alias("score"),
     )
 
 
@@ -305,7 +310,7 @@ def publish(spark: SparkSession, sf: str) -> DataFrame:
 
 def rank_per_day(spark: SparkSession, sf: str) -> DataFrame:
     """Ranked twice over, so worked out once, as a stored table is."""
-    rows = checkpointed(aggregated(spark, sf).select("date_recorded", "hashtag", "rt_count"))
+    rows = checkpointed(totals(spark, sf).select("date_recorded", "hashtag", "rt_count"))
     return ranking.rank_rows(rows)
 
 
@@ -318,7 +323,7 @@ def top10_direct(spark: SparkSession, sf: str) -> DataFrame:
 
     The view reads its rows twice, so they are worked out once, as a table is.
     """
-    return catalog.top_view(checkpointed(aggregated(spark, sf).drop("user_names")))
+    return catalog.top_view(checkpointed(totals(spark, sf)))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,7 +331,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sorted_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.sorted_by_count(aggregated(spark, sf).select("hashtag", "rt_count", "tweet_count"))
+    return ranking.sorted_by_count(totals(spark, sf).select("hashtag", "rt_count", "tweet_count"))
 
 
 def stream_land(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagtide import catalog
 from tagtide.config import Settings, TableSettings
+from tagtide.operators.base import to_base
 from tagtide.plans import jobs
 from tagtide.schemas import ANALYTIC, BASE, STAGING
 from tagtide.sinks import tables as sink
@@ -161,6 +162,23 @@ def test_names_beyond_the_limit_follow_through_all_tables(spark, settings):
     assert spark.table(tables.analytic_names_table).where("hashtag = 'Cold'").isEmpty()
 
 
+def test_names_beyond_the_limit_in_replace_mode(spark, settings):
+    """A replaced hashtag has the names of its new row only; others keep theirs."""
+    settings = replace(settings, tables=replace(settings.tables, inline_names=1))
+    tables = settings.tables
+    for hour, (tag, users) in enumerate([("Hot", "ab"), ("Old", "xy"), ("Hot", "cd")]):
+        now = FIRST + dt.timedelta(hours=hour)
+        documents = [post(tweet_id=f"{tag}{u}", plain=[tag], user=u) for u in users]
+        base = spark.createDataFrame([(d,) for d in documents], "value string")
+        records = feeds.as_records(base, "reposts", F.lit(now.isoformat(" ")).cast("timestamp"))
+        empty_base(spark, tables)
+        rows = to_base(feeds.to_landing(records, F.col("timestamp")))
+        sink.append_table(rows, tables.base_table, tables.base_path)
+        jobs.base_to_analytic(spark, settings, now, merge_mode="replace")
+    found = sorted(map(tuple, spark.table(tables.staging_names_table).collect()))
+    assert found == [("Hot", "c"), ("Hot", "d"), ("Old", "x"), ("Old", "y")]
+
+
 def test_failed_replacement_changes_nothing(spark, settings):
     tables = settings.tables
     land(spark, settings, FIRST, *posts_of(0))

@@ -64,6 +64,11 @@ def test_aggregation_combines_before_every_shuffle(spark):
     assert "SinglePartition" not in plan
 
 
+def test_totals_take_one_more_shuffle(spark):
+    plan = plan_of(aggregate.hashtag_totals(exploded(spark)))
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("partial_sum(rt_count") == 1
+
+
 def test_top_n_limits_before_its_shuffle(spark):
     rows = spark.createDataFrame([(dt.date(2019, 1, 1), 1, "A")], "date_recorded date, rt_count long, hashtag string")
     plan = plan_of(ranking.top_n_per_day(rows))
