@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only for an unset local session."""
+    """The cluster's checkpoint folder; where none is set, one in the warehouse, which is shared too."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="tagtide-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
-    return named or context.getCheckpointDir()
+    return named
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -29,3 +26,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so later stages survive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, its size known."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
