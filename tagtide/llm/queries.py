@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagtide.llm import packing
+from tagtide.llm import mixing, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +26,20 @@ def op1_pack_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.drop("ids", "source")
 
 
+def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    rows = mixing.plan(table(spark, sf, "documents"), texts=False)
+    return rows.select("doc_id", "size", "source_size", "target", mixing.taken(F.col("draws")).alias("taken"))
+
+
+def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.report(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
+        "op5_mix_sources": op5_mix_sources,
+        "op6_find_secrets": op6_find_secrets,
     }
 
 
