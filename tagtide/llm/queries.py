@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import mixing, packing, secrets
+from tagtide.llm import mixing, near_dedup, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_pack_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.drop("ids", "source")
 
 
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     rows = mixing.plan(table(spark, sf, "documents"), texts=False)
     return rows.select("doc_id", "size", "source_size", "target", mixing.taken(F.col("draws")).alias("taken"))
@@ -38,6 +42,7 @@ def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
+        "op4_near_dedup": op4_near_dedup,
         "op5_mix_sources": op5_mix_sources,
         "op6_find_secrets": op6_find_secrets,
     }
