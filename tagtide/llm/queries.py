@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import mixing, near_dedup, packing, secrets
+from tagtide.llm import mixing, near_dedup, packing, secrets, topk, tree_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_pack_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.drop("ids", "source")
 
 
+def op2_tree_search(spark: SparkSession, sf: str) -> DataFrame:
+    return tree_search.search(table(spark, sf, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.group(table(spark, sf, "documents"))
 
@@ -39,14 +43,39 @@ def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), "vec_id % 50 = 0", 5)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
+        "op2_tree_search": op2_tree_search,
         "op4_near_dedup": op4_near_dedup,
         "op5_mix_sources": op5_mix_sources,
         "op6_find_secrets": op6_find_secrets,
+        "op9_exact_topk": op9_exact_topk,
     }
 
 
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_topk": OP9_SQL}
