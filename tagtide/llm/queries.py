@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import mixing, near_dedup, packing, secrets, topk, tree_search
+from tagtide.llm import language, mixing, near_dedup, packing, quality, secrets, topk, tree_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op2_tree_search(spark: SparkSession, sf: str) -> DataFrame:
     return tree_search.search(table(spark, sf, "embeddings"), "vec_id % 20 = 0", 20)
 
 
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.group(table(spark, sf, "documents"))
 
@@ -43,6 +47,10 @@ def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), "vec_id % 50 = 0", 5)
 
@@ -51,9 +59,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
         "op2_tree_search": op2_tree_search,
+        "op3_language": op3_language,
         "op4_near_dedup": op4_near_dedup,
         "op5_mix_sources": op5_mix_sources,
         "op6_find_secrets": op6_find_secrets,
+        "op8_quality": op8_quality,
         "op9_exact_topk": op9_exact_topk,
     }
 
