@@ -206,12 +206,13 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     spans = F.regexp_extract_all(F.col("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     head = F.array_join(F.slice(spans, F.lit(1), F.col("_draw.words").cast("int")), "")
     whole = F.col("_draw.words") == F.col("size")
-    changes = {"text": F.when(whole, F.col("text")).otherwise(head)}
-    if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(F.char_length(head).cast("long"))
     seed = options.get("seed", SEED)
     order = F.xxhash64(F.lit(seed), F.col("_draw.copy"), F.col("doc_id"), F.col("text"))
-    rows = rows.withColumn("_order", order).withColumns(changes)
+    rows = rows.withColumn("_order", order).withColumn("_whole", whole)
+    rows = rows.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(head))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+        rows = rows.withColumn("n_chars", n_chars)
     kept = [F.col(f"`{c}`") for c in docs.columns]
     rows = rows.select(*kept, F.col("_draw.copy").alias("copy"), F.col("_draw.shard").alias("shard"), "_order")
     return rows.repartition("shard").sortWithinPartitions("shard", "_order").drop("_order")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import language, mixing, near_dedup, packing, quality, secrets, topk, tree_search
+from tagtide.llm import language, mixing, near_dedup, packing, page_text, quality, secrets, topk, tree_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op7_page_text(spark: SparkSession, sf: str) -> DataFrame:
+    return page_text.extracted(table(spark, sf, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op4_near_dedup": op4_near_dedup,
         "op5_mix_sources": op5_mix_sources,
         "op6_find_secrets": op6_find_secrets,
+        "op7_page_text": op7_page_text,
         "op8_quality": op8_quality,
         "op9_exact_topk": op9_exact_topk,
     }
