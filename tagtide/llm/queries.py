@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import language, mixing, near_dedup, packing, page_text, quality, secrets, topk, tree_search
+from tagtide.llm import language, licences, mixing, near_dedup, packing, page_text, quality, secrets, topk, tree_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op9_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), "vec_id % 50 = 0", 5)
 
 
+def op10_licences(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.report(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op7_page_text": op7_page_text,
         "op8_quality": op8_quality,
         "op9_exact_topk": op9_exact_topk,
+        "op10_licences": op10_licences,
     }
 
 
