@@ -14,6 +14,9 @@ from tagtide.sinks.tables import preview
 from tagtide.sources import feeds
 
 
+PRINTED = 1000
+
+
 def _feed(spark: SparkSession, settings: Settings, folder: str | None):
     """Kafka records, or a folder of documents in their shape."""
     if folder is None:
@@ -28,22 +31,21 @@ def run(spark: SparkSession, settings: Settings, options: argparse.Namespace) ->
         catalog.create_top_view(spark, tables.analytic_table, tables.analytic_view)
     elif options.job == "ingest":
         folder = feeds.document_stream(spark, options.feed)
-        if options.out:
-            rows = jobs.ingest_until_collected(folder, options.out, options.checkpoint, settings)
-            print(f"{rows} posts collected")
-        else:
-            jobs.ingest(folder, settings, options.checkpoint).awaitTermination()
+        rows = jobs.ingest_until_collected(folder, options.out, options.checkpoint, settings)
+        print(f"{rows} posts collected")
     elif options.job == "land":
         rows = jobs.land_until_stopped(_feed(spark, settings, options.feed), settings)
         print(f"{rows} posts landed")
     elif options.job == "land-to-base":
-        print(f"{jobs.land_to_base(spark, settings, now)} posts added to the base table")
+        print(f"{jobs.land_to_base(spark, settings, now, load=options.load)} posts added to the base table")
     elif options.job == "base-to-analytic":
         print(jobs.base_to_analytic(spark, settings, now, merge_mode=options.merge))
     elif options.job == "status":
         preview(jobs.staging_status(spark.table(tables.staging_table), tables.time_zone, now))
     elif options.job == "top":
-        preview(catalog.top_view(spark.table(tables.analytic_table)), 1000)
+        top = catalog.top_view(spark.table(tables.analytic_table))
+        print(f"{top.count()} rows, of which up to {PRINTED} follow")
+        preview(top, PRINTED)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -57,8 +59,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", help="folder for accepted documents in place of the topic")
     parser.add_argument("--checkpoint", help="checkpoint folder of the ingest stream")
     parser.add_argument("--now", type=dt.datetime.fromisoformat, help="time of the run, local to the zone")
+    parser.add_argument("--load", choices=["append", "replace"], default="append")
     parser.add_argument("--merge", choices=["reference", "replace"], default="reference")
-    return parser.parse_args(argv)
+    options = parser.parse_args(argv)
+    if options.job == "ingest" and not (options.feed and options.checkpoint):
+        parser.error("ingest needs --feed and --checkpoint")
+    return options
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -69,12 +69,18 @@ def top_view(analytic: DataFrame, n: int = 10) -> DataFrame:
 
 
 def create_top_view(spark: SparkSession, analytic_table: str, view: str, n: int = 10) -> None:
-    """The top-n view for SQL users, kept in the catalog."""
-    columns = ", ".join(name for name in TOP_VIEW if name != "rank")
+    """The top-n view for SQL users, kept in the catalog.
+
+    As in ``top_n_per_day``: n rows a day, limited map-side, give the ranks of the
+    counts that make the cut; rows are looked up by them, so ties never meet.
+    """
     spark.sql(
-        f"CREATE VIEW IF NOT EXISTS {view} AS SELECT {', '.join(TOP_VIEW)} FROM (SELECT {columns}, "
-        "rank() OVER (PARTITION BY date_recorded ORDER BY rt_count DESC) AS rank "
-        f"FROM {analytic_table}) AS ranked WHERE rank <= {n}"
+        f"CREATE VIEW IF NOT EXISTS {view} AS SELECT {', '.join(TOP_VIEW)} FROM {analytic_table} JOIN ("
+        "SELECT date_recorded AS of_day, rt_count AS of_count, min(place) AS rank FROM ("
+        "SELECT date_recorded, rt_count, "
+        "row_number() OVER (PARTITION BY date_recorded ORDER BY rt_count DESC) AS place "
+        f"FROM {analytic_table}) AS placed WHERE place <= {n} GROUP BY date_recorded, rt_count) AS ranks "
+        "ON date_recorded <=> of_day AND rt_count <=> of_count"
     )
 
 

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 CONF_PREFIX = "tagtide."
+OPTIONAL_NUMBERS = ("shuffle_partitions", "records_per_batch")
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,8 @@ class KafkaSettings:
     acks: str = "1"
     group_id: str = "G1"
     offset_reset: str = "latest"
+    # Records that one micro-batch takes at most; None takes what is there.
+    records_per_batch: int | None = None
     stop_marker: str = "out/stop_marker"
     stop_text: str = "shutdown"
 
@@ -40,6 +43,7 @@ class SparkSettings:
     batch_seconds: int = 5
     poll_seconds: int = 5
     idle_batches: int = 5
+    session_zone: str = "UTC"
 
 
 @dataclass(frozen=True)
@@ -60,8 +64,8 @@ class TableSettings:
     staging_names_path: str = "warehouse/analytic/hashtag_names_staging"
     days_back: int = 1
     time_zone: str = "Europe/Amsterdam"
-    # Hashtags with more distinct names than this keep them in long form.
-    inline_names: int = 1_000_000
+    # How long the landing sink remembers its files; None remembers all of them.
+    landing_retention: str | None = None
 
 
 @dataclass(frozen=True)
@@ -78,7 +82,7 @@ class Settings:
             section = getattr(self, name)
             kinds = {f.name: type(getattr(section, f.name)) for f in fields(section)}
             typed = {
-                key: int(value) if kinds.get(key) is int or key == "shuffle_partitions" else value
+                key: int(value) if kinds.get(key) is int or key in OPTIONAL_NUMBERS else value
                 for key, value in entries.items()
             }
             sections[name] = replace(section, **typed)
@@ -102,12 +106,17 @@ class Settings:
 
 
 def session(settings: Settings | None = None, hive: bool = False) -> SparkSession:
-    """Build (or take over) a session; dynamic partition overwrite and AQE are on."""
+    """Build (or take over) a session; dynamic partition overwrite and AQE are on.
+
+    The session zone decides which date a post gets. It is pinned to
+    ``spark.session_zone``, whatever the machines are set to.
+    """
     chosen = (settings or Settings()).spark
     builder = (
         SparkSession.builder.appName(chosen.app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.session.timeZone", chosen.session_zone)
         .config("spark.sql.streaming.noDataProgressEventInterval", str(chosen.batch_seconds * 1000))
     )
     if chosen.master:

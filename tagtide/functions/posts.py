@@ -54,9 +54,14 @@ def repost_status() -> Column:
     return F.when(F.col(_REPOST).isNotNull(), "yes").otherwise("no")
 
 
+def count() -> Column:
+    """The repost's count, also if it arrives as text; NULL if it is no whole number."""
+    return F.col(f"{_REPOST}.retweet_count").try_cast("long")
+
+
 def repost_count() -> Column:
     """Reposts of the original post, -1 when it is not a repost."""
-    return F.coalesce(F.col(f"{_REPOST}.retweet_count"), F.lit(-1).cast("long"))
+    return F.coalesce(count(), F.lit(-1).cast("long"))
 
 
 def has_hashtags() -> Column:

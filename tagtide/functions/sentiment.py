@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagtide.functions.text import WORD
-
 POSITIVE = (
     "amazing awesome beautiful best better brilliant congratulations cool delight enjoy excellent "
     "excited fantastic fun glad good great happy hope inspiring joy kind love lovely lucky nice "
@@ -35,7 +34,7 @@ def lexicon_class(sentence: Column) -> Column:
 
     The hash-set filter leaves few words for the loop that adds them up.
     """
-    words = F.split(F.lower(sentence), f"[^{WORD}]+")
+    words = F.split(F.lower(sentence), r"\W+")
     known = F.filter(words, lambda word: word.isin(POSITIVE + NEGATIVE))
     balance = F.aggregate(
         known,
@@ -69,15 +68,20 @@ def lexicon_score(text: Column) -> Column:
 def model_score(load_model: Callable[[], Callable[[list[str]], list[int]]]) -> Callable[[Column], Column]:
     """A scorer around a model that maps sentences to classes.
 
-    ``load_model`` runs once per task, not per row; only the sentences cross to
-    Python, in Arrow batches.
+    ``load_model`` runs once per task, and the model is called once per batch, with
+    the sentences of all its rows; only sentences cross to Python, in Arrow batches.
     """
 
     @F.pandas_udf("array<int>")
     def classes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for batch in batches:
-            yield batch.map(lambda found: [int(c) for c in model(list(found))])
+            counts = [0 if found is None else len(found) for found in batch]
+            flat = [sentence for found in batch if found is not None for sentence in found]
+            classes = iter(int(c) for c in model(flat)) if flat else iter(())
+            yield pd.Series(
+                [None if found is None else list(islice(classes, n)) for found, n in zip(batch, counts, strict=True)]
+            )
 
     return lambda text: mean_class(classes(sentences(text)))
 

@@ -1,4 +1,8 @@
-"""Per-hashtag aggregation and the running staging merge."""
+"""Per-hashtag aggregation and the running staging merge.
+
+Names are kept in long form, one row per hashtag and name, beside the measures: the
+same for a hashtag with one name and one with a hundred million.
+"""
 
 from __future__ import annotations
 
@@ -7,23 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtide.functions import dates, text
-from tagtide.operators import dedup
-from tagtide.schemas import AGGREGATED, NAMES, STAGING, conform
-
-INLINE_NAMES = 1_000_000
-NAME_SHARDS = 1024
-
-
-def busy_hashtags(base: DataFrame, limit: int = INLINE_NAMES) -> DataFrame:
-    """Hashtags on more than ``limit`` base rows, the only ones that can overflow.
-
-    Reads one column of a stored base table, and names at most one hashtag per
-    ``limit`` rows.
-    """
-    tags = base.select(F.explode("hashtags").alias("hashtag"))
-    rows = tags.groupBy("hashtag").agg(F.count(F.lit(1)).alias("rows"))
-    return rows.where(F.col("rows") > limit).select("hashtag")
+from tagtide.functions import dates
+from tagtide.schemas import AGGREGATED, NAMES, PARTITIONS, PUBLISHED_NAMES, STAGING, conform
 
 
 def _measured() -> list[Column]:
@@ -50,105 +39,100 @@ def _combined() -> list[Column]:
     ]
 
 
-def _finished(measured: DataFrame, *names: Column) -> DataFrame:
+def _finished(measured: DataFrame) -> DataFrame:
     day = F.col("date_recorded")
     mean = F.try_divide(F.col("sentiment_sum"), F.col("sentiment_count"))
-    return measured.select(
-        "hashtag",
-        "rt_count",
-        "tweet_count",
-        F.round(mean, 2).alias("avg_sentiment"),
-        *names,
-        "date_posted",
-        day,
-        *[part.alias(name) for name, part in dates.partition_parts(day).items()],
-    )
+    rows = measured.withColumn("avg_sentiment", F.round(mean, 2)).withColumns(dates.partition_parts(day))
+    return conform(rows, AGGREGATED)
 
 
-def hashtag_totals(exploded: DataFrame) -> DataFrame:
-    """The aggregate without its names: one shuffle, a row per hashtag and task."""
+def aggregate_hashtags(exploded: DataFrame) -> DataFrame:
+    """Totals, mean sentiment and dates per hashtag: one shuffle, a row per hashtag and task."""
     return _finished(exploded.groupBy("hashtag").agg(*_measured()))
 
 
-def aggregate_hashtags(
-    exploded: DataFrame,
-    inline_names: int = INLINE_NAMES,
-    name_shards: int = NAME_SHARDS,
-    busy: DataFrame | None = None,
-) -> DataFrame:
-    """Totals, mean sentiment, distinct names and dates per hashtag.
-
-    Rows collapse to (hashtag, name) pairs first, which spreads a hot hashtag
-    over all tasks, then to (hashtag, shard of names), then to the hashtag. No
-    task collects more than one shard of one hashtag, or names well beyond
-    ``inline_names``. A hashtag with more names than that gets NULL in
-    ``user_names``; all its names are then in ``overflow_names``.
-    Where the ``busy`` hashtags are known, all others need just one shard.
-    """
-    pairs = exploded.groupBy("hashtag", "user_name").agg(*_measured())
-    shard = F.pmod(F.xxhash64("user_name"), F.lit(name_shards)).cast("int")
-    # Twice an even share: a shard beyond it means the limit is passed as well.
-    part = F.lit(2 * inline_names // name_shards + 32)
-    if busy is not None:
-        # Broadcast: one row per ``inline_names`` input rows at most.
-        pairs = pairs.join(F.broadcast(busy.select("hashtag", F.lit(True).alias("_busy"))), "hashtag", "left")
-        shard = F.when(F.col("_busy"), shard).otherwise(F.lit(-1))
-        part = F.when(F.col("_shard") < 0, F.lit(inline_names)).otherwise(part)
-    shards = pairs.groupBy("hashtag", shard.alias("_shard")).agg(
-        *_combined(), F.collect_list("user_name").alias("_names")
-    )
-    fits = F.size("_names") <= part
-    joined = shards.groupBy("hashtag").agg(
-        *_combined(),
-        F.collect_list(F.when(fits, F.col("_names"))).alias("_names"),
-        (F.bool_and(fits) & (F.sum(F.size("_names")) <= inline_names)).alias("_inline"),
-    )
-    names = F.when(F.col("_inline"), F.array_sort(F.flatten("_names"))).alias("user_names")
-    return conform(_finished(joined, names), AGGREGATED)
+def name_measures(exploded: DataFrame) -> DataFrame:
+    """Measures per hashtag and name: stored once, both results below come from it."""
+    return exploded.groupBy("hashtag", "user_name").agg(*_measured())
+
+
+def aggregate_names(pairs: DataFrame) -> DataFrame:
+    """``aggregate_hashtags`` from stored pairs."""
+    return _finished(pairs.groupBy("hashtag").agg(*_combined()))
+
+
+def names_of(pairs: DataFrame) -> DataFrame:
+    """The names of stored pairs, which are distinct."""
+    return pairs.where(F.col("user_name").isNotNull()).select(*NAMES.names)
 
 
 def hashtag_names(exploded: DataFrame) -> DataFrame:
-    """The distinct names per hashtag in long form."""
+    """The distinct names per hashtag."""
     return exploded.where(F.col("user_name").isNotNull()).select(*NAMES.names).distinct()
 
 
-def inline_names(staged: DataFrame) -> DataFrame:
-    """The names that are held in arrays, in long form."""
-    return staged.select("hashtag", F.explode("user_names").alias("user_name"))
+_SIDES = ["rt_count", "tweet_count", "avg_sentiment", "date_posted", "date_recorded"]
+#: Of two rows with equal counts the greater by these stays, then the new one.
+_RECORDED = ["date_recorded", "tweet_count", "avg_sentiment", "date_posted"]
 
 
-def overflow_names(staged: DataFrame, *sources: DataFrame) -> DataFrame:
-    """All names, from any of ``sources``, of the hashtags without an array.
+def paired(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Old and new measures of every hashtag side by side, in one shuffle.
 
-    There is at most one such hashtag per ``inline_names`` pairs, so the right
-    side is small; its size decides at run time whether it is broadcast.
+    Each input holds one row per hashtag, as aggregates and staging tables do.
     """
-    wanted = staged.where(F.col("user_names").isNull()).select("hashtag")
-    names = sources[0]
-    for source in sources[1:]:
-        names = names.unionByName(source)
-    return names.join(wanted, "hashtag", "left_semi").distinct()
+    columns = ["hashtag", *_SIDES]
+    rows = old.select(*columns, F.lit(False).alias("_new")).unionByName(
+        new.select(*columns, F.lit(True).alias("_new"))
+    )
+    return rows.groupBy("hashtag").agg(
+        F.max(F.when(~F.col("_new"), 1)).alias("in_old"),
+        F.max(F.when(F.col("_new"), 1)).alias("in_new"),
+        *[F.max(F.when(~F.col("_new"), F.col(name))).alias(f"old_{name}") for name in _SIDES],
+        *[F.max(F.when(F.col("_new"), F.col(name))).alias(f"new_{name}") for name in _SIDES],
+    )
 
 
-def _merged(rows: DataFrame, limit: int) -> DataFrame:
-    """Sum rows per hashtag; both inputs hold one row per hashtag and count."""
-    day = F.col("date_recorded")
-    # Whole hundredths have one exact sum, whatever the order of the rows.
-    hundredths = F.round(F.col("avg_sentiment") * 100).cast("long")
-    all_inline = F.count("user_names") == F.count(F.lit(1))
-    names = F.col("_names")
+def side(mode: str = "reference", dedup_counts: bool = True) -> Column:
+    """Which sides of a pair count: ``old``, ``new`` or ``both``."""
+    only = F.when(F.col("in_old").isNull(), "new").when(F.col("in_new").isNull(), "old")
+    if mode == "replace":
+        return only.otherwise("new")
+    if mode != "reference":
+        raise ValueError(f"unknown mode: {mode}")
+    if not dedup_counts:
+        return only.otherwise("both")
+    later = F.struct(*[F.col(f"old_{n}") for n in _RECORDED]) > F.struct(*[F.col(f"new_{n}") for n in _RECORDED])
+    same = F.col("old_rt_count").eqNullSafe(F.col("new_rt_count"))
+    return only.when(same & later, "old").when(same, "new").otherwise("both")
+
+
+def merge_pairs(pairs: DataFrame, mode: str = "reference", dedup_counts: bool = True) -> DataFrame:
+    """One row per hashtag: the side that counts, or both added up."""
+    chosen = side(mode, dedup_counts)
+
+    def one(name: str, both: Column) -> Column:
+        old, new = F.col(f"old_{name}"), F.col(f"new_{name}")
+        return F.when(F.col("_side") == "old", old).when(F.col("_side") == "new", new).otherwise(both)
+
+    def total(name: str) -> Column:
+        old, new = F.col(f"old_{name}"), F.col(f"new_{name}")
+        return F.coalesce(old + new, old, new)
+
+    # Whole hundredths have one exact mean, whatever the order of the rows.
+    old, new = (F.round(F.col(f"{s}_avg_sentiment") * 100).cast("long") for s in ("old", "new"))
+    mean = F.coalesce(F.round((old + new) / 2) / 100, F.col("old_avg_sentiment"), F.col("new_avg_sentiment"))
     return (
-        rows.groupBy("hashtag")
-        .agg(
-            F.sum("rt_count").alias("rt_count"),
-            F.sum("tweet_count").alias("tweet_count"),
-            (F.round(F.avg(hundredths)) / 100).alias("avg_sentiment"),
-            F.when(all_inline, text.flatten_distinct(F.collect_list("user_names"))).alias("_names"),
-            F.min("date_posted").alias("date_posted"),
-            F.max("date_recorded").alias("date_recorded"),
+        pairs.withColumn("_side", chosen)
+        .select(
+            "hashtag",
+            one("rt_count", total("rt_count")).alias("rt_count"),
+            one("tweet_count", total("tweet_count")).alias("tweet_count"),
+            one("avg_sentiment", mean).alias("avg_sentiment"),
+            one("date_posted", F.least("old_date_posted", "new_date_posted")).alias("date_posted"),
+            one("date_recorded", F.greatest("old_date_recorded", "new_date_recorded")).alias("date_recorded"),
         )
-        .withColumn("user_names", F.when(F.size(names) <= limit, names))
-        .withColumns(dates.partition_parts(day))
+        .withColumns(dates.partition_parts(F.col("date_recorded")))
     )
 
 
@@ -160,7 +144,6 @@ def merge_staging(
     mode: str = "reference",
     dedup_counts: bool = True,
     stamp: str = "timestamp",
-    limit: int = INLINE_NAMES,
 ) -> DataFrame:
     """Merge fresh aggregates into the staging rows.
 
@@ -170,16 +153,29 @@ def merge_staging(
     ``dedup_counts=False`` sums every row. ``stamp="day_hour"`` writes day and
     hour of the merge in place of its time.
     """
-    previous = old.drop("last_update")
-    if mode == "replace":
-        ranked = previous.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-        merged = dedup.greatest_row(ranked, ["hashtag"], ["_new", "date_recorded"])
-    elif mode == "reference":
-        rows = dedup.union_all(previous, new)
-        merged = _merged(dedup.distinct_counts(rows) if dedup_counts else rows, limit)
-    else:
-        raise ValueError(f"unknown mode: {mode}")
-    return stamped(merged, zone, now, stamp)
+    return stamped(merge_pairs(paired(new, old), mode, dedup_counts), zone, now, stamp)
+
+
+def merge_names(
+    new: DataFrame, old: DataFrame, pairs: DataFrame, mode: str = "reference", dedup_counts: bool = True
+) -> DataFrame:
+    """The names of the merged rows: those of a side that doesn't count go with it.
+
+    ``pairs`` should be stored: only hashtags on both sides of which one counts
+    are looked up. They are read with a known size, which decides the join, and
+    a hashtag with very many names can be split in it.
+    """
+    dropped = pairs.where("in_old IS NOT NULL AND in_new IS NOT NULL").select(
+        "hashtag", side(mode, dedup_counts).alias("_side")
+    )
+    kept_old = old.join(dropped.where("_side = 'new'").select("hashtag"), "hashtag", "left_anti")
+    kept_new = new.join(dropped.where("_side = 'old'").select("hashtag"), "hashtag", "left_anti")
+    return kept_old.select(*NAMES.names).unionByName(kept_new.select(*NAMES.names)).distinct()
+
+
+def published_names(names: DataFrame, staging: DataFrame) -> DataFrame:
+    """Names with the partition of the row that they belong to."""
+    return conform(names.join(staging.select("hashtag", *PARTITIONS), "hashtag"), PUBLISHED_NAMES)
 
 
 def stamped(
@@ -197,8 +193,8 @@ def stamped(
 
 
 def fresh_staging(new: DataFrame, zone: str = "UTC", now: dt.datetime | None = None) -> DataFrame:
-    """First staging rows of a day."""
-    return stamped(dedup.distinct_counts(new), zone, now)
+    """First staging rows of a day. Aggregates hold one row per hashtag, so none can repeat."""
+    return stamped(new, zone, now)
 
 
 def last_update(staging: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def to_base(landing: DataFrame, value: str = "full_tweet") -> DataFrame:
         "tweet_id": repost["id_str"],
         "tweet_txt": posts.post_text(),
         "hashtags": posts.tag_texts(),
-        "rt_count": repost["retweet_count"],
+        "rt_count": posts.count(),
         "user_id": repost["user"]["id_str"],
         "user_name": repost["user"]["screen_name"],
     }

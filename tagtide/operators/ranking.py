@@ -2,71 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtide.functions import dates
 from tagtide.schemas import ANALYTIC, conform
-from tagtide.workspace import checkpointed
+from tagtide.workspace import checkpointed, stored
 
 DAY = "date_recorded"
 
 
-def running_total(
-    df: DataFrame, group: str, order: list[Column], value: Column, out: str
-) -> DataFrame:
-    """Running sum of ``value`` per ``group`` in ``order``, which must be unique.
+def _placed(df: DataFrame, group: str, out: str, ties: bool) -> DataFrame:
+    """Rows with their number (or rank) per ``group`` by falling count, then hashtag.
 
-    Rows are range-partitioned over all tasks and checkpointed, which fixes the
-    partition of every row. Each task sums its own range and adds the total of
-    the ranges before it: one number per range and group.
+    Runs a job when called: rows are range-partitioned over all tasks and
+    checkpointed, which fixes the range of every row. Each task numbers its own
+    range; one header row per range and group says how many rows come before.
+    For ranks a header also says how many of these have the range's first count,
+    so a count that fills many ranges is never brought together.
     """
     ranged = checkpointed(
-        df.withColumn("_value", value)
-        .repartitionByRange(group, *order)
-        .withColumn("_range", F.spark_partition_id())
+        df.repartitionByRange(group, F.desc("rt_count"), F.asc("hashtag")).withColumn("_range", F.spark_partition_id())
     )
-    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ranged.groupBy(group, "_range")
-        .agg(F.sum("_value").alias("_sum"))
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_range").alias("_of"),
-            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-        )
+    by_range = Window.partitionBy(group).orderBy("_range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    same_low = Window.partitionBy(group, "_low").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    counts = ranged.groupBy(group, "_range", "rt_count").agg(F.count(F.lit(1)).alias("_n"))
+    headers = counts.groupBy(group, "_range").agg(
+        F.sum("_n").alias("_rows"),
+        F.max("rt_count").alias("_top"),
+        F.min("rt_count").alias("_low"),
+        F.min_by("_n", "rt_count").alias("_low_rows"),
     )
-    within = (
-        Window.partitionBy(group, "_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a range's run of its lowest count, with the runs of that count in ranges before
+    headers = headers.withColumn("_run", F.sum("_low_rows").over(same_low)).withColumn(
+        "_tail",
+        F.when(F.lag("_low").over(by_range) == F.col("_top"), F.lag("_run").over(by_range)).otherwise(F.lit(0)),
     )
-    local = ranged.withColumn("_local", F.sum("_value").over(within))
-    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of"))
-    return local.join(before, same).select(
-        *[F.col(f"`{name}`") for name in df.columns], (F.col("_local") + F.col("_before")).alias(out)
+    headers = headers.select(
+        F.col(group).alias("_group"),
+        F.col("_range").alias("_of"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        "_tail",
     )
+    within = Window.partitionBy(group, "_range").orderBy(F.desc("rt_count"), *([] if ties else [F.asc("hashtag")]))
+    local = ranged.withColumn("_local", (F.rank() if ties else F.row_number()).over(within))
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of"))
+    place = F.col("_local") + F.col("_before")
+    if ties:
+        place = place - F.when(F.col("_local") == 1, F.col("_tail")).otherwise(F.lit(0))
+    rows = local.join(stored(headers, "headers"), same)
+    return rows.select(*[F.col(f"`{name}`") for name in df.columns], place.cast("int").alias(out))
 
 
 def number_rows(df: DataFrame, group: str = DAY, out: str = "rank") -> DataFrame:
-    """Row number per day by count, ties by hashtag."""
-    return running_total(df, group, [F.desc("rt_count"), F.asc("hashtag")], F.lit(1), out)
+    """Row number per day by count, ties by hashtag. Runs a job when called."""
+    return _placed(df, group, out, ties=False)
 
 
 def rank_rows(df: DataFrame, group: str = DAY, out: str = "rank") -> DataFrame:
-    """Rank per day by count: equal counts share it, gaps follow.
-
-    Ranks are worked out on the counts that occur, then joined back, so a count
-    shared by very many hashtags is one row in the ranking.
-    """
-    counts = df.groupBy(group, "rt_count").agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = running_total(counts, group, [F.desc("rt_count")], F.col("_rows"), "_through")
-    ranks = ranked.select(
-        F.col(group).alias("_group"),
-        F.col("rt_count").alias("_count"),
-        (F.col("_through") - F.col("_rows") + 1).cast("int").alias(out),
-    )
-    return _with_ranks(df, ranks, group, out)
+    """Rank per day by count: equal counts share it, gaps follow. Runs a job when called."""
+    return _placed(df, group, out, ties=True)
 
 
 def _with_ranks(df: DataFrame, ranks: DataFrame, group: str, out: str) -> DataFrame:
@@ -93,7 +89,10 @@ def top_n_per_day(df: DataFrame, n: int = 10, group: str = DAY, out: str = "rank
 
 
 def publish(staging: DataFrame) -> DataFrame:
-    """Staging rows as published: ``hashtag_id`` is the date and the row number."""
+    """Staging rows as published: ``hashtag_id`` is the date and the row number.
+
+    Runs a job when called. Rows are measures only, without names.
+    """
     numbered = number_rows(staging.drop("last_update"))
     return conform(
         numbered.withColumn("hashtag_id", F.concat_ws("-", dates.compact_date(), "rank")), ANALYTIC

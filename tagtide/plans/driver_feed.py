@@ -63,13 +63,14 @@ def _document() -> Column:
             )
         )
     )
+    reposts = F.get_json_object("props", "$.k").cast("long") * 3
     repost = F.struct(
         F.date_format(days_before("ts", POSTED_DAYS_AGO), "EEE MMM dd HH:mm:ss +0000 yyyy").alias(
             "created_at"
         ),
         F.col("doc_id").cast("string").alias("id_str"),
         text.alias("text"),
-        F.when(~_each(11, 53), F.get_json_object("props", "$.k").cast("long") * 3).alias("retweet_count"),
+        F.when(~_each(11, 53) & ~_each(5, 7), reposts).alias("retweet_count"),
         F.struct(
             F.col("user_id").cast("string").alias("id_str"),
             F.concat(F.lit("u"), "user_id").alias("screen_name"),
@@ -82,6 +83,7 @@ def _document() -> Column:
             ),
         ).alias("extended_tweet"),
     )
+    # every seventh count arrives as text
     whole = F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
@@ -90,6 +92,8 @@ def _document() -> Column:
             F.when(F.col("event_type") != "error", repost).alias("retweeted_status"),
         )
     )
+    quoted = F.concat(F.lit('"retweeted_status":{"retweet_count":"'), reposts.cast("string"), F.lit('",'))
+    whole = F.when(_each(5, 7) & ~_each(11, 53) & reposts.isNotNull(), F.replace(whole, F.lit('"retweeted_status":{'), quoted)).otherwise(whole)
     return F.when(_each(13, 97), MALFORMED).when(_each(7, 89), DELETE_NOTICE).otherwise(whole)
 
 

@@ -16,18 +16,20 @@ from tagtide.operators import aggregate, ranking
 from tagtide.operators.base import to_base
 from tagtide.operators.explode import explode_posts
 from tagtide.operators.filters import ingest_filter
-from tagtide.schemas import LANDING, PARTITIONS, PUBLISHED_NAMES, conform
+from tagtide.schemas import LANDING, PARTITIONS
 from tagtide.sinks import tables as sink
 from tagtide.sinks.kafka import start_kafka, write_kafka
 from tagtide.sources import tables as source
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
 from tagtide.streaming.supervise import run_until_collected, run_until_stopped
+from tagtide.workspace import stored
 
 
 def ingest(feed: DataFrame, settings: Settings, checkpoint: str | None = None) -> StreamingQuery | None:
     """Accepted documents of a batch or streaming feed to the raw topic."""
     if feed.isStreaming:
-        return start_kafka(accepted_stream(feed, settings.feed), settings.kafka, checkpoint)
+        accepted = accepted_stream(feed, settings.feed)
+        return start_kafka(accepted, settings.kafka, checkpoint, settings.spark.batch_seconds)
     write_kafka(ingest_filter(feed, settings.feed), settings.kafka)
     return None
 
@@ -40,16 +42,20 @@ def land(records: DataFrame, settings: Settings) -> StreamingQuery:
         settings.tables.landing_checkpoint,
         settings.tables.time_zone,
         batch_seconds=settings.spark.batch_seconds,
+        retention=settings.tables.landing_retention,
     )
 
 
 def ingest_until_collected(
-    feed: DataFrame, path: str, checkpoint: str, settings: Settings
+    feed: DataFrame, path: str | None, checkpoint: str, settings: Settings
 ) -> int:
-    """Accepted documents of a stream to a folder, until enough are collected."""
-    query = start_text(
-        accepted_stream(feed, settings.feed), path, checkpoint, settings.spark.batch_seconds
-    )
+    """Accepted documents of a stream to a folder, or the topic, until enough are collected."""
+    if path is None:
+        query = ingest(feed, settings, checkpoint)
+    else:
+        query = start_text(
+            accepted_stream(feed, settings.feed), path, checkpoint, settings.spark.batch_seconds
+        )
     return run_until_collected(query, settings.feed.posts_to_collect, settings.spark.poll_seconds)
 
 
@@ -66,19 +72,39 @@ def land_until_stopped(records: DataFrame, settings: Settings) -> int:
 
 
 def land_to_base(
-    spark: SparkSession, settings: Settings, as_of: dt.datetime | None = None, mode: str = "calendar"
+    spark: SparkSession,
+    settings: Settings,
+    as_of: dt.datetime | None = None,
+    mode: str = "calendar",
+    load: str = "append",
 ) -> int:
-    """Append the base rows of recent landing partitions; gives their number."""
+    """Base rows of recent landing partitions; gives their number.
+
+    ``load="append"`` adds them, so a second run adds them again.
+    ``load="replace"`` replaces the partitions it reads and may be repeated.
+    """
     chosen = settings.tables
     day = dates.since_date(chosen.time_zone, chosen.days_back, as_of)
     landing = source.orc_path_since(spark, chosen.landing_path, LANDING, day, mode)
+    if load == "replace":
+        return sink.overwrite_table_partitions(to_base(landing), chosen.base_table)
+    if load != "append":
+        raise ValueError(f"unknown load: {load}")
     return sink.append_table(to_base(landing), chosen.base_table, chosen.base_path)
 
 
+def updated_on(staging: DataFrame, day: dt.date) -> DataFrame:
+    """One row: whether staging was last updated on ``day``; true when empty.
+
+    Compared in Spark: a time that crosses to the driver turns into its machine's zone.
+    """
+    same = F.to_date("last_update") == F.lit(day)
+    return aggregate.last_update(staging).select(F.coalesce(same, F.lit(True)).alias("updated"))
+
+
 def updated_today(staging: DataFrame, zone: str, now: dt.datetime | None = None) -> bool:
     """Whether staging was last updated on the date of ``now``; true when empty."""
-    last = aggregate.last_update(staging).first()["last_update"]
-    return last is None or last.date() == (now or dt.datetime.now(ZoneInfo(zone))).date()
+    return updated_on(staging, (now or dt.datetime.now(ZoneInfo(zone))).date()).first()["updated"]
 
 
 def base_to_analytic(
@@ -90,60 +116,45 @@ def base_to_analytic(
     merge_mode: str = "reference",
     scan_mode: str = "calendar",
 ) -> dict[str, int]:
-    """Aggregate recent base partitions into staging; publish on the first run of a day."""
+    """Aggregate recent base partitions into staging; publish on the first run of a day.
+
+    Publishing appends only rows that aren't there yet, so a run that failed
+    after it can be done again.
+    """
     chosen = settings.tables
-    zone, limit = chosen.time_zone, chosen.inline_names
+    zone = chosen.time_zone
     day = dates.since_date(zone, chosen.days_back, now)
     base = source.table_since(spark, chosen.base_table, day, scan_mode)
-    exploded = explode_posts(base, score, score_before_dedup)
-    busy = aggregate.busy_hashtags(base, limit)
-    fresh = aggregate.aggregate_hashtags(exploded, limit, busy=busy)
+    # Scored and deduplicated once; the aggregate and the names both come from it.
+    measures = stored(aggregate.name_measures(explode_posts(base, score, score_before_dedup)), "names")
+    fresh, new_names = aggregate.aggregate_names(measures), aggregate.names_of(measures)
     staging = spark.table(chosen.staging_table)
     names = spark.table(chosen.staging_names_table)
-    new_names = aggregate.hashtag_names(exploded)
 
     if updated_today(staging, zone, now):
         before = staging.count()
-        known = [new_names, names, aggregate.inline_names(staging)]
-        if merge_mode == "replace":
-            seen = new_names.select("hashtag").distinct()
-            known = [new_names, names.join(seen, "hashtag", "left_anti")]
-        merged = aggregate.merge_staging(fresh, staging, zone, now, merge_mode, limit=limit)
+        pairs = stored(aggregate.paired(fresh, staging), "pairs")
+        all_names = aggregate.merge_names(new_names, names, pairs, merge_mode)
+        merged = aggregate.stamped(aggregate.merge_pairs(pairs, merge_mode), zone, now)
+        sink.replace_table(all_names, chosen.staging_names_table, chosen.staging_names_path)
         after = sink.replace_table(merged, chosen.staging_table, chosen.staging_path)
-        _replace_names(spark, settings, known)
         return {"staged": after, "new": after - before, "published": 0}
 
-    published = sink.append_table(
-        ranking.publish(staging), chosen.analytic_table, chosen.analytic_path
+    published = _append_missing(ranking.publish(staging), chosen.analytic_table, chosen.analytic_path)
+    _append_missing(
+        aggregate.published_names(names, staging), chosen.analytic_names_table, chosen.analytic_names_path
     )
-    _publish_names(staging, names, settings)
+    sink.replace_table(new_names, chosen.staging_names_table, chosen.staging_names_path)
     rows = aggregate.fresh_staging(fresh, zone, now)
     after = sink.replace_table(rows, chosen.staging_table, chosen.staging_path)
-    _replace_names(spark, settings, [new_names])
     return {"staged": after, "new": after, "published": published}
 
 
-def _replace_names(spark: SparkSession, settings: Settings, sources: list[DataFrame]) -> None:
-    """Keep the long-form names in step with the hashtags that have no array."""
-    chosen = settings.tables
-    staging = spark.table(chosen.staging_table)
-    wanted = staging.where(F.col("user_names").isNull())
-    if wanted.isEmpty() and spark.table(chosen.staging_names_table).isEmpty():
-        return
-    rows = aggregate.overflow_names(staging, *sources)
-    sink.replace_table(rows, chosen.staging_names_table, chosen.staging_names_path)
-
-
-def _publish_names(staging: DataFrame, names: DataFrame, settings: Settings) -> None:
-    """Append the long-form names next to the rows they belong to."""
-    if names.isEmpty():
-        return
-    rows = names.join(staging.select("hashtag", *PARTITIONS), "hashtag")
-    sink.append_table(
-        conform(rows, PUBLISHED_NAMES),
-        settings.tables.analytic_names_table,
-        settings.tables.analytic_names_path,
-    )
+def _append_missing(rows: DataFrame, table: str, path: str) -> int:
+    """Append the rows that the table doesn't hold; only their partitions are read."""
+    days = rows.select(*PARTITIONS).distinct()
+    there = rows.sparkSession.table(table).join(days, PARTITIONS, "left_semi").select(*rows.columns)
+    return sink.append_table(stored(rows.subtract(there), "missing"), table, path)
 
 
 def staging_status(staging: DataFrame, zone: str, now: dt.datetime | None = None) -> DataFrame:

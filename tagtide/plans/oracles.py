@@ -95,7 +95,7 @@ def _latest(source: str = "base", where: str = "true", name: str = "latest") ->
 {name} AS (
   SELECT * FROM {source} WHERE {where}
   QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY rt_count DESC, posted_at DESC, user_id DESC,
-    user_name DESC) = 1
+    created DESC, tweet_txt DESC, user_name DESC) = 1
 )"""
 
 
@@ -114,7 +114,6 @@ def _aggregated(source: str = "exploded", name: str = "aggregated") -> str:
 {name} AS (
   SELECT hashtag, CAST(sum(rt_count) AS BIGINT) AS rt_count, count(tweet_id) AS tweet_count,
     ((CAST(sum("sentiment_%") AS BIGINT) * 200 + count(*)) // (2 * count(*))) / 100.0 AS avg_sentiment,
-    list_sort(list(DISTINCT user_name)) AS user_names,
     min(date_posted) AS date_posted, max(date_recorded) AS date_recorded
   FROM {source} GROUP BY hashtag
 )"""
@@ -130,14 +129,14 @@ _HALVES = [
     _latest(where="year = 2024", name="latest_new"),
     _exploded("latest_new", "exploded_new"),
     _aggregated("exploded_new", "new"),
-    "both_days AS (SELECT * FROM old UNION ALL SELECT * FROM new)",
+    "both_days AS (SELECT *, false AS is_new FROM old UNION ALL SELECT *, true FROM new)",
 ]
 _DATES = (
     "strftime(date_posted, '%Y-%m-%d') AS date_posted, "
     "strftime(date_recorded, '%Y-%m-%d') AS date_recorded, " + _day("date_recorded")
 )
 _MEASURES = (
-    "hashtag, rt_count, tweet_count, avg_sentiment, array_to_string(user_names, '|') AS user_names, " + _DATES
+    "hashtag, rt_count, tweet_count, avg_sentiment, " + _DATES
 )
 _NOW = "'2024-01-15 12:30:00' AS last_update"
 
@@ -147,7 +146,6 @@ def _merged(rows: str) -> str:
 merged AS (
   SELECT hashtag, CAST(sum(rt_count) AS BIGINT) AS rt_count, CAST(sum(tweet_count) AS BIGINT) AS tweet_count,
     ((sum(CAST(round(avg_sentiment * 100) AS BIGINT)) * 2 + count(*)) // (2 * count(*))) / 100.0 AS avg_sentiment,
-    list_sort(list_distinct(flatten(list(user_names)))) AS user_names,
     min(date_posted) AS date_posted, max(date_recorded) AS date_recorded
   FROM {rows} GROUP BY hashtag
 )"""
@@ -157,7 +155,13 @@ _DISTINCT_COUNTS = """
 kept AS (
   SELECT * FROM both_days
   QUALIFY row_number() OVER (PARTITION BY hashtag, rt_count ORDER BY date_recorded DESC, tweet_count DESC,
-    avg_sentiment DESC, user_names DESC, date_posted DESC) = 1
+    avg_sentiment DESC, date_posted DESC, is_new DESC) = 1
+)"""
+
+_NAMES = """
+names AS (
+  SELECT DISTINCT hashtag, user_name, false AS is_new FROM exploded_old WHERE user_name IS NOT NULL
+  UNION ALL SELECT DISTINCT hashtag, user_name, true FROM exploded_new WHERE user_name IS NOT NULL
 )"""
 
 
@@ -169,8 +173,8 @@ def _feed(select: str) -> str:
     return _with([FEED], select)
 
 
-def _ranked(rank: str, extra: str) -> str:
-    return f"SELECT *, {rank} OVER (PARTITION BY date_recorded ORDER BY rt_count DESC{extra}) AS rank FROM aggregated"
+def _ranked(rank: str, extra: str, rows: str = "aggregated") -> str:
+    return f"SELECT *, {rank} OVER (PARTITION BY date_recorded ORDER BY rt_count DESC{extra}) AS rank FROM {rows}"
 
 
 _TOP = f"""
@@ -240,12 +244,12 @@ def oracle_sql() -> dict[str, str]:
         "day(ts + INTERVAL 1 HOUR) AS day, hour(ts + INTERVAL 1 HOUR) AS hour FROM events",
         "land_to_base": _with([FEED, BASE], f"SELECT {_BASE_ROW} FROM base"),
         "dedup_latest": _with(
-            [FEED, BASE, _latest()], f"SELECT {_BASE_ROW.replace('tweet_txt, ', '')} FROM latest"
+            [FEED, BASE, _latest()], f"SELECT {_BASE_ROW} FROM latest"
         ),
         "explode_tags": _with(
             [FEED, BASE],
-            "SELECT created, tweet_id, unnest(hashtags) AS hashtag, rt_count, user_id, user_name, year, "
-            "month, day FROM base",
+            "SELECT created, tweet_id, tweet_txt, unnest(hashtags) AS hashtag, rt_count, user_id, user_name, "
+            "year, month, day FROM base",
         ),
         "sentiment_lexicon": _feed(
             f"SELECT event_id, len({_sentences('post_text')}) AS sentences, {_score('post_text')} AS score "
@@ -273,13 +277,33 @@ def oracle_sql() -> dict[str, str]:
             [*_HALVES, _merged("both_days")],
             f"SELECT {_MEASURES}, 15 AS last_update1, 12 AS last_update2 FROM merged",
         ),
+        "staging_names": _with(
+            [*_HALVES, _DISTINCT_COUNTS, _NAMES],
+            "SELECT DISTINCT hashtag, user_name FROM names JOIN kept USING (hashtag, is_new)",
+        ),
+        "staging_names_replace": _with(
+            [*_HALVES, _NAMES],
+            "SELECT hashtag, user_name FROM names WHERE is_new OR hashtag NOT IN (SELECT hashtag FROM new)",
+        ),
+        "published_names": _with(
+            _ALL,
+            f"SELECT hashtag, user_name, {_day('a.date_recorded')} FROM aggregated a JOIN "
+            "(SELECT DISTINCT hashtag, user_name FROM exploded WHERE user_name IS NOT NULL) USING (hashtag)",
+        ),
         "union_all": _with(
             _HALVES, f"SELECT hashtag, rt_count, tweet_count, avg_sentiment, {_DATES} FROM both_days"
         ),
         "max_update": _feed(
             "SELECT strftime(max(landed), '%Y-%m-%d %H:%M:%S') AS last_update FROM feed"
         ),
-        "status": "SELECT '2024-01-15 12:30:00' AS last_update, 15 AS last_day, 12 AS hour_now, 15 AS day_now",
+        "status": _feed(
+            "SELECT strftime(max(landed), '%Y-%m-%d %H:%M:%S') AS last_update, day(max(landed)) AS last_day, "
+            "12 AS hour_now, 15 AS day_now, 'UTC' AS local_zone FROM feed"
+        ),
+        "updated_today": _feed(
+            "SELECT days_back, CAST(CAST(max(landed) AS DATE) = CAST(max(landed) AS DATE) - days_back AS BIGINT) "
+            "AS updated FROM feed, (VALUES (0), (1)) AS back(days_back) GROUP BY days_back"
+        ),
         "publish": _with(
             _ALL,
             f"SELECT strftime(date_recorded, '%Y%m%d') || '-' || rank AS hashtag_id, {_MEASURES} "
@@ -300,6 +324,28 @@ def oracle_sql() -> dict[str, str]:
             f"{_day('landed')} FROM feed"
         ),
         "stream_filter": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
+        "stream_collect": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
+        "stream_processing_time": _feed(_LANDED.format(day=_day("landed"), test="true")),
+        "job_land_to_base": _with([FEED, BASE], f"SELECT {_BASE_ROW} FROM base"),
+        "load_twice": _with([FEED, BASE], f"SELECT {_BASE_ROW} FROM base"),
+        "job_same_day": _with(
+            [*_HALVES, _DISTINCT_COUNTS, _merged("kept")], f"SELECT {_MEASURES}, {_NOW} FROM merged"
+        ),
+        "job_same_day_names": _with(
+            [*_HALVES, _DISTINCT_COUNTS, _NAMES],
+            "SELECT DISTINCT hashtag, user_name FROM names JOIN kept USING (hashtag, is_new)",
+        ),
+        "job_new_day": _with(
+            _HALVES,
+            f"SELECT strftime(date_recorded, '%Y%m%d') || '-' || rank AS hashtag_id, {_MEASURES} "
+            f"FROM ({_ranked('row_number()', ', hashtag', 'old')})",
+        ),
+        "job_new_day_staging": _with(_HALVES, f"SELECT {_MEASURES}, {_NOW} FROM new"),
+        "replace_table": _with(
+            _ALL, f"SELECT {_MEASURES.replace(', rt_count,', ', rt_count * 2 AS rt_count,')}, {_NOW} FROM aggregated"
+        ),
+        "truncate": _with(_ALL, 'SELECT count(*) AS "before", 0 AS "left" FROM aggregated'),
+        "sql_view": _with(_ALL, _TOP),
         "part_prune_scan": _with(
             [FEED, BASE],
             "SELECT year, month, day, count(*) AS rows, CAST(sum(rt_count) AS BIGINT) AS rt_count FROM base "

@@ -19,13 +19,16 @@ from tagtide.functions import dates, posts, sentiment, text
 from tagtide.operators import aggregate, dedup, explode, filters, ranking
 from tagtide.operators.base import to_base
 from tagtide.plans import driver_feed as source
-from tagtide.plans.jobs import staging_status
+from tagtide.plans import job_queries
+from tagtide.plans.jobs import staging_status, updated_on
 from tagtide.schemas import BASE, LANDING
 from tagtide.sinks import tables as sink
+from tagtide.sinks.kafka import flush_and_close
 from tagtide.sources import tables
 from tagtide.sources.feeds import to_landing
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
-from tagtide.workspace import checkpointed, new_path
+from tagtide.streaming.supervise import run_until_collected
+from tagtide.workspace import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,19 +78,20 @@ def aggregated(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.aggregate_hashtags(exploded(spark, sf))
 
 
-def totals(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregate.hashtag_totals(exploded(spark, sf))
-
-
-def two_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Aggregates of what landed before and after the turn of the year."""
+def two_years(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Measures per hashtag and name of what landed before and after the turn of the year."""
     rows = base(spark, sf)
     return tuple(
-        aggregate.aggregate_hashtags(explode.explode_posts(rows.where(F.col("year") == year)))
+        stored(aggregate.name_measures(explode.explode_posts(rows.where(F.col("year") == year))), "names")
         for year in (2023, 2024)
     )
 
 
+def two_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Their aggregates."""
+    return tuple(aggregate.aggregate_names(measures) for measures in two_years(spark, sf))
+
+
 def staging(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.fresh_staging(aggregated(spark, sf), ZONE, NOW)
 
@@ -143,7 +147,7 @@ def drop_any_null(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         "lang",
         F.col("retweeted_status.id_str").alias("tweet_id"),
-        F.col("retweeted_status.retweet_count").alias("rt_count"),
+        posts.count().alias("rt_count"),
     )
     return filters.drop_any_null(fields)
 
@@ -154,7 +158,7 @@ def json_extract(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         repost["created_at"].alias("created"),
         repost["id_str"].alias("tweet_id"),
-        repost["retweet_count"].alias("rt_count"),
+        posts.count().alias("rt_count"),
         repost["user"]["id_str"].alias("user_id"),
         posts.json_path("value", "$.retweeted_status.user.screen_name").alias("user_name"),
         posts.post_text().alias("post_text"),
@@ -217,11 +221,11 @@ def land_to_base(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.latest_posts(base(spark, sf)).drop("tweet_txt")
+    return dedup.latest_posts(base(spark, sf))
 
 
 def explode_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return explode.explode_tags(base(spark, sf).drop("tweet_txt"))
+    return explode.explode_tags(base(spark, sf))
 
 
 def sentiment_lexicon(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,7 +296,27 @@ def staging_merge_nodedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def union_all(spark: SparkSession, sf: str) -> DataFrame:
     old, new = two_days(spark, sf)
-    return dedup.union_all(old, new).drop("user_names")
+    return dedup.union_all(old, new)
+
+
+def _merged_names(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    old, new = two_years(spark, sf)
+    pairs = stored(aggregate.paired(aggregate.aggregate_names(new), aggregate.aggregate_names(old)), "pairs")
+    return aggregate.merge_names(aggregate.names_of(new), aggregate.names_of(old), pairs, mode)
+
+
+def staging_names(spark: SparkSession, sf: str) -> DataFrame:
+    return _merged_names(spark, sf, "reference")
+
+
+def staging_names_replace(spark: SparkSession, sf: str) -> DataFrame:
+    return _merged_names(spark, sf, "replace")
+
+
+def published_names(spark: SparkSession, sf: str) -> DataFrame:
+    measures = stored(aggregate.name_measures(exploded(spark, sf)), "names")
+    rows = aggregate.fresh_staging(aggregate.aggregate_names(measures), ZONE, NOW)
+    return aggregate.published_names(aggregate.names_of(measures), rows)
 
 
 def max_update(spark: SparkSession, sf: str) -> DataFrame:
@@ -301,7 +325,23 @@ def max_update(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def status(spark: SparkSession, sf: str) -> DataFrame:
-    return staging_status(staging(spark, sf), ZONE, NOW).drop("local_zone")
+    """Of rows that were updated when they landed."""
+    landed = landing(spark, sf).select(F.timestamp_millis("time_id").alias("last_update"))
+    found = staging_status(landed, ZONE, NOW)
+    return found.withColumn("local_zone", F.regexp_replace("local_zone", "^Etc/", ""))
+
+
+def updated_today(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate, per day of landing, held against the day before and its own."""
+    rows = landing(spark, sf).select(
+        F.timestamp_millis("time_id").alias("last_update"), dates.date_recorded().alias("day")
+    )
+    last = rows.agg(F.max("day")).first()[0]
+    marked = [
+        updated_on(rows.select("last_update"), last - dt.timedelta(days=back)).withColumn("days_back", F.lit(back))
+        for back in (0, 1)
+    ]
+    return marked[0].unionAll(marked[1]).withColumn("updated", F.col("updated").cast("int"))
 
 
 def publish(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,13 +349,11 @@ def publish(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_per_day(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranked twice over, so worked out once, as a stored table is."""
-    rows = checkpointed(totals(spark, sf).select("date_recorded", "hashtag", "rt_count"))
-    return ranking.rank_rows(rows)
+    return ranking.rank_rows(aggregated(spark, sf).select("date_recorded", "hashtag", "rt_count"))
 
 
 def top10_per_day(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.top_view(published(spark, sf))
+    return catalog.top_view(stored(published(spark, sf), "published"))
 
 
 def top10_direct(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,7 +361,7 @@ def top10_direct(spark: SparkSession, sf: str) -> DataFrame:
 
     The view reads its rows twice, so they are worked out once, as a table is.
     """
-    return catalog.top_view(checkpointed(totals(spark, sf)))
+    return catalog.top_view(stored(aggregated(spark, sf), "aggregated"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -331,7 +369,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sorted_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.sorted_by_count(totals(spark, sf).select("hashtag", "rt_count", "tweet_count"))
+    return ranking.sorted_by_count(aggregated(spark, sf).select("hashtag", "rt_count", "tweet_count"))
 
 
 def stream_land(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,6 +401,25 @@ def stream_filter(spark: SparkSession, sf: str) -> DataFrame:
     return accepted.select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
 
 
+def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream stopped after the micro-batch in which enough posts are accepted."""
+    path = new_path(spark, "collected")
+    stream = accepted_stream(source.feed_stream(spark, sf).select("value"), FEED)
+    run_until_collected(start_text(stream, path, new_path(spark, "collected-offsets"), 1), FIRST, 0.2)
+    return spark.read.text(path).select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
+
+
+def stream_processing_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing with an interval, flushed and closed; rows by the day they landed."""
+    records = source.records_of(source.feed_stream(spark, sf))
+    path = new_path(spark, "landing")
+    query = start_landing(
+        records, path, new_path(spark, "landing-offsets"), landed_at=F.col("timestamp"), batch_seconds=1
+    )
+    flush_and_close(query)
+    return tables.orc_path(spark, path, LANDING).select("topic", "time_id", "year", "month", "day")
+
+
 def part_prune_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "base")
     sink.append_path(base(spark, sf), path)
@@ -420,8 +477,12 @@ def queries() -> dict[str, Query]:
         staging_merge,
         staging_merge_replace,
         staging_merge_nodedup,
+        staging_names,
+        staging_names_replace,
+        published_names,
         union_all,
         max_update,
+        updated_today,
         status,
         publish,
         rank_per_day,
@@ -430,9 +491,12 @@ def queries() -> dict[str, Query]:
         sorted_tags,
         stream_land,
         stream_filter,
+        stream_collect,
+        stream_processing_time,
         part_prune_scan,
         orc_roundtrip,
         load_report,
+        *job_queries.QUERIES,
     ]
     return {query.__name__: _flattened(query) for query in listed}
 

@@ -18,7 +18,8 @@ POST = T.StructType(
                     T.StructField("created_at", T.StringType()),
                     T.StructField("id_str", T.StringType()),
                     T.StructField("text", T.StringType()),
-                    T.StructField("retweet_count", T.LongType()),
+                    # a number or a number as text; read it with ``posts.count``
+                    T.StructField("retweet_count", T.StringType()),
                     T.StructField(
                         "user",
                         T.StructType(
@@ -91,7 +92,6 @@ _MEASURES = [
     T.StructField("rt_count", T.LongType()),
     T.StructField("tweet_count", T.LongType()),
     T.StructField("avg_sentiment", T.DoubleType()),
-    T.StructField("user_names", T.ArrayType(T.StringType())),
     T.StructField("date_posted", T.DateType()),
     T.StructField("date_recorded", T.DateType()),
 ]
@@ -105,7 +105,7 @@ ANALYTIC = T.StructType(
 )
 TOP_VIEW = ["date_recorded", "rank", "hashtag", "rt_count", "avg_sentiment", "date_posted"]
 
-# Long form of the names of hashtags that have too many for one array.
+# Every name that used a hashtag, a row each, whether there is one or a hundred million.
 NAMES = T.StructType(
     [T.StructField("hashtag", T.StringType()), T.StructField("user_name", T.StringType())]
 )

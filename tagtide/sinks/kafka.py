@@ -21,9 +21,15 @@ def write_kafka(df: DataFrame, settings: KafkaSettings) -> None:
     df.select("value").write.format("kafka").options(**options).save()
 
 
-def start_kafka(df: DataFrame, settings: KafkaSettings, checkpoint: str) -> StreamingQuery:
+def start_kafka(
+    df: DataFrame, settings: KafkaSettings, checkpoint: str, batch_seconds: int | None = None
+) -> StreamingQuery:
+    """Records to the topic every ``batch_seconds``, as soon as they come when None."""
     options = {**kafka_sink_options(settings), "checkpointLocation": checkpoint}
-    return df.select("value").writeStream.format("kafka").options(**options).start()
+    writer = df.select("value").writeStream.format("kafka").options(**options)
+    if batch_seconds is not None:
+        writer = writer.trigger(processingTime=f"{batch_seconds} seconds")
+    return writer.start()
 
 
 def flush_and_close(query: StreamingQuery) -> None:

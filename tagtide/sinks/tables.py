@@ -48,12 +48,29 @@ def overwrite_partitions(df: DataFrame, path: str) -> int:
     return rows.get["rows"]
 
 
+def overwrite_table_partitions(df: DataFrame, table: str) -> int:
+    """The same for a table of the catalog, whose columns ``df`` has in order."""
+    measured, rows = counted(df, "overwrite")
+    measured.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    return rows.get["rows"]
+
+
+def _drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest version folders: the current one and the one before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f for f in files.listStatus(folder) if f.isDirectory() and f.getPath().getName().startswith("v-")]
+    for old in sorted(found, key=lambda f: f.getModificationTime())[:-keep]:
+        files.delete(old.getPath(), True)
+
+
 def replace_table(df: DataFrame, table: str, path: str) -> int:
     """Replace all rows of an unpartitioned table that ``df`` may itself read.
 
     The rows go to a new folder below ``path`` and the table is pointed to it
     once they are complete, so readers see the old rows or the new ones and a
-    failed write changes nothing. Older folders stay until they are cleaned up.
+    failed write changes nothing. The version before stays for readers that are
+    still at it; older ones are removed.
     """
     spark = df.sparkSession
     version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
@@ -61,6 +78,7 @@ def replace_table(df: DataFrame, table: str, path: str) -> int:
     measured.write.orc(version)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     spark.catalog.refreshTable(table)
+    _drop_old_versions(spark, path)
     return rows.get["rows"]
 
 

@@ -38,10 +38,12 @@ def kafka_source_options(
         if pattern
         else {"subscribe": ",".join(topics or [settings.raw_topic])}
     )
+    limit = {"maxOffsetsPerTrigger": str(settings.records_per_batch)} if settings.records_per_batch else {}
     return {
         "kafka.bootstrap.servers": settings.brokers,
         "kafka.group.id": settings.group_id,
         "startingOffsets": settings.offset_reset,
+        **limit,
         **chosen,
     }
 

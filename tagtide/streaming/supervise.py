@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +12,11 @@ from tagtide.streaming.landing import ROWS
 
 
 class RowCounter:
-    """Adds up a query's observed rows, each micro-batch once."""
+    """Adds up a query's observed rows, each micro-batch once.
+
+    Spark keeps the progress of the last hundred batches, so polls must be more
+    frequent than that.
+    """
 
     def __init__(self, query: StreamingQuery):
         self.query = query
@@ -26,6 +32,14 @@ class RowCounter:
         return self.total
 
 
+def stop_gracefully(query: StreamingQuery, patience: float = 600) -> None:
+    """Stop between micro-batches, or after ``patience`` seconds in the middle of one."""
+    deadline = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.05)
+    query.stop()
+
+
 def run_until_stopped(
     spark: SparkSession,
     query: StreamingQuery,
@@ -48,7 +62,7 @@ def run_until_stopped(
         if idle > idle_batches:
             write_marker(spark, marker, stop_text)
         if marker_exists(spark, marker):
-            query.stop()
+            stop_gracefully(query)
             break
     return counter.update()
 
@@ -58,6 +72,6 @@ def run_until_collected(query: StreamingQuery, wanted: int, poll_seconds: float
     counter = RowCounter(query)
     while not query.awaitTermination(poll_seconds):
         if counter.update() >= wanted:
-            query.stop()
+            stop_gracefully(query)
             break
     return counter.update()

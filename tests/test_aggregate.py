@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagtide.operators import aggregate as A
-from tagtide.schemas import AGGREGATED, EXPLODED, STAGING
+from tagtide.schemas import AGGREGATED, EXPLODED, NAMES, STAGING
 
 DAY = dt.date(2019, 11, 28)
 NOW = dt.datetime(2019, 11, 28, 15, 45)
@@ -54,7 +54,6 @@ def brute_force(rows):
             sum(r[1] for r in found),
             len(found),
             half_up(sum(int(r[3]) for r in found), len(found)),
-            sorted({r[4] for r in found}),
             min(r[5] for r in found),
             last,
             last.year,
@@ -75,24 +74,13 @@ def test_aggregate_equals_brute_force(exploded):
     assert {r.hashtag: tuple(r) for r in found.collect()} == brute_force(exploded_rows())
 
 
-@pytest.mark.parametrize("limit", [60, 100, 1000])
-def test_known_busy_hashtags_give_the_same(exploded, limit):
-    """A hashtag is busy when its base rows pass the limit; names may then overflow."""
-    base = exploded.select(F.array("hashtag").alias("hashtags"))
-    busy = A.busy_hashtags(base, limit)
-    counts = {tag: row[2] for tag, row in brute_force(exploded_rows()).items()}
-    assert {r.hashtag for r in busy.collect()} == {tag for tag, n in counts.items() if n > limit}
-    found = {r.hashtag: tuple(r) for r in A.aggregate_hashtags(exploded, limit, 4, busy).collect()}
-    for tag, row in brute_force(exploded_rows()).items():
-        assert found[tag][:4] + found[tag][5:] == row[:4] + row[5:]
-        assert found[tag][4] == (row[4] if len(row[4]) <= limit else None)
-
-
-def test_totals_are_the_aggregate_without_names(exploded):
-    totals = A.hashtag_totals(exploded)
-    assert "user_names" not in totals.columns
-    whole = A.aggregate_hashtags(exploded).drop("user_names")
-    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, whole.collect()))
+def test_names_and_totals_come_from_one_stored_table(exploded):
+    pairs = A.name_measures(exploded)
+    whole = sorted(map(tuple, A.aggregate_hashtags(exploded).collect()))
+    assert sorted(map(tuple, A.aggregate_names(pairs).collect())) == whole
+    names = sorted({(r[0], r[4]) for r in exploded_rows()})
+    assert sorted(map(tuple, A.names_of(pairs).collect())) == names
+    assert sorted(map(tuple, A.hashtag_names(exploded).collect())) == names
 
 
 def test_case_matters(spark):
@@ -100,21 +88,6 @@ def test_case_matters(spark):
     assert A.aggregate_hashtags(spark.createDataFrame(rows, EXPLODED)).count() == 2
 
 
-def test_many_names_move_to_the_long_form(exploded):
-    """Whole results beyond the limit: totals unchanged, every name in long form."""
-    found = {r.hashtag: tuple(r) for r in A.aggregate_hashtags(exploded, 60, 2).collect()}
-    expected = brute_force(exploded_rows())
-    over = {tag for tag, row in found.items() if row[4] is None}
-    assert over == {tag for tag, row in expected.items() if len(row[4]) > 60} == {"H0"}
-    for tag, row in expected.items():
-        assert found[tag][:4] + found[tag][5:] == row[:4] + row[5:]
-        assert tag in over or found[tag][4] == row[4]
-    frame = A.aggregate_hashtags(exploded, 60, 2)
-    names = A.overflow_names(frame, A.hashtag_names(exploded), A.inline_names(frame))
-    pairs = sorted(map(tuple, names.collect()))
-    assert pairs == sorted((tag, name) for tag in over for name in expected[tag][4])
-
-
 def test_no_sentiment_gives_null(spark):
     row = list(exploded_rows(rows=1)[0])
     row[3] = None
@@ -123,91 +96,107 @@ def test_no_sentiment_gives_null(spark):
 
 
 def staged(spark, *rows, stamped=False):
-    """Rows of (hashtag, rt_count, tweet_count, avg_sentiment, names, recorded)."""
+    """Rows of (hashtag, rt_count, tweet_count, avg_sentiment, recorded)."""
     made = []
-    for tag, count, tweets, mean, names, day in rows:
-        row = [tag, count, tweets, mean, names, day - dt.timedelta(days=1), day]
+    for tag, count, tweets, mean, day in rows:
+        row = [tag, count, tweets, mean, day - dt.timedelta(days=1), day]
         row += [dt.datetime(2019, 11, 28, 9)] if stamped else []
         made.append((*row, day.year, day.month, day.day))
     return spark.createDataFrame(made, STAGING if stamped else AGGREGATED)
 
 
+def names(spark, **tags):
+    return spark.createDataFrame([(t, n) for t, found in tags.items() for n in found], NAMES)
+
+
 NEXT = DAY + dt.timedelta(days=3)
 
 
 def test_merge_adds_up_unequal_counts_and_drops_equal_ones(spark):
+    """Names go with the row that is dropped, however many they are."""
     old = staged(
-        spark,
-        ("same", 10, 2, 25.0, ["a"], DAY),
-        ("grown", 10, 2, 25.0, ["a", "b"], DAY),
-        ("old", 1, 1, 50.0, ["c"], DAY),
-        stamped=True,
-    )
-    new = staged(
-        spark,
-        ("same", 10, 3, 75.0, ["d"], NEXT),
-        ("grown", 15, 3, 25.01, ["b", "c"], NEXT),
-        ("new", 4, 1, 0.0, ["e"], NEXT),
+        spark, ("same", 10, 2, 25.0, DAY), ("grown", 10, 2, 25.0, DAY), ("old", 1, 1, 50.0, DAY), stamped=True
     )
+    new = staged(spark, ("same", 10, 3, 75.0, NEXT), ("grown", 15, 3, 25.01, NEXT), ("new", 4, 1, 0.0, NEXT))
     found = A.merge_staging(new, old, now=NOW)
     assert found.dtypes == [(f.name, f.dataType.simpleString()) for f in STAGING]
     rows = {r.hashtag: r for r in found.collect()}
     before = DAY - dt.timedelta(days=1)
-    assert rows["same"][1:8] == (10, 3, 75.0, ["d"], NEXT - dt.timedelta(days=1), NEXT, NOW)
-    assert rows["grown"][1:] == (25, 5, 25.01, ["a", "b", "c"], before, NEXT, NOW, 2019, 12, 1)
-    assert rows["old"][1:8] == (1, 1, 50.0, ["c"], before, DAY, NOW)
-    assert rows["new"][1:8] == (4, 1, 0.0, ["e"], NEXT - dt.timedelta(days=1), NEXT, NOW)
+    assert rows["same"][1:7] == (10, 3, 75.0, NEXT - dt.timedelta(days=1), NEXT, NOW)
+    assert rows["grown"][1:] == (25, 5, 25.01, before, NEXT, NOW, 2019, 12, 1)
+    assert rows["old"][1:7] == (1, 1, 50.0, before, DAY, NOW)
+    assert rows["new"][1:7] == (4, 1, 0.0, NEXT - dt.timedelta(days=1), NEXT, NOW)
+
+    old_names = names(spark, same="a", grown="ab", old="c")
+    new_names = names(spark, same="de", grown="bc", new="e")
+
+    def merged(mode, **options):
+        kept = A.merge_names(new_names, old_names, A.paired(new, old), mode, **options).collect()
+        return {t: "".join(sorted(r.user_name for r in kept if r.hashtag == t)) for t in rows}
+
+    assert merged("reference") == {"same": "de", "grown": "abc", "old": "c", "new": "e"}
+    assert merged("reference", dedup_counts=False) == {"same": "ade", "grown": "abc", "old": "c", "new": "e"}
+    assert merged("replace") == {"same": "de", "grown": "bc", "old": "c", "new": "e"}
+
+
+def test_of_equal_counts_the_one_recorded_last_stays(spark):
+    old = staged(spark, ("tag", 10, 2, 25.0, NEXT), stamped=True)
+    new = staged(spark, ("tag", 10, 9, 75.0, DAY))
+    assert A.merge_staging(new, old, now=NOW).first()[1:4] == (10, 2, 25.0)
+    kept = A.merge_names(names(spark, tag="new"), names(spark, tag="old"), A.paired(new, old))
+    assert sorted(r.user_name for r in kept.collect()) == sorted("old")
 
 
 def test_merge_into_empty_staging(spark):
-    new = staged(spark, ("new", 4, 1, 33.33, ["e"], DAY))
+    new = staged(spark, ("new", 4, 1, 33.33, DAY))
     old = staged(spark, stamped=True)
     assert A.merge_staging(new, old, now=NOW).drop("last_update").collect() == new.collect()
 
 
 def test_merge_again_counts_again_but_replace_does_not(spark):
-    old = staged(spark, ("tag", 10, 2, 25.0, ["a"], DAY), stamped=True)
-    new = staged(spark, ("tag", 15, 3, 50.0, ["b"], DAY))
+    old = staged(spark, ("tag", 10, 2, 25.0, DAY), stamped=True)
+    new = staged(spark, ("tag", 15, 3, 50.0, DAY))
     once = A.merge_staging(new, old, now=NOW)
-    assert once.first()[1:5] == (25, 5, 37.5, ["a", "b"])
+    assert once.first()[1:4] == (25, 5, 37.5)
     assert A.merge_staging(new, once, now=NOW).first()[1] == 40
     replaced = A.merge_staging(new, old, now=NOW, mode="replace")
-    assert replaced.first()[1:5] == (15, 3, 50.0, ["b"])
+    assert replaced.first()[1:4] == (15, 3, 50.0)
     assert A.merge_staging(new, replaced, now=NOW, mode="replace").collect() == replaced.collect()
 
 
 def test_merge_without_dedup_stamps_day_and_hour(spark):
-    old = staged(spark, ("tag", 10, 2, 25.0, ["a"], DAY), stamped=True)
-    new = staged(spark, ("tag", 10, 2, 25.0, ["a"], DAY))
+    old = staged(spark, ("tag", 10, 2, 25.0, DAY), stamped=True)
+    new = staged(spark, ("tag", 10, 2, 25.0, DAY))
     found = A.merge_staging(new, old, now=NOW, dedup_counts=False, stamp="day_hour")
     assert found.columns[-5:] == ["last_update1", "last_update2", "year", "month", "day"]
     row = found.first()
     assert (row.rt_count, row.tweet_count, row.last_update1, row.last_update2) == (20, 4, 28, 15)
 
 
-def test_merge_beyond_the_limit_has_no_array(spark):
-    old = staged(spark, ("tag", 10, 2, 25.0, ["a", "b"], DAY), ("x", 1, 1, 0.0, None, DAY), stamped=True)
-    new = staged(spark, ("tag", 11, 2, 25.0, ["c"], DAY), ("x", 2, 1, 0.0, ["z"], DAY))
-    found = A.merge_staging(new, old, now=NOW, limit=2)
-    assert [r.user_names for r in found.collect()] == [None, None]
-    assert A.merge_staging(new, old, now=NOW, limit=3).where("hashtag = 'tag'").first()[4] == ["a", "b", "c"]
-    names = A.overflow_names(found, A.inline_names(new), A.inline_names(old))
-    assert sorted(map(tuple, names.collect())) == [("tag", "a"), ("tag", "b"), ("tag", "c"), ("x", "z")]
+def test_missing_means_leave_the_other(spark):
+    old = staged(spark, ("tag", 10, 2, None, DAY), stamped=True)
+    new = staged(spark, ("tag", 11, 2, 25.0, DAY))
+    assert A.merge_staging(new, old, now=NOW).first()[1:4] == (21, 4, 25.0)
 
 
 def test_merge_rejects_unknown_mode(spark):
-    new = staged(spark, ("tag", 1, 1, 0.0, ["a"], DAY))
+    new = staged(spark, ("tag", 1, 1, 0.0, DAY))
     with pytest.raises(ValueError):
         A.merge_staging(new, new, mode="other")
 
 
-def test_fresh_staging_keeps_one_row_per_count(spark):
-    new = staged(spark, ("tag", 1, 1, 0.0, ["a"], DAY), ("tag", 1, 1, 0.0, ["b"], NEXT))
-    found = A.fresh_staging(new, now=NOW).collect()
-    assert [(r.user_names, r.last_update) for r in found] == [(["b"], NOW)]
+def test_fresh_staging(spark):
+    new = staged(spark, ("tag", 1, 1, 0.0, DAY))
+    assert [r.last_update for r in A.fresh_staging(new, now=NOW).collect()] == [NOW]
+
+
+def test_published_names_have_the_partition_of_their_row(spark):
+    rows = staged(spark, ("tag", 1, 1, 0.0, DAY), stamped=True)
+    found = A.published_names(names(spark, tag="ab", other="c"), rows).collect()
+    assert sorted(map(tuple, found)) == [("tag", n, 2019, 11, 28) for n in "ab"]
 
 
 def test_last_update(spark):
-    old = staged(spark, ("tag", 1, 1, 0.0, ["a"], DAY), stamped=True)
+    old = staged(spark, ("tag", 1, 1, 0.0, DAY), stamped=True)
     assert A.last_update(old).first()[0] == dt.datetime(2019, 11, 28, 9)
     assert A.last_update(old.where(F.lit(False))).first()[0] is None

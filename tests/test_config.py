@@ -45,6 +45,12 @@ def test_session_takes_over_the_running_one(spark):
     taken = session(Settings(spark=SparkSettings(shuffle_partitions=8)))
     assert taken.sparkContext is spark.sparkContext
     assert taken.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    assert taken.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_records_per_batch():
+    settings = Settings().override({"kafka": {"records_per_batch": "5000"}}).kafka
+    assert kafka_source_options(settings)["maxOffsetsPerTrigger"] == "5000"
 
 
 def test_kafka_options():

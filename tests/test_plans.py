@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagtide.config import FeedSettings
 from tagtide.operators import aggregate, explode, filters, ranking
 from tagtide.operators.base import to_base
-from tagtide.schemas import BASE, LANDING
+from tagtide.schemas import AGGREGATED, BASE, LANDING, STAGING
 from tagtide.sinks import tables as sink
 from tagtide.sources import tables
 
@@ -58,15 +58,32 @@ def test_text_is_not_shuffled(spark):
 
 def test_aggregation_combines_before_every_shuffle(spark):
     plan = plan_of(aggregate.aggregate_hashtags(exploded(spark)))
-    assert plan.count("Exchange hashpartitioning") == 4
-    assert plan.count("partial_sum(rt_count") == 3
-    assert "Exchange hashpartitioning(hashtag#" in plan and "user_name#" in plan
-    assert "SinglePartition" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("partial_sum(rt_count") == 1
+    pairs = plan_of(aggregate.name_measures(exploded(spark)))
+    assert pairs.count("Exchange hashpartitioning") == 2 and pairs.count("partial_sum(rt_count") == 1
 
 
-def test_totals_take_one_more_shuffle(spark):
-    plan = plan_of(aggregate.hashtag_totals(exploded(spark)))
-    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("partial_sum(rt_count") == 1
+def test_merge_takes_one_shuffle(spark):
+    old, new = spark.createDataFrame([], STAGING), spark.createDataFrame([], AGGREGATED)
+    plan = plan_of(aggregate.merge_staging(new.repartition(3), old.repartition(3)))
+    assert plan.count("Exchange hashpartitioning(hashtag") == 1 and "SortAggregate" not in plan
+
+
+def test_fresh_staging_moves_nothing(spark):
+    plan = plan_of(aggregate.fresh_staging(spark.createDataFrame([], AGGREGATED)))
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_ranks_are_not_joined_by_count(spark):
+    rows = spark.range(100).selectExpr("DATE'2019-01-01' AS date_recorded", "7L AS rt_count", "string(id) AS hashtag")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ranking.rank_rows(rows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("_range" in line and "rt_count" not in line for line in joins)
 
 
 def test_top_n_limits_before_its_shuffle(spark):

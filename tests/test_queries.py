@@ -6,6 +6,7 @@ import pytest
 from check_queries import connect, differences
 
 import __spark_entry__ as entry
+from tagtide.plans import oracles, registry
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_sql(spark, tables, name):
     assert differences(spark, tables, SF_DIR, name) is None
 

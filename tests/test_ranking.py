@@ -45,6 +45,14 @@ def test_number_rows(frame):
     assert found == expected
 
 
+def test_ranks_when_a_count_fills_many_ranges(spark):
+    """Counts that begin and end within ranges, and one that spans several."""
+    made = [(f"t{i:05d}", 9 if i < 50 else 5 if i < 1900 else i % 4, DAYS[i % 2]) for i in range(2000)]
+    spread = spark.createDataFrame(made, "hashtag string, rt_count long, date_recorded date").repartition(8)
+    found = {(r.date_recorded, r.hashtag): r.rank for r in R.rank_rows(spread).collect()}
+    assert found == ranks(made)
+
+
 def ranks(made):
     return {
         (day, tag): 1 + sum(other < count for other, _ in found)
@@ -85,8 +93,8 @@ def test_all_rows_tied(spark):
 def test_publish(spark):
     names = ["b", "a", "c"]
     made = [
-        (names[i], [5, 5, 9][i], 1, 50.0, ["u"], DAYS[0], DAYS[0], 2019, 11, 28) for i in range(3)
-    ] + [("d", 1, 1, 50.0, ["u"], DAYS[1], DAYS[1], 2019, 11, 29)]
+        (names[i], [5, 5, 9][i], 1, 50.0, DAYS[0], DAYS[0], 2019, 11, 28) for i in range(3)
+    ] + [("d", 1, 1, 50.0, DAYS[1], DAYS[1], 2019, 11, 29)]
     found = R.publish(spark.createDataFrame(made, AGGREGATED))
     assert {r.hashtag: r.hashtag_id for r in found.collect()} == {
         "c": "20191128-1",

@@ -61,3 +61,16 @@ def test_model_is_loaded_per_task_and_scores_sentences(spark):
     df = spark.createDataFrame([("a b c. d",), ("",), ("x y z w v. k l m n",)], "t string")
     rows = df.select("t", S.model_score(load)(F.col("t")).alias("s")).collect()
     assert {row.t: row.s for row in rows} == {"a b c. d": 2, "": 2, "x y z w v. k l m n": 4}
+
+
+def test_model_is_called_once_per_batch(spark):
+    """Every sentence gets the number of sentences in its call; all rows share one."""
+
+    def load():
+        return lambda sentences: [min(4, len(sentences) // 10)] * len(sentences)
+
+    texts = [(i, ". ".join(["a"] * (i % 4)) if i % 5 else None) for i in range(40)]
+    df = spark.createDataFrame(texts, "i int, t string").coalesce(1)
+    rows = {r.i: r.s for r in df.select("i", S.model_score(load)(F.col("t")).alias("s")).collect()}
+    assert {rows[i] for i, t in texts if t} == {4}
+    assert {rows[i] for i, t in texts if not t} == {2}
