@@ -62,6 +62,5 @@ def test_counts_that_are_no_numbers_drop(spark):
 
 def test_counts_as_text_are_numbers(spark):
     documents = [post(tweet_id=str(i), count=c) for i, c in enumerate([136, "137", 138.5, "many", None])]
-    rows = [("reposts", 1, d, 2019, 12, 1) for d in documents]
-    found = to_base(spark.createDataFrame(rows, LANDING)).collect()
+    found = to_base(landing(spark, *documents)).collect()
     assert {(r.tweet_id, r.rt_count) for r in found} == {("0", 136), ("1", 137)}
