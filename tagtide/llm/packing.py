@@ -122,7 +122,9 @@ class Schedule:
 
     def __init__(self, sizes: list[int], targets: list[float] | None, block: int):
         self.sizes, self.total = sizes, sum(sizes)
-        self.blocks = ceil(self.total / block)
+        # Every queue's part of a block is rounded down, so a block may have a token more per queue.
+        room = block - len(sizes) if block > 4 * len(sizes) else block
+        self.blocks = ceil(self.total / room)
         weights = [max(0, round(w * 1_000_000)) for w in targets] if targets else list(sizes)
         if sum(w > 0 for w in weights) == 0:
             weights = list(sizes)
@@ -244,6 +246,8 @@ def pack(
         return spark.createDataFrame([], PIECES)
     wanted = [targets.get(name, 0.0) for name in names] if targets else None
     schedule = Schedule([int(r["size"]) for r in totals], wanted, window * block_windows)
+    # Windows of a block at most: where queues run dry in it, each may be rounded again.
+    stride = block_windows + 1 + len(names) * (len(names) + 2) // window
     number = {name: i for i, name in enumerate(names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +284,7 @@ def pack(
             queue, doc_ids, doc_starts, sizes, ids = columns[q]
             piece = ids[i][2 * start : 2 * (start + length)]
             crc = zlib.crc32(np.frombuffer(piece, "<u2").astype("<u4").tobytes())
-            out.append((doc_ids[i], doc_starts[i] + start, length, crc, sizes[i], block * block_windows + at, offset, names[queue], piece))
+            out.append((doc_ids[i], doc_starts[i] + start, length, crc, sizes[i], block * stride + at, offset, names[queue], piece))
         found = pd.DataFrame(out, columns=[x.split()[0] for x in PIECES.split(", ")])
         return found.astype({"doc_id": "Int64"})
 

@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(rng: random.Random, n: int, letters: str = "abcdefgh") -> list[str]:
+    return ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n)]
+
+
+def row(doc_id, text, source="s0", lang="en"):
+    return (doc_id, text, lang, source, None if text is None else len(text))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Nulls, empty and very long texts, repeated rows, a source and a group with a third of all."""
+    rng = random.Random(5)
+    rows = [row(1, None), row(2, ""), row(3, " \n\t "), row(None, "no id here at all"), row(5, "only four words here")]
+    rows.append(row(6, " ".join(words(rng, 30_000)), source=None))
+    rows += [row(7, "the very same row " * 5, "s1")] * 3
+    rows += [row(100 + i, "copied text " * 20, "hot") for i in range(30)]
+    rows += [row(200 + i, " ".join(words(rng, rng.randint(1, 80))), rng.choice(["s1", "s2"])) for i in range(40)]
+    rows += [row(300, "Zeilen und \U0001f389 Zeichen  mit   Lücken", None, "de")]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd(spark, odd_rows):
+    """The rows with extra columns named like columns that operators make."""
+    frame = spark.createDataFrame(odd_rows, DOCUMENT).repartition(4)
+    for name in ("_c0", "size", "target", "draws", "n", "set", "rank", "score", "_row", "spans", "_kept", "shard", "ids"):
+        frame = frame.withColumn(name, F.lit(name))
+    return frame
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCUMENT)
