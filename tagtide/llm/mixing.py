@@ -14,7 +14,8 @@ All random choices are hashes of, or generators seeded by, ``seed``, so reruns a
 Nulls and odd rows: null text has size 0; null is a source of its own, the last one;
 rows alike in doc_id and text get the same share, cut down to whole words; with no words
 at all nothing is taken; an empty table gives no rows; further columns are kept as they
-are, except that columns named as the outputs are replaced.
+are in ``mix``; ``plan`` replaces columns named as its outputs and keeps names that begin
+with an underscore for itself.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagtide.llm.columns import Shield, with_length
 from tagtide.workspace import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -197,22 +199,21 @@ def taken(draws: Column) -> Column:
     return F.aggregate(draws, F.lit(0).cast("long"), lambda total, d: total + d["words"])
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: a row per copy, with ``copy`` and ``shard``, shuffled within its shard.
+def mix(docs: DataFrame, more: tuple[str, ...] = ("copy", "shard"), **options) -> DataFrame:
+    """The mix itself: a row per copy, shuffled within its shard, with the columns of ``docs`` and ``more``.
 
     Texts taken in part end after their last word taken. ``n_chars``, if there, follows.
     """
-    rows = plan(docs, **options).withColumn("_draw", F.explode("draws"))
+    shield = Shield(docs, "doc_id", "source", "text")
+    rows = plan(shield.plain, **options).withColumn("_draw", F.explode("draws"))
     spans = F.regexp_extract_all(F.col("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     head = F.array_join(F.slice(spans, F.lit(1), F.col("_draw.words").cast("int")), "")
-    whole = F.col("_draw.words") == F.col("size")
-    seed = options.get("seed", SEED)
-    order = F.xxhash64(F.lit(seed), F.col("_draw.copy"), F.col("doc_id"), F.col("text"))
-    rows = rows.withColumn("_order", order).withColumn("_whole", whole)
-    rows = rows.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(head))
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
-        rows = rows.withColumn("n_chars", n_chars)
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    rows = rows.select(*kept, F.col("_draw.copy").alias("copy"), F.col("_draw.shard").alias("shard"), "_order")
-    return rows.repartition("shard").sortWithinPartitions("shard", "_order").drop("_order")
+    cut = F.col("_draw.words") < F.col("size")
+    order = F.xxhash64(F.lit(options.get("seed", SEED)), F.col("_draw.copy"), F.col("doc_id"), F.col("text"))
+    text = shield.of("text")
+    rows = rows.withColumn(text, F.when(cut, head).otherwise(F.col("text")))
+    rows = with_length(rows, shield, cut).withColumns(
+        {"copy": F.col("_draw.copy"), "shard": F.col("_draw.shard"), "_order": order}
+    )
+    rows = rows.select(*shield.names, "copy", "shard", "_order")
+    return shield.back(rows.repartition("shard").sortWithinPartitions("shard", "_order"), *more)

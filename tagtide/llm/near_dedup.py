@@ -270,7 +270,7 @@ def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, with all its columns."""
     kept = group(docs.select("doc_id", "text"), percent).where("kept AND doc_id IS NOT NULL")
     ids = stored(kept.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "kept")
-    first = docs.join(ids.select("_kept"), F.col("doc_id") == F.col("_kept"), "left_semi")
+    first = docs.alias("d").join(ids.select("_kept").alias("k"), F.col("d.doc_id") == F.col("k._kept"), "left_semi")
     if not ids.where("_rows > 1").isEmpty():  # texts are shuffled only if there is a row to drop
         first = first.dropDuplicates(["doc_id"])
     return first.unionAll(docs.where(F.col("doc_id").isNull()))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagtide.llm.columns import Shield
 from tagtide.llm.folds import hashed_share, held_out
 from tagtide.workspace import stored
 
@@ -219,8 +220,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that aren't rejected, all columns as they were."""
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    # A column named as one of ours would clash: positions stand in for names meanwhile.
-    plain = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    rows = scored(plain, labels, tuple(names), threshold).where("predicted = 1")
-    return rows.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+    shield = Shield(docs, "doc_id", "text")
+    return shield.back(scored(shield.plain, labels, shield.names, threshold).where("predicted = 1"))

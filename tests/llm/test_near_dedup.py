@@ -1,0 +1,144 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest import plan_of
+from llm.conftest import DOCUMENT, row, words
+
+from tagtide.llm import near_dedup as N
+from tagtide.llm.graph import components
+from tagtide.llm.shingles import shingles
+
+
+def brute(rows, percent=85):
+    """All pairs of sets of word tuples, by an inverted index; rows of one id are one document."""
+    sets, parent = [], {}
+    for doc_id, text, *_ in rows:
+        w = (text or "").encode().lower().split()
+        found = frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+        sets.append((doc_id, found))
+        if doc_id is not None:
+            parent[doc_id] = doc_id
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    postings = defaultdict(list)
+    for i, (doc_id, found) in enumerate(sets):
+        if doc_id is None:
+            continue
+        shared = defaultdict(int)
+        for shingle in found:
+            for other in postings[shingle]:
+                shared[other] += 1
+            postings[shingle].append(i)
+        for other, n in shared.items():
+            if 100 * n >= percent * (len(found) + len(sets[other][1]) - n):
+                a, b = sorted((root(doc_id), root(sets[other][0])))
+                parent[b] = a
+    return sorted(
+        ((d, len(s), None if d is None else root(d), d is None or root(d) == d) for d, s in sets), key=repr
+    )
+
+
+def grouped(docs):
+    return sorted(map(tuple, N.group(docs).collect()), key=repr)
+
+
+def test_odd_rows(odd, odd_rows):
+    assert grouped(odd) == brute(odd_rows)
+
+
+def test_empty_table(none):
+    assert N.group(none).collect() == [] and N.dedup(none).collect() == []
+
+
+@pytest.fixture(scope="module")
+def groups():
+    """Near copies at all distances around the threshold, of one text and in chains."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(12):
+        base = words(rng, rng.choice([6, 12, 40, 120]))
+        chain = list(base)
+        for _ in range(14):
+            text = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                text[rng.randrange(len(text))] = "".join(rng.choices("xyz", k=6))
+            rows.append(" ".join(text))
+            chain = chain[rng.choice([0, 0, 1]) :] + words(rng, rng.choice([0, 1, 2]))
+            rows.append(" ".join(chain).upper() if g % 2 else "  ".join(chain))
+    rows += [" ".join(words(rng, 50)) for _ in range(60)]
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    return [row(i, rows[j]) for i, j in enumerate(order)]
+
+
+def test_groups_equal_brute_force(spark, groups):
+    found = grouped(spark.createDataFrame(groups, DOCUMENT).repartition(5))
+    assert found == brute(groups)
+    assert 20 < sum(r[3] for r in found) < len(groups)
+
+
+def test_one_large_group_of_distinct_copies(spark):
+    """Copies further from each other than from their source, in blocks of bounded size."""
+    rng = random.Random(3)
+    base = words(rng, 140)
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rng.randint(0, 4)):
+            text[rng.randrange(len(text))] = f"w{rng.randrange(10**6)}"
+        rows.append(row(i, " ".join(text)))
+    kept, N.BLOCK_SHINGLES = N.BLOCK_SHINGLES, 5_000
+    try:
+        found = grouped(spark.createDataFrame(rows, DOCUMENT).repartition(5))
+    finally:
+        N.BLOCK_SHINGLES = kept
+    assert found == brute(rows)
+
+
+def test_dedup_keeps_one_whole_row_of_each_group(odd, odd_rows):
+    kept = N.dedup(odd)
+    assert kept.columns == odd.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
+    wanted = {r[0] for r in brute(odd_rows) if r[3]}
+    assert ids == sorted(wanted, key=repr)
+
+
+def test_sketches_tell_how_many_samples_differ():
+    rng = np.random.default_rng(1)
+    for differ in (0, 6, 18, 36):
+        a = rng.integers(0, 2**32, N.SAMPLES, dtype=np.uint32)
+        b = a.copy()
+        b[:differ] = rng.integers(0, 2**32, differ, dtype=np.uint32)
+        ones = int(np.bitwise_count(N.odd_sketch(a) ^ N.odd_sketch(b)).sum())
+        assert ones <= 2 * differ and ones >= differ
+    assert N.most_ones(85) >= 2 * 36
+
+
+def test_shingles():
+    assert len(shingles(None)) == len(shingles(" \t\n")) == 0
+    assert len(shingles("a b")) == 1 and len(shingles("a b c d e")) == 1
+    assert np.array_equal(shingles("A B C d e f"), shingles("a\x0bb  c\nd e f"))
+    assert not np.array_equal(shingles("É b c d e"), shingles("é b c d e"))
+    assert len(shingles("a b c d e a b c d e a b c d e")) == 5
+    # a no-break space is no blank
+    assert len(shingles("a b c d e f")) == 1
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, i) for i in range(101, 160)]
+    edges = spark.createDataFrame([*chain, *star, (7, 7), (3, 2)], "u long, v long")
+    found = dict(map(tuple, components(edges).collect()))
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+    assert components(edges.limit(0)).collect() == []
+
+
+def test_no_pairs_of_a_bucket_are_joined(spark):
+    plan = plan_of(N.signatures(spark.createDataFrame([], DOCUMENT)))
+    assert "Exchange" not in plan and "Cartesian" not in plan
