@@ -4,7 +4,7 @@ The standard library's parser streams events; they are cut into lines, one per b
 element. Lines inside elements that hold no article text (menus, headers outside an
 article, footers, side bars, forms, scripts, and those whose class, id or role says so)
 are boilerplate. The others have a ratio of text to tags, from which link text is left
-out. Ratios are smoothed by a Gaussian along the page, so short paragraphs among long
+out. Ratios are smoothed by a Gaussian along these lines, so short paragraphs among long
 ones keep up, and split by a threshold from two-means clustering. Regions with a line
 above it are content: an article or main element as a whole, else the run of lines
 between the first and the last such line.
@@ -60,12 +60,14 @@ NESTS = frozenset("ul ol dl table td th select article section main div body but
 #: Words in a class or id that name boilerplate.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adbox|adslot|banner|sponsor(?:ed)?|promos?|promotion"
-    r"|nav|navbar|navigation|navi|menu|menus|breadcrumbs?|sidebar|side-?bar|aside|widgets?|header|masthead|topbar"
+    r"|nav|navbar|navigation|navi|menu|menus|breadcrumbs?|sidebar|side-?bar|aside|widgets?|masthead|topbar"
     r"|footer|foot|copyright|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup"
     r"|login|search|comments?|commentlist|disqus|replies|respond|discussion|share|sharing|social|related"
     r"|recommended|recommendations?|pagination|pager|toolbar|skip)(?:$|[\s_\d-])",
     re.IGNORECASE,
 )
+#: An article's own header holds its title: only one outside is boilerplate.
+HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_\d-])", re.IGNORECASE)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -121,22 +123,24 @@ class Lines(HTMLParser):
             return
         _, boilerplate, region = self.open[-1] if self.open else ("", False, 0)
         if not boilerplate:
-            boilerplate = tag in SKIPPED or (tag == "header" and not region) or self.named(tag, attrs)
+            boilerplate = tag in SKIPPED or (tag == "header" and not region) or self.named(tag, attrs, bool(region))
         if tag in REGIONS and not boilerplate and not region:
             self.regions += 1
             region = self.regions
         self.open.append((tag, boilerplate, region))
 
     @staticmethod
-    def named(tag: str, attrs: list) -> bool:
+    def named(tag: str, attrs: list, inside: bool) -> bool:
         if tag in ("html", "body", *REGIONS):
             return False
         for name, value in attrs:
             if not value:
                 if name == "hidden":
                     return True
-            elif name in ("class", "id") and NAMED.search(CAMEL.sub("-", value)):
-                return True
+            elif name in ("class", "id"):
+                plain = CAMEL.sub("-", value)
+                if NAMED.search(plain) or not inside and HEADER.search(plain):
+                    return True
             elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value == "true":
                 return True
         return False
@@ -183,7 +187,10 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
 
 
 def threshold(values: list[float]) -> float:
-    """Between the means of two clusters of the values' logarithms."""
+    """Between the means of two clusters of the values' logarithms.
+
+    Clusters whose means don't differ by a factor of two are one: all values pass.
+    """
     logs = [math.log1p(v) for v in values]
     low, high = min(logs), max(logs)
     for _ in range(20):
@@ -192,6 +199,8 @@ def threshold(values: list[float]) -> float:
         if not left or not right:
             break
         low, high = sum(left) / len(left), sum(right) / len(right)
+    if math.expm1(high) < 2 * math.expm1(low):
+        return min(values)
     return math.expm1((low + high) / 2)
 
 
@@ -203,9 +212,9 @@ def main_text(html: str | None) -> str:
     clear = [i for i, line in enumerate(lines) if not line.boilerplate]
     if not clear:
         return ""
-    ratios = smoothed([0.0 if line.boilerplate else line.ratio for line in lines])
-    least = threshold([ratios[i] for i in clear])
-    content = [i for i in clear if ratios[i] >= least]
+    ratios = smoothed([lines[i].ratio for i in clear])
+    least = threshold(ratios)
+    content = [i for i, ratio in zip(clear, ratios, strict=True) if ratio >= least]
     regions = {lines[i].region for i in clear} - {0}
     if regions:
         # a region with a line above the threshold; of several, none only because it is short

@@ -1,0 +1,117 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm.conftest import DOCUMENT, row, words
+
+from tagtide.llm import quality as Q
+
+LABEL = "doc_id long, quality int, toxic int"
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(1500):
+        good = rng.random() < 0.8
+        w = words(rng, rng.randint(5, 120), "abcdefghijklmnoprst")
+        kind = rng.randrange(3)
+        if good:
+            text = " ".join(x.capitalize() if j % 9 == 0 else x + "." * (j % 9 == 8) for j, x in enumerate(w))
+        elif kind == 0:
+            text = " ".join(x.upper() + "!!" for x in w)
+        elif kind == 1:
+            text = " ".join([w[0]] * len(w))
+        else:
+            text = " ".join(x + rng.choice(["$$$", "###", "%%%"]) for x in w)
+        docs.append((i, text, "en", "s", 0))
+        if rng.random() < 0.8:
+            labels.append((i, int(good), 0))
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    return spark.createDataFrame(docs, DOCUMENT).repartition(4), spark.createDataFrame(labels, LABEL)
+
+
+def test_held_out_accuracy(spark, corpus):
+    docs, labels = corpus
+    found = {r.doc_id: r for r in Q.report(*frames(spark, docs, labels)).collect()}
+    assert len(found) == len(docs)
+    for i, r in found.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    held = [(found[i].predicted, q) for i, q, _ in labels if found[i].held_out]
+    assert len(held) > 150 and sum(a == b for a, b in held) >= 0.95 * len(held)
+
+
+def test_held_out_labels_are_not_learnt(spark, corpus):
+    docs, labels = corpus
+    wrong = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
+    both = [
+        np.array([r.score for r in sorted(Q.report(*frames(spark, docs, x)).collect(), key=lambda r: r.doc_id)])
+        for x in (labels, wrong)
+    ]
+    assert np.allclose(*both)
+
+
+def test_normal_equations_equal_a_plain_solution(spark, corpus):
+    docs, labels = corpus
+    frame, marks = frames(spark, docs, labels)
+    model = Q.fit(Q.described(frame, ("doc_id",)), marks.selectExpr("doc_id", "quality", "false AS held"))
+    stats = {i: Q.statistics(t) for i, t, *_ in docs}
+    x = np.array([stats[i] for i, *_ in labels])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-6))
+    raw = model.ridge(x)
+    y = np.array([q for _, q, _ in labels])
+    assert raw[y == 1].mean() > raw[y == 0].mean() + 0.7
+    assert (np.diff(model.probability) > 0).all() and (np.diff(model.raw) > 0).all()
+
+
+def test_random_features_stand_for_a_gaussian_kernel():
+    rng = np.random.default_rng(0)
+    size, features = len(Q.STATISTICS), 20_000
+    model = Q.Model(
+        np.zeros(size), np.ones(size), rng.normal(size=(size, features)) / Q.WIDTH,
+        rng.uniform(0, 2 * np.pi, features), np.zeros(features + 1), np.zeros(1), np.zeros(1),
+    )
+    x = rng.normal(size=(6, size))
+    z = model.features(x)[:, :-1]
+    apart = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    assert np.allclose(z @ z.T, np.exp(-apart / (2 * Q.WIDTH**2)), atol=0.05)
+
+
+def test_isotonic_equals_brute_force():
+    rng = np.random.default_rng(3)
+    raw = np.arange(40.0)
+    mean, weight = rng.random(40), rng.integers(1, 5, 40).astype(float)
+    at, pooled = Q.isotonic(raw, weight, mean)
+    assert (np.diff(pooled) > 0).all() and (np.diff(at) > 0).all()
+    # the greatest lower mean over all later ends, of all earlier starts
+    best = [
+        max(min(np.average(mean[a : b + 1], weights=weight[a : b + 1]) for b in range(i, 40)) for a in range(i + 1))
+        for i in range(40)
+    ]
+    assert np.allclose(sorted(set(np.round(best, 9))), np.round(pooled, 9))
+
+
+def test_odd_rows(spark, odd, odd_rows, none):
+    marks = spark.createDataFrame([(200 + i, i % 2, 0) for i in range(30)] + [(None, 1, 0), (100, None, 0)], LABEL)
+    found = Q.report(odd, marks).collect()
+    assert len(found) == len(odd_rows) and all(0 <= r.score <= 1 for r in found)
+    kept = Q.good(odd, marks)
+    assert kept.columns == odd.columns and kept.count() == sum(r.predicted for r in found)
+    assert Q.report(none, marks).collect() == []
+    nothing = spark.createDataFrame([], LABEL)
+    assert {r.score for r in Q.report(odd, nothing).collect()} == {0.5}
+    one = spark.createDataFrame([(200 + i, 1, 0) for i in range(30)], LABEL)
+    assert {r.score for r in Q.report(odd, one).collect()} == {1.0}
+
+
+def test_statistics():
+    assert Q.statistics("") == Q.statistics(" \n") == [0.0] * len(Q.STATISTICS)
+    found = dict(zip(Q.STATISTICS, Q.statistics("AB ab ab! 12 | x#"), strict=True))
+    assert found["upper"] == 2 / 17 and found["digits"] == 2 / 17 and found["pipes"] == found["symbols"] == 1 / 17
+    assert found["same_twice"] == 0 and found["distinct_words"] == 1.0
