@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Every query
 computes all rows and columns of its result once; one small query runs first to
-warm the session up.
+warm the session up. The queries make the JSON feed anew each time, so ``stages`` times
+the operators apart, each on the stored result of the one before.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from tagtide.operators import aggregate, explode, ranking
+from tagtide.operators.base import to_base
 from tagtide.plans import registry
+from tagtide.workspace import stored
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -42,6 +46,30 @@ HEADLINE = [
 ]
 
 
+def stages(spark: SparkSession) -> dict[str, float]:
+    """Seconds per operator on stored input."""
+    times: dict[str, float] = {}
+
+    def timed(name: str, run):
+        started = time.perf_counter()
+        found = stored(run(), name)
+        times[name] = round(time.perf_counter() - started, 3)
+        return found
+
+    landing = timed("feed_to_landing", lambda: registry.landing(spark, SF_DIR))
+    base = timed("landing_to_base", lambda: to_base(landing))
+    exploded = timed("base_to_exploded", lambda: explode.explode_posts(base))
+    names = timed("exploded_to_names", lambda: aggregate.name_measures(exploded))
+    rows = timed("names_to_aggregate", lambda: aggregate.aggregate_names(names))
+    staging = timed("aggregate_to_staging", lambda: aggregate.fresh_staging(rows, registry.ZONE, registry.NOW))
+    timed("merge", lambda: aggregate.merge_staging(rows, staging, registry.ZONE, registry.NOW))
+    analytic = timed("publish", lambda: ranking.publish(staging))
+    timed("rank", lambda: ranking.rank_rows(rows.select("date_recorded", "hashtag", "rt_count")))
+    timed("top10", lambda: ranking.top_n_per_day(analytic))
+    timed("exploded_scored_after_dedup", lambda: explode.explode_posts(base, before_dedup=False))
+    return times
+
+
 def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -71,6 +99,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": times,
+                "stages": stages(spark),
                 "posts_per_sec": {name: round(events / t) for name, t in times.items()},
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 "cpus": CPUS,
