@@ -28,8 +28,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, its size known."""
-    path = new_path(df.sparkSession, name)
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, its size known."""
+    return _written(df, new_path(df.sparkSession, name))
+
+
+class Scratch:
+    """Stored tables that go when the ``with`` block ends: nothing may still read them then."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.tables = spark, new_path(spark, name), 0
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        return _written(df, f"{self.path}/{self.tables}-{name}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
