@@ -170,7 +170,7 @@ def fit(stats: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, feature
         yield pd.DataFrame({"a": [a.tobytes()], "b": [b.tobytes()]})
 
     # TRAIN_TASKS matrices, whatever the size of the table
-    parts = rows.where(~own).repartition(TRAIN_TASKS, "doc_id").mapInPandas(sums, "a binary, b binary").collect()
+    parts = rows.where(~own).repartition(TRAIN_TASKS).mapInPandas(sums, "a binary, b binary").collect()
     a = sum(np.frombuffer(p["a"]).reshape(features + 1, features + 1) for p in parts)
     b = sum(np.frombuffer(p["b"]) for p in parts)
     model.weights = np.linalg.solve(a + RIDGE * max(1.0, a[-1, -1]) * np.eye(features + 1) / features, b)
@@ -191,34 +191,52 @@ def fit(stats: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, feature
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...], threshold: float = THRESHOLD) -> DataFrame:
-    """``carry``, held_out, score and predicted for every row of ``docs``."""
-    own = tuple(dict.fromkeys(("doc_id", *carry)))
-    stats = stored(described(docs, own), "statistics")
-    model = fit(stats, labels.select("doc_id", "quality", held_out().alias("held")))
+def scored(docs: DataFrame, model: Model, carry: tuple[str, ...], threshold: float = THRESHOLD) -> DataFrame:
+    """``carry``, held_out, score and predicted for every row of ``docs``.
+
+    ``docs`` has a text, or the statistics ``_stats`` already.
+    """
+    known = "_stats" in docs.columns
+    source = F.col("_stats") if known else F.col("text").cast("string")
+    rows = docs.select(source.alias("_source"), held_out().alias("_held"), *[F.col(f"`{c}`") for c in carry])
     schema = T.StructType(
-        [f for f in stats.schema.fields if f.name in carry]
-        + [T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())]
-        + [T.StructField("predicted", T.IntegerType())]
+        [
+            *rows.schema.fields[2:],
+            T.StructField("held_out", T.BooleanType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("predicted", T.IntegerType()),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            values = np.array(batch.column(len(carry)).flatten()).reshape(rows, len(STATISTICS))
-            score = model.score(values)
-            columns = [*batch.columns[: len(carry)], batch.column(len(carry) + 1), pa.array(score), pa.array((score >= threshold).astype("int32"))]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+            for cut in range(0, batch.num_rows, 1024):
+                few = batch.slice(cut, 1024)
+                found = few.column(0).to_pylist()
+                stats = np.array(found if known else [statistics(text or "") for text in found])
+                score = model.score(stats.reshape(len(found), len(STATISTICS)))
+                made = [few.column(1), pa.array(score), pa.array((score >= threshold).astype("int32"))]
+                yield pa.RecordBatch.from_arrays([*few.columns[2:], *made], [f.name for f in schema.fields])
 
-    rows = stats.select(*[F.col(f"`{c}`") for c in carry], "_stats", held_out().alias("_held"))
     return rows.mapInArrow(run, schema)
 
 
+def trained(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
+    """The statistics of all ``docs``, stored without their texts, and the model."""
+    stats = stored(described(docs, ("doc_id",)), "statistics")
+    return stats, fit(stats, labels.select("doc_id", "quality", held_out().alias("held")))
+
+
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return scored(docs, labels, ("doc_id",))
+    stats, model = trained(docs, labels)
+    return scored(stats, model, ("doc_id",))
 
 
 def good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that aren't rejected, all columns as they were."""
+    """Rows of ``docs`` that aren't rejected, all columns as they were.
+
+    Texts are read again rather than stored with their statistics.
+    """
+    _, model = trained(docs, labels)
     shield = Shield(docs, "doc_id", "text")
-    return shield.back(scored(shield.plain, labels, shield.names, threshold).where("predicted = 1"))
+    return shield.back(scored(shield.plain, model, shield.names, threshold).where("predicted = 1"))
