@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtide.workspace import stored
+from tagtide.workspace import Scratch, stored
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -17,24 +17,27 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: each moves edges to the smallest neighbour,
     which halves long chains. A hub's edges are reduced map-side to one minimum, and the
-    minima are stored, so that the join back to the edges can be split at a hub.
+    minima are stored, so that the join back to the edges can be split at a hub. Runs jobs
+    when called; the result is stored.
     """
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges = stored(edges.where("u > v").distinct(), "edges")
-    before = _print(edges)
-    while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct(), "large")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = _print(edges)
-        if after == before:
-            break
-        before = after
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        roots.select("node", F.col("node").alias("component"))
-    )
+    with Scratch(edges.sparkSession, "components") as scratch:
+        edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        edges = scratch.stored(edges.where("u > v").distinct(), "edges")
+        before = _print(edges)
+        while True:
+            both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            least = scratch.stored(least, "least")
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = scratch.stored(large.distinct(), "large")
+            least = scratch.stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+            small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            edges = small.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+            edges = scratch.stored(edges, "edges")
+            after = _print(edges)
+            if after == before:
+                break
+            before = after
+        roots = edges.select(F.col("v").alias("node")).distinct()
+        found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        return stored(found.unionAll(roots.select("node", F.col("node").alias("component"))), "components")

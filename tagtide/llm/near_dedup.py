@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tagtide.llm.graph import components
 from tagtide.llm.shingles import shingles
-from tagtide.workspace import stored
+from tagtide.workspace import Scratch, stored
 
 BANDS, ROWS = 24, 5
 SAMPLES = BANDS * ROWS
@@ -193,84 +193,101 @@ def _pieces(column: str) -> Column:
     return F.ceil(F.sum(column) / BLOCK_SHINGLES).cast("int")
 
 
-def _home_blocks(visits: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _home_blocks(visits: DataFrame, nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Blocks of the visited homes and their visitors: ``visits`` has id, label, n, home."""
     slices = nodes.groupBy("home").agg(_pieces("n").alias("slices"))
     parts = visits.groupBy("home").agg(_pieces("n").alias("parts"))
-    plan = stored(parts.join(slices, "home"), "plan")
-    text = texts.select(F.col("node").alias("id"), "text")
+    plan = scratch.stored(parts.join(slices, "home"), "plan")
     own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    block = (
-        nodes.select("home", F.col("node").alias("id"), "label")
-        .join(plan, "home")
-        .select("home", own.alias("slice"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "label")
-        .join(text, "id")
-        .select(F.col("home").alias("key"), "slice", "part", F.lit(0).alias("role"), "id", "label", "text")
+    block = nodes.select("home", F.col("node").alias("id"), "label").join(plan, "home")
+    block = block.select(
+        F.col("home").alias("key"),
+        own.alias("slice"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("role"),
+        "id",
+        "label",
     )
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    come = (
-        visits.join(plan, "home")
-        .select("home", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), part.alias("part"), "id", "label")
-        .join(text, "id")
-        .select(F.col("home").alias("key"), "slice", "part", F.lit(1).alias("role"), "id", "label", "text")
+    come = visits.join(plan, "home").select(
+        F.col("home").alias("key"),
+        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+        part.alias("part"),
+        F.lit(1).alias("role"),
+        "id",
+        "label",
     )
-    return block.unionAll(come)
+    rows = scratch.stored(block.unionAll(come), "rows")
+    return rows.join(texts.select(F.col("node").alias("id"), "text"), "id")
 
 
 def group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``. Runs jobs when called."""
     signed = stored(signatures(docs), "signatures")
+    with Scratch(docs.sparkSession, "near-dedup") as scratch:
+        whole = stored(_components(docs, signed, percent, scratch), "whole")
+    rows = signed.select("doc_id", "n", "set").join(whole, "set", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    rows = rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _components(docs: DataFrame, signed: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The component of every set."""
     classes = signed.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes, "classes")
+    classes = scratch.stored(classes, "classes")
     reps = signed.join(
         classes.select(F.col("set").alias("_set"), "rep"),
         (F.col("doc_id") == F.col("rep")) & (F.col("set") == F.col("_set")),
         "left_semi",
     )
-    reps = stored(reps.select(F.col("doc_id").alias("node"), "n", "bands"), "reps")
-    banded = reps.select("node", "n", F.explode("bands").alias("bucket"))
+    reps = scratch.stored(reps.select(F.col("doc_id").alias("node"), "n", "bands"), "reps")
+    banded = reps.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("_last"))
-    shared = stored(shared.where("hub < _last").drop("_last"), "buckets")
-    members = stored(banded.join(shared, "bucket"), "members")
-    nodes = members.groupBy("node").agg(F.min("hub").alias("home"), F.max("n").alias("n"))
-    nodes = stored(nodes, "nodes")
+    shared = scratch.stored(shared.where("hub < _last").drop("_last"), "buckets")
+    members = scratch.stored(banded.join(shared, "bucket"), "members")
+    nodes = members.groupBy("node").agg(F.min("hub").alias("home"))
+    sizes = reps.groupBy("node").agg(F.max("n").alias("n"))
+    nodes = scratch.stored(nodes.join(sizes, "node"), "nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    texts = stored(texts.join(nodes.select("node"), "node", "left_semi"), "texts")
+    texts = scratch.stored(texts.join(nodes.select("node"), "node", "left_semi"), "texts")
 
     # Round 1: members with their hub.
-    pairs = members.where("node != hub").select("hub", "node", "n").distinct()
+    pairs = members.where("node != hub").select("hub", "node").distinct().join(nodes.select("node", "n"), "node")
     alone = nodes.select("node", F.col("node").alias("home"), F.col("node").alias("label"), "n")
     visits = pairs.select(F.col("node").alias("id"), F.col("node").alias("label"), "n", F.col("hub").alias("home"))
-    links = stored(compared(_home_blocks(stored(visits, "visits"), alone, texts), percent), "links")
+    work = _home_blocks(scratch.stored(visits, "visits"), alone, texts, scratch)
+    links = scratch.stored(compared(work, percent), "links")
 
     # Round 2: who is in another component than its bucket's hub.
-    found = stored(components(links), "components")
-    nodes = nodes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    nodes = stored(nodes, "nodes")
+    nodes = nodes.join(components(links), "node", "left")
+    nodes = nodes.withColumn("label", F.coalesce("component", "node")).drop("component")
+    nodes = scratch.stored(nodes, "nodes")
     known = members.select("bucket", "node", "hub").join(nodes, "node")
     hubs = nodes.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-    known = stored(known.join(hubs, "hub"), "known")
+    known = scratch.stored(known.join(hubs, "hub"), "known")
     left = known.where("label != hub_label").select("bucket", F.col("node").alias("id"), "label", "n")
     homes = known.join(left.select("bucket").distinct(), "bucket", "left_semi")
     homes = homes.groupBy("bucket", "home").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-    visits = left.join(stored(homes, "homes"), "bucket").where("least != label OR most != label")
-    visits = stored(visits.select("id", "label", "n", "home").distinct(), "visits")
-    more = stored(compared(_home_blocks(visits, nodes, texts), percent), "links")
-    found = stored(components(links.unionAll(more)), "components")
-
+    visits = left.join(scratch.stored(homes, "homes"), "bucket").where("least != label OR most != label")
+    visits = scratch.stored(visits.select("id", "label", "n", "home").distinct(), "visits")
+    more = scratch.stored(compared(_home_blocks(visits, nodes, texts, scratch), percent), "links")
+    found = components(links.unionAll(more))
     whole = classes.join(found, F.col("rep") == F.col("node"), "left")
-    whole = whole.select("set", F.coalesce("component", "rep").alias("component_id"))
-    rows = signed.select("doc_id", "n", "set").join(stored(whole, "whole"), "set", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    rows = rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return whole.select("set", F.coalesce("component", "rep").alias("component_id"))
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all its columns."""
-    kept = group(docs.select("doc_id", "text"), percent).where("kept AND doc_id IS NOT NULL")
-    ids = stored(kept.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "kept")
-    first = docs.alias("d").join(ids.select("_kept").alias("k"), F.col("d.doc_id") == F.col("k._kept"), "left_semi")
-    if not ids.where("_rows > 1").isEmpty():  # texts are shuffled only if there is a row to drop
-        first = first.dropDuplicates(["doc_id"])
-    return first.unionAll(docs.where(F.col("doc_id").isNull()))
+    """One document of each group, the one with the smallest doc_id, with all its columns.
+
+    The ids that go are held against ``docs``: they are fewer than those that stay.
+    """
+    found = group(docs.select("doc_id", "text"), percent).where("doc_id IS NOT NULL")
+    # rows of an id are one document, though their texts may be in several classes
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
+    ids = stored(ids.where("NOT _kept OR _rows > 1"), "going")
+    gone = ids.where("NOT _kept").select("_id").alias("g")
+    first = docs.alias("d").join(gone, F.col("d.doc_id") == F.col("g._id"), "left_anti")
+    if ids.where("_kept").isEmpty():  # texts are shuffled only if there is a row to drop
+        return first
+    return first.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionAll(docs.where(F.col("doc_id").isNull()))
