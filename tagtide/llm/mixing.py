@@ -117,7 +117,8 @@ def plan(
     )
 
     def located(df: DataFrame) -> DataFrame:
-        df = df.join(sources, F.col("source").eqNullSafe(F.col("_source")))
+        # Broadcast: one row per source, which the driver has just made.
+        df = df.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source")))
         return df.withColumn("_block", F.pmod("_mark", "_blocks"))
 
     blocks = located(sizes).groupBy("_index", "_block", "_whole", "_rest").agg(F.sum("size").alias("_words"))
