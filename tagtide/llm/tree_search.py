@@ -8,9 +8,9 @@ reach the wanted recall. The sample is thinner than the table, so its neighbours
 further out and the calibration errs on the safe side.
 
 Of equal vectors only as many with the smallest ids are filed as a result can hold, one
-more for the query itself: the others could not be in any result. Leaves are searched in
-cells of a bounded number of vectors and of queries, so that neither a large leaf nor one
-that many queries visit meets in one task.
+more for the query itself: the others could not be in any result. Leaves lie on shelves of
+a bounded number of vectors, a large leaf on several; a task searches one shelf for a
+bounded part of the queries, and gives the k best of each.
 
 Nulls and odd rows: vectors null, empty, zero, or with null or non-finite components take
 no part, nor do rows with a null id, nor vectors of another length than the most frequent
@@ -27,6 +27,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +38,11 @@ SAMPLE = 20_000
 BRANCHES = 8
 LEAF_ROWS = 256
 MOST_LEAVES = 4_096
-RECALL = 0.98
+RECALL = 0.95
 CALIBRATION_QUERIES = 300
-CELL_ROWS = 4_096
+#: Vectors on a shelf, and queries that meet them in one task.
+CELL_ROWS = 16_384
+QUERY_ROWS = 4_096
 SEED = 64
 
 
@@ -149,29 +152,56 @@ def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(rows * query, axis=1)[:, -1]
 
 
+def shelves(counts: dict[int, int], nodes: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shelf and number of shelves of every node: small leaves share one, large ones get several."""
+    first, number = np.zeros(nodes, dtype=np.int64), np.ones(nodes, dtype=np.int64)
+    shelf, room = 0, most
+    for leaf in sorted(counts):
+        if counts[leaf] > room:
+            shelf, room = shelf + (room < most), most
+        first[leaf] = shelf
+        if counts[leaf] > most:
+            number[leaf] = ceil(counts[leaf] / most)
+            shelf, room = shelf + number[leaf], most
+        else:
+            room -= counts[leaf]
+    return first, number
+
+
 def cell(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best of a cell's vectors for each of its queries."""
-    own = rows[rows["role"] == 0]
+    """The k best of a shelf's vectors for each query, of the leaves that the query visits."""
+    own = rows[rows["role"] == 0].sort_values("leaf", kind="stable")
     asked = rows[rows["role"] == 1]
-    if not len(own) or not len(asked):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-    ids = own["vec_id"].to_numpy()
-    vectors = np.array([np.frombuffer(x, "<f8") for x in own["x"]])
-    queries = np.array([np.frombuffer(x, "<f8") for x in asked["x"]])
-    longest = np.sqrt((vectors**2).sum(axis=1).max())
-    out = []
-    for low in range(0, len(queries), 256):
-        some = queries[low : low + 256]
-        rough = some @ vectors.T
-        for query, query_id, scores in zip(some, asked["vec_id"].to_numpy()[low : low + 256], rough, strict=True):
-            near = np.flatnonzero(ids != query_id)
-            if len(near) > k:
-                least = np.partition(scores[near], len(near) - k)[len(near) - k]
-                near = near[scores[near] >= least - 1e-9 * longest * np.sqrt(query @ query)]
-            sure = exact(vectors[near], query)
-            top = np.lexsort((ids[near], -sure))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near][top], "score": sure[top]}))
-    return pd.concat(out, ignore_index=True)
+    out = {"query_id": [], "vec_id": [], "score": []}
+    if len(own) and len(asked):
+        ids, vectors = own["vec_id"].to_numpy(), np.array([np.frombuffer(x, "<f8") for x in own["x"]])
+        leaves, starts = np.unique(own["leaf"].to_numpy(), return_index=True)
+        ends = np.append(starts[1:], len(ids))
+        place = {leaf: i for i, leaf in enumerate(leaves)}
+        longest = np.sqrt((vectors**2).sum(axis=1).max())
+        for low in range(0, len(asked), 256):
+            few = asked.iloc[low : low + 256]
+            queries = np.array([np.frombuffer(x, "<f8") for x in few["x"]])
+            visits = np.zeros((len(few), len(leaves)), dtype=bool)
+            for i, wanted in enumerate(few["leaves"]):
+                visits[i, [place[leaf] for leaf in wanted if leaf in place]] = True
+            rough = np.full((len(few), len(ids)), -np.inf)
+            for j, (start, end) in enumerate(zip(starts, ends, strict=True)):
+                some = np.flatnonzero(visits[:, j])
+                if len(some):
+                    rough[some, start:end] = queries[some] @ vectors[start:end].T
+            for query, query_id, scores in zip(queries, few["vec_id"].to_numpy(), rough, strict=True):
+                scores[ids == query_id] = -np.inf
+                least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
+                near = np.flatnonzero(scores >= least - 1e-9 * longest * np.sqrt(query @ query))
+                near = near[np.isfinite(scores[near])]
+                if len(near):
+                    sure = exact(vectors[near], query)
+                    top = np.lexsort((ids[near], -sure))[:k]
+                    out["query_id"] += [query_id] * len(top)
+                    out["vec_id"] += ids[near][top].tolist()
+                    out["score"] += sure[top].tolist()
+    return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
 def search(
@@ -182,6 +212,7 @@ def search(
     sample: int = SAMPLE,
     leaf_rows: int = LEAF_ROWS,
     cell_rows: int = CELL_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest found for every query row."""
     spark = vectors.sparkSession
@@ -206,48 +237,61 @@ def search(
             leaf = shared.value.file(np.array([np.frombuffer(x, "<f8") for x in rows]).reshape(len(rows), width))
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), *batch.columns], ["leaf", "vec_id", "x"])
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cut in range(0, batch.num_rows, 1024):
-                few = batch.slice(cut, 1024)
-                leaves = [shared.value.visit(np.frombuffer(x, "<f8"), visits) for x in few.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaves, pa.list_(pa.int64())), *few.columns], ["leaves", "vec_id", "x"]
-                )
-
     fit = whole.where(F.octet_length("x") == 8 * width)
     alike = Window.partitionBy("x").orderBy("vec_id")  # limited map-side
     needed = fit.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1).select("vec_id", "x")
     filed = stored(needed.mapInArrow(file, "leaf long, vec_id long, x binary"), "filed")
-    routed = fit.where(is_query).mapInArrow(route, "leaves array<long>, vec_id long, x binary")
-    routed = stored(routed, "routed")
-    asked = routed.select(F.explode("leaves").alias("leaf"), "vec_id", "x")
-
-    pieces = F.ceil(F.count(F.lit(1)) / cell_rows).cast("int")
-    slices = filed.groupBy("leaf").agg(pieces.alias("slices"))
-    parts = asked.groupBy("leaf").agg(pieces.alias("parts"))
-    plan = stored(slices.join(parts, "leaf"), "plan")
-    mark = F.xxhash64("vec_id", "x")
-    candidates = filed.join(plan, "leaf").select(
-        "leaf",
-        F.pmod(mark, "slices").cast("int").alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.lit(0).alias("role"),
-        "vec_id",
-        "x",
-    )
-    queries = asked.join(plan, "leaf").select(
-        "leaf",
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        F.pmod(mark, "parts").cast("int").alias("part"),
-        F.lit(1).alias("role"),
-        "vec_id",
-        "x",
-    )
-    found = (
-        candidates.unionAll(queries)
-        .groupBy("leaf", "slice", "part")
-        .applyInPandas(lambda rows: cell(rows, k), "query_id long, vec_id long, score double")
+    counts = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plan = spark.sparkContext.broadcast(shelves(counts, len(tree.centres), cell_rows))  # two numbers a node
+    parts = max(1, ceil(fit.where(is_query).count() / query_rows))
+
+    def shelve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every part of the queries meets every vector's shelf once."""
+        first, number = plan.value
+        for batch in batches:
+            leaf = batch.column(0).to_numpy()
+            own = np.array([xxhash.xxh3_64_intdigest(x) for x in batch.column(2).to_pylist()], dtype=np.uint64)
+            own = (own + batch.column(1).to_numpy().astype(np.uint64)) % number[leaf].astype(np.uint64)
+            shelf = first[leaf] + own.astype(np.int64)
+            for part in range(parts):
+                yield rows_of(shelf, part, 0, leaf, [[]] * len(leaf), batch.column(1), batch.column(2))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every query goes to the shelves of the leaves that it visits."""
+        first, number = plan.value
+        for batch in batches:
+            for cut in range(0, batch.num_rows, 512):
+                few = batch.slice(cut, 512)
+                shelf, wanted, at = [], [], []
+                for i, x in enumerate(few.column(1).to_pylist()):
+                    by: dict[int, list[int]] = {}
+                    for leaf in shared.value.visit(np.frombuffer(x, "<f8"), visits):
+                        for n in range(number[leaf]):
+                            by.setdefault(int(first[leaf]) + n, []).append(leaf)
+                    shelf += list(by)
+                    wanted += list(by.values())
+                    at += [i] * len(by)
+                ids = few.column(0).take(pa.array(at, pa.int64()))
+                part = np.array([xxhash.xxh3_64_intdigest(str(i)) % parts for i in ids.to_pylist()], dtype=np.int64)
+                yield rows_of(shelf, part, 1, [0] * len(at), wanted, ids, few.column(1).take(pa.array(at, pa.int64())))
+
+    def rows_of(shelf, part, role, leaf, leaves, ids, x) -> pa.RecordBatch:
+        n = len(ids)
+        columns = [
+            pa.array(shelf, pa.int64()),
+            pa.array(np.broadcast_to(part, n), pa.int64()),
+            pa.array(np.broadcast_to(role, n), pa.int32()),
+            pa.array(leaf, pa.int64()),
+            pa.array(leaves, pa.list_(pa.int64())),
+            ids,
+            x,
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["shelf", "part", "role", "leaf", "leaves", "vec_id", "x"])
+
+    kind = "shelf long, part long, role int, leaf long, leaves array<long>, vec_id long, x binary"
+    both = filed.mapInArrow(shelve, kind).unionAll(fit.where(is_query).mapInArrow(route, kind))
+    found = both.groupBy("shelf", "part").applyInPandas(
+        lambda rows: cell(rows, k), "query_id long, vec_id long, score double"
     )
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

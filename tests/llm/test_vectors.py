@@ -94,7 +94,7 @@ def test_fewer_candidates_and_empty(spark):
 def test_tree_search_of_odd_vectors(spark):
     rows = odd_vectors()
     frame = spark.createDataFrame(rows, VECTOR).repartition(5)
-    found = [tuple(r) for r in tree_search.search(frame, "vec_id % 20 = 0", 20, recall=1.0, leaf_rows=40, cell_rows=30).collect()]
+    found = [tuple(r) for r in tree_search.search(frame, "vec_id % 20 = 0", 20, recall=1.0, leaf_rows=40, cell_rows=30, query_rows=7).collect()]
     wanted = brute([r for r in rows if r[0] != 100], 20, 20, lambda x: x, False)
     mine = [r for r in found if r[0] != 100]
     hits = {(q, i) for q, _, i, _ in wanted} & {(q, i) for q, _, i, _ in mine}
@@ -136,3 +136,16 @@ def test_best_bin_first_visits_every_leaf_once():
     assert set(tree.file(sample)) <= set(order)
     assert tree_search.calibrate(tree, sample, 10, 1.0) <= tree.leaves
     assert tree_search.calibrate(tree, sample, 10, 0.5) <= tree_search.calibrate(tree, sample, 10, 0.95)
+
+
+def test_shelves_hold_every_leaf_within_bounds():
+    rng = random.Random(3)
+    counts = {leaf: rng.choice([1, 5, 30, 99, 100, 101, 250]) for leaf in rng.sample(range(300), 120)}
+    first, number = tree_search.shelves(counts, 300, 100)
+    load, owners = {}, {}
+    for leaf, n in counts.items():
+        for s in range(first[leaf], first[leaf] + number[leaf]):
+            load[s] = load.get(s, 0) + n / number[leaf]
+            owners.setdefault(s, []).append(leaf)
+    assert all(x <= 100 for x in load.values()) and sorted(load) == list(range(len(load)))
+    assert all(len(o) == 1 for o in owners.values() if number[o[0]] > 1)
