@@ -4,10 +4,11 @@ The standard library's parser streams events; they are cut into lines, one per b
 element. Lines inside elements that hold no article text (menus, headers outside an
 article, footers, side bars, forms, scripts, and those whose class, id or role says so)
 are boilerplate. The others have a ratio of text to tags, from which link text is left
-out. Ratios are smoothed by a Gaussian along these lines, so short paragraphs among long
-ones keep up, and split by a threshold from two-means clustering. Regions with a line
-above it are content: an article or main element as a whole, else the run of lines
-between the first and the last such line.
+out. They make up regions: an article or main element each, and each run of lines outside
+of them. Ratios are smoothed by a Gaussian along the lines of a region, so short
+paragraphs among long ones keep up and no region lifts its neighbour, and split by a
+threshold from two-means clustering over the page. Regions with a line above it are
+content: an element as a whole, a run from its first to its last such line.
 
 Inside a line, runs of white space are one space; a line break is white space. Lines are
 joined in page order.
@@ -90,7 +91,7 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int]] = []  # name, boilerplate, region
+        self.open: list[tuple[str, bool, int, bool]] = []  # name, boilerplate, region, silent
         self.parts: list[str] = []
         self.tags = self.linked = self.regions = self.anchors = 0
 
@@ -101,7 +102,7 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, boilerplate, region = self.open[-1] if self.open else ("", False, 0)
+            _, boilerplate, region, _ = self.open[-1] if self.open else ("", False, 0, False)
             self.lines.append(Line(text, self.tags, self.linked, region, boilerplate))
         self.parts, self.tags, self.linked = [], 0, 0
 
@@ -121,13 +122,15 @@ class Lines(HTMLParser):
             self.anchors += 1
         if tag in VOID:
             return
-        _, boilerplate, region = self.open[-1] if self.open else ("", False, 0)
+        _, boilerplate, region, silent = self.open[-1] if self.open else ("", False, 0, False)
+        # outside a region titles and buttons that stand in a line of other text are no part of it
+        silent = silent or (tag in SKIPPED and not region)
         if not boilerplate:
             boilerplate = tag in SKIPPED or (tag == "header" and not region) or self.named(tag, attrs, bool(region))
         if tag in REGIONS and not boilerplate and not region:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, boilerplate, region))
+        self.open.append((tag, boilerplate, region, silent))
 
     @staticmethod
     def named(tag: str, attrs: list, inside: bool) -> bool:
@@ -165,7 +168,7 @@ class Lines(HTMLParser):
         self.leave(tag, stop=frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][0] in ("script", "style"):
+        if self.open and (self.open[-1][3] or self.open[-1][0] in ("script", "style")):
             return
         self.parts.append(data)
         if self.anchors:
@@ -212,17 +215,24 @@ def main_text(html: str | None) -> str:
     clear = [i for i, line in enumerate(lines) if not line.boilerplate]
     if not clear:
         return ""
-    ratios = smoothed([lines[i].ratio for i in clear])
-    least = threshold(ratios)
-    content = [i for i, ratio in zip(clear, ratios, strict=True) if ratio >= least]
-    regions = {lines[i].region for i in clear} - {0}
-    if regions:
-        # a region with a line above the threshold; of several, none only because it is short
-        mass = {r: sum(len(lines[i].text) for i in clear if lines[i].region == r) for r in regions}
-        chosen = {lines[i].region for i in content} & regions or {max(mass, key=lambda r: (mass[r], -r))}
-        return "\n".join(lines[i].text for i in clear if lines[i].region in chosen)
-    first, last = content[0], content[-1]
-    return "\n".join(lines[i].text for i in clear if first <= i <= last)
+    # elements by number; a run of lines outside of them has the place of its first line, below zero
+    regions: dict[int, list[int]] = {}
+    run = last = 0
+    for i in clear:
+        if not lines[i].region and (last or not run):
+            run = -1 - i
+        last = lines[i].region
+        regions.setdefault(last or run, []).append(i)
+    ratios: dict[int, float] = {}
+    for members in regions.values():
+        ratios |= zip(members, smoothed([lines[i].ratio for i in members]), strict=True)
+    least = threshold([ratios[i] for i in clear])
+    chosen: list[int] = []
+    for region, members in regions.items():
+        content = [i for i in members if ratios[i] >= least]
+        if content:
+            chosen += members if region > 0 else [i for i in members if content[0] <= i <= content[-1]]
+    return "\n".join(lines[i].text for i in sorted(chosen))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -83,3 +83,20 @@ def test_odd_rows(spark):
     wanted += [(98, None, "", 0), (99, "u", "", 0), (None, "u", "x", 1), wanted[0]]
     assert sorted(texts, key=repr) == sorted(wanted, key=repr)
     assert P.extracted(spark.createDataFrame([], schema)).collect() == []
+
+
+TEASER = "<article class='teaser'><h3><a href=1>More</a></h3><p>Read <a href=2>this</a>.</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("html", "wanted"),
+    [
+        (f"<body><div class=post><p>{LONG}</p><p>{LONG}</p></div>{TEASER}{TEASER}</body>", f"{LONG}\n{LONG}"),
+        (f"<body>{TEASER}<div class=post><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n{LONG}"),
+        (f"<body><article><p>{LONG}</p><p>{LONG}</p></article>{TEASER}<div><a href=3>Next</a></div></body>", f"{LONG}\n{LONG}"),
+        (f"<body><article><p>{LONG}</p></article><div><p>{LONG}</p><p>Be.</p><p>{LONG}</p></div></body>", "\n".join([LONG, LONG, "Be.", LONG])),
+        (f"<head><title>{LONG}</title></head><body><article><p>{LONG} {LONG}</p></article></body>", f"{LONG} {LONG}"),
+    ],
+)
+def test_ratios_decide_between_elements_and_lines_outside(html, wanted):
+    assert P.main_text(html) == wanted
