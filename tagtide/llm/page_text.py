@@ -40,7 +40,7 @@ BLOCKS = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 SKIPPED = frozenset(
-    "head title script style noscript template svg math iframe object embed applet canvas audio video nav aside"
+    "head title script style noscript template svg iframe object embed applet canvas audio video nav aside"
     " footer form button select textarea input label dialog menu".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
@@ -67,6 +67,22 @@ NAMED = re.compile(
     r"|recommended|recommendations?|pagination|pager|toolbar|skip)(?:$|[\s_\d-])",
     re.IGNORECASE,
 )
+#: Words of these that are common in an article's own slugs as well: inside a region, a name of
+#: them counts only as a whole.
+WHOLE = frozenset("ad ads alert alerts banner consent copyright login notice notices signup".split())
+#: Those that even as a whole may name a section of the article: its lines stay if they have a
+#: content line's ratio and few links.
+AMBIGUOUS = frozenset(
+    "discussion foot menu menus navigation promotion recommendation recommendations recommended related replies respond"
+    " search share sharing skip social".split()
+)
+#: What a name of boilerplate may hold besides.
+QUALIFIERS = frozenset(
+    "area articles bar block box button buttons container content form icons inner items links list media module outer"
+    " panel posts section site stories top widget wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+MOST_LINKED = 0.25
 #: An article's own header holds its title: only one outside is boilerplate.
 HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_\d-])", re.IGNORECASE)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -79,11 +95,29 @@ class Line:
     linked: int
     region: int
     boilerplate: bool
+    doubtful: bool = False
 
     @property
     def ratio(self) -> float:
         return max(0, len(self.text) - self.linked) / max(1, self.tags)
 
+    @property
+    def free(self) -> bool:
+        """Whether few of its characters are in links."""
+        return self.linked <= MOST_LINKED * len(self.text)
+
+
+def named_inside(slug: str) -> str:
+    """Whether a class or id of an element inside a region names boilerplate."""
+    if not NAMED.search(slug):
+        return ""
+    words = [w for w in re.split(r"[_\d-]+", slug.lower()) if w]
+    if any(w not in AMBIGUOUS | WHOLE and NAMED.search(w) for w in words) or "side" in words and "bar" in words:
+        return "sure"
+    if not all(w in AMBIGUOUS | WHOLE | QUALIFIERS for w in words):
+        return ""
+    return "sure" if any(w in WHOLE for w in words) else "doubtful"
+
 
 class Lines(HTMLParser):
     """Collects the lines of a page from parser events."""
@@ -91,7 +125,7 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # name, boilerplate, region, silent
+        self.open: list[tuple[str, bool, int, bool, bool]] = []  # name, boilerplate, region, silent, doubtful
         self.parts: list[str] = []
         self.tags = self.linked = self.regions = self.anchors = 0
 
@@ -102,8 +136,8 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, boilerplate, region, _ = self.open[-1] if self.open else ("", False, 0, False)
-            self.lines.append(Line(text, self.tags, self.linked, region, boilerplate))
+            _, boilerplate, region, _, doubtful = self.open[-1] if self.open else ("", False, 0, False, False)
+            self.lines.append(Line(text, self.tags, self.linked, region, boilerplate, doubtful))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -122,31 +156,41 @@ class Lines(HTMLParser):
             self.anchors += 1
         if tag in VOID:
             return
-        _, boilerplate, region, silent = self.open[-1] if self.open else ("", False, 0, False)
+        _, boilerplate, region, silent, doubtful = self.open[-1] if self.open else ("", False, 0, False, False)
         # outside a region titles and buttons that stand in a line of other text are no part of it
         silent = silent or (tag in SKIPPED and not region)
         if not boilerplate:
-            boilerplate = tag in SKIPPED or (tag == "header" and not region) or self.named(tag, attrs, bool(region))
+            by_name = self.named(tag, attrs, bool(region))
+            boilerplate = tag in SKIPPED or (tag == "header" and not region) or by_name == "sure"
+            doubtful = doubtful or by_name == "doubtful"
         if tag in REGIONS and not boilerplate and not region:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, boilerplate, region, silent))
+        self.open.append((tag, boilerplate, region, silent, doubtful))
 
     @staticmethod
-    def named(tag: str, attrs: list, inside: bool) -> bool:
+    def named(tag: str, attrs: list, inside: bool) -> str:
+        """Whether attributes name boilerplate: "sure", "doubtful" or not at all."""
         if tag in ("html", "body", *REGIONS):
-            return False
+            return ""
+        found = ""
         for name, value in attrs:
             if not value:
                 if name == "hidden":
-                    return True
+                    return "sure"
             elif name in ("class", "id"):
-                plain = CAMEL.sub("-", value)
-                if NAMED.search(plain) or not inside and HEADER.search(plain):
-                    return True
+                if not inside:
+                    plain = CAMEL.sub("-", value)
+                    if NAMED.search(plain) or HEADER.search(plain):
+                        return "sure"
+                elif name == "class" or tag not in HEADINGS:
+                    kinds = {named_inside(slug) for slug in CAMEL.sub("-", value).split()}
+                    if "sure" in kinds:
+                        return "sure"
+                    found = found or max(kinds, default="")
             elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value == "true":
-                return True
-        return False
+                return "sure"
+        return found
 
     def leave(self, tag: str, stop: frozenset = frozenset()) -> None:
         for place in range(len(self.open) - 1, -1, -1):
@@ -229,8 +273,10 @@ def main_text(html: str | None) -> str:
     least = threshold([ratios[i] for i in clear])
     chosen: list[int] = []
     for region, members in regions.items():
-        content = [i for i in members if ratios[i] >= least]
+        content = [i for i in members if ratios[i] >= least and (not lines[i].doubtful or lines[i].free)]
         if content:
+            kept = set(content)
+            members = [i for i in members if not lines[i].doubtful or i in kept]
             chosen += members if region > 0 else [i for i in members if content[0] <= i <= content[-1]]
     return "\n".join(lines[i].text for i in sorted(chosen))
 

@@ -100,3 +100,22 @@ TEASER = "<article class='teaser'><h3><a href=1>More</a></h3><p>Read <a href=2>t
 )
 def test_ratios_decide_between_elements_and_lines_outside(html, wanted):
     assert P.main_text(html) == wanted
+
+
+@pytest.mark.parametrize(
+    ("inside", "wanted"),
+    [
+        (f"<h2 id='search-methods'>Methods</h2><p>{LONG}</p>", f"Methods\n{LONG}"),
+        (f"<section id='social-security'><p>{LONG}</p></section>", LONG),
+        (f"<div class='related-work'><p>{LONG}</p></div>", LONG),
+        (f"<section id='discussion'><p>{LONG}</p><p>{LONG}</p></section>", f"{LONG}\n{LONG}"),
+        ("<div class='related-posts'><p><a href=1>One</a></p><p><a href=2>Two</a></p></div>", ""),
+        (f"<div id='comments'><p>{LONG}</p></div><div class='cookie-notice'>{LONG}</div><div class='sideBar'>{LONG}</div>", ""),
+        (f"<section id='ad-hoc-networks'><p>{LONG}</p></section><div class='ad'>{LONG}</div><div class='notice'>{LONG}</div>", LONG),
+        ("<p><math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>", "x=2 holds."),
+        ("<math><mtext>Let x be</mtext><p>one</p></math>", "Let x be\none"),
+    ],
+)
+def test_names_inside_a_region(inside, wanted):
+    found = P.main_text(f"<article><h1>Head</h1><p>{LONG}</p>{inside}</article>")
+    assert found == "\n".join(x for x in ("Head", LONG, wanted) if x)
