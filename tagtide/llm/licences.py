@@ -6,9 +6,12 @@ other words around them) against paragraphs of the corpus, a bounded sample of
 ``MOST_PARAGRAPHS``, and mixtures of single notice words with corpus words. A temperature
 fitted on variants kept back makes the probabilities honest; the least probability that
 counts as known is set so that at most ``FALSE_SHARE`` of the kept-back unknown ones pass.
-A prediction is confirmed if the paragraph holds most of the n-grams of one of the
-family's notices. Paragraphs longer than ``WINDOW`` words are read in windows that overlap
-by half, so the whole text counts.
+Lines longer than ``WINDOW`` words are read in windows that overlap by half, so the whole
+text counts. Notices may be wrapped: lines between those without words are one paragraph,
+in which every place of a notice's length is held against that notice, whatever comment
+signs its lines begin with. A place is confirmed if it holds most of the notice's n-grams,
+with every name and version in it, and the classifier names its family; its span is that
+of its lines.
 
 Nulls and odd rows: null text is the empty text, without findings; repeated rows are
 scanned each; ties go to the family first in order; an empty table gives no rows; further
@@ -18,6 +21,7 @@ columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -99,6 +103,13 @@ NOTICES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 FAMILIES = [*NOTICES, UNKNOWN]
+#: Words that tell a licence from others in the same wording; versions do as well.
+NAMES = frozenset(
+    "affero apache attribution attribution-noncommercial attribution-sharealike bsd bsd-style by by-nc by-sa cc cc0 lesser"
+    " mit mozilla redistribution unencumbered waived".split()
+)
+#: These inside a notice of the GPL name one of its sisters.
+OTHERS = {family: frozenset("affero lesser library".split()) for family in ("GPL-2.0", "GPL-3.0")}
 
 
 def ngrams(words: list[str]) -> set[str]:
@@ -113,6 +124,55 @@ def tokens(text: str) -> list[str]:
 TEMPLATES = [(i, ngrams(tokens(t))) for i, family in enumerate(NOTICES) for t in NOTICES[family]]
 
 
+@dataclass
+class Place:
+    """What is needed to find one notice in a list of words."""
+
+    family: int
+    words: list[str]
+
+    def __post_init__(self) -> None:
+        self.grams = ngrams(self.words)
+        self.pairs = set(zip(self.words, self.words[1:], strict=False))
+        self.marks = {w for w in self.words if w in NAMES or any(c.isdigit() for c in w)}
+        self.others = OTHERS.get(list(NOTICES)[self.family], frozenset())
+        #: A notice's words may have others between them.
+        self.reach = len(self.words) + 2 + len(self.words) // 5
+
+    def share(self, words: list[str]) -> float:
+        return len(ngrams(words) & self.grams) / len(self.grams)
+
+    def found(self, words: list[str], hits: list[int]) -> Iterator[tuple[int, int]]:
+        """Ranges of ``words`` that hold most of the notice, without what adds nothing."""
+        after = 0
+        for at, low in enumerate(hits):
+            if low < after:
+                continue
+            # the share of the pairs bounds that of all n-grams well enough to pass most places by
+            near = hits[at : bisect_left(hits, low + self.reach - 1, lo=at)]
+            if 2 * len({(words[i], words[i + 1]) for i in near}) < len(self.pairs):
+                continue
+            low, high = max(after, low - 1), min(len(words), low + self.reach)
+            best = self.share(words[low:high])
+            if best < CONFIRMED:
+                continue
+            while high - low > 1 and self.share(words[low : high - 1]) >= best:
+                high -= 1
+            while high - low > 1 and self.share(words[low + 1 : high]) >= best:
+                low += 1
+            held = set(words[low:high])
+            if self.marks <= held and not self.others & held:
+                yield low, high
+                after = high
+
+
+PLACES = [Place(i, tokens(t)) for i, family in enumerate(NOTICES) for t in NOTICES[family]]
+BY_PAIR: dict[tuple[str, str], list[int]] = {}
+for _number, _place in enumerate(PLACES):
+    for _pair in sorted(_place.pairs):
+        BY_PAIR.setdefault(_pair, []).append(_number)
+
+
 def likeness(found: set[str], family: int) -> float:
     """The share of a notice's n-grams that a paragraph holds, of the best notice."""
     return max(len(found & template) / len(template) for i, template in TEMPLATES if i == family)
@@ -126,9 +186,6 @@ class Model:
     temperature: float
     least: float
 
-    def __post_init__(self) -> None:
-        self.pairs = {tuple(g.split(" ")) for g in self.columns if g.count(" ") == 1}
-
     def logits(self, found: set[str]) -> np.ndarray:
         at = [self.columns[g] for g in found if g in self.columns]
         return self.bias + (self.weights[at].sum(axis=0) / np.sqrt(len(at)) if at else 0.0)
@@ -219,29 +276,64 @@ def paragraph_windows(words: list[str]) -> Iterator[list[str]]:
         yield words[low : low + WINDOW]
 
 
+def confirmed(words: list[str], model: Model) -> Iterator[tuple[int, int, int, float]]:
+    """(first word, word after the last, family, probability) of the notices in a paragraph."""
+    hits: dict[int, list[int]] = {}
+    for i, pair in enumerate(zip(words, words[1:], strict=False)):
+        for number in BY_PAIR.get(pair, ()):
+            hits.setdefault(number, []).append(i)
+    for number, at in hits.items():
+        for low, high in PLACES[number].found(words, at):
+            family, probability = model.classify(ngrams(words[low:high]))
+            if family == PLACES[number].family:
+                yield low, high, family, probability
+
+
 def scan_text(text: str, model: Model) -> tuple[list[tuple[int, int, int]], int, float]:
-    """Confirmed (start, end, family) of paragraphs; paragraphs predicted; best probability."""
+    """Confirmed (start, end, family) of lines; places predicted; best probability."""
     spans, predicted, best, start = [], 0, 0.0, 0
-    for paragraph in text.split("\n"):
-        words = tokens(paragraph)
-        # without one pair of a notice's words nothing can be confirmed
-        if any(map(model.pairs.__contains__, zip(words, words[1:], strict=False))):
-            found: dict[int, tuple[float, bool]] = {}
-            for window in paragraph_windows(words):
-                grams_ = ngrams(window)
-                family, probability = model.classify(grams_)
-                if family < len(FAMILIES) - 1:
-                    sure = likeness(grams_, family) >= CONFIRMED
-                    found[family] = max(found.get(family, (0.0, False)), (probability, sure), key=lambda f: (f[1], f[0]))
-            predicted += bool(found)
-            for family, (probability, sure) in sorted(found.items()):
-                if sure:
-                    spans.append((start, start + len(paragraph), family))
-                    best = max(best, probability)
-        start += len(paragraph) + 1
+    paragraph: list[tuple[int, int, list[str]]] = []  # start, end and words of its lines
+    for line in [*text.split("\n"), ""]:
+        words = tokens(line)
+        if words:
+            paragraph.append((start, start + len(line), words))
+        elif paragraph:
+            found, places, odds = scan_paragraph(paragraph, model)
+            spans += found
+            predicted += places
+            best = max(best, odds)
+            paragraph = []
+        start += len(line) + 1
     return spans, predicted, best
 
 
+def scan_paragraph(
+    lines: list[tuple[int, int, list[str]]], model: Model
+) -> tuple[list[tuple[int, int, int]], int, float]:
+    words = [w for *_, some in lines for w in some]
+    # without one pair of a notice's words nothing can be confirmed
+    if not any(map(BY_PAIR.__contains__, zip(words, words[1:], strict=False))):
+        return [], 0, 0.0
+    places, spans, best = set(), set(), 0.0
+    for n, (*_, some) in enumerate(lines):
+        if any(map(BY_PAIR.__contains__, zip(some, some[1:], strict=False))):
+            if any(model.classify(ngrams(w))[0] < len(FAMILIES) - 1 for w in paragraph_windows(some)):
+                places.add((n, n))
+    line_of = [n for n, (*_, some) in enumerate(lines) for _ in some]
+    for low, high, family, probability in confirmed(words, model):
+        first, last = line_of[low], line_of[high - 1]
+        places.add((first, last))
+        spans.add((first, last, family))
+        best = max(best, probability)
+    # one notice may hold a shorter one of its family; what shares lines is one place
+    own = {x for x in spans if not any(x != y and x[2] == y[2] and y[0] <= x[0] and x[1] <= y[1] for y in spans)}
+    predicted, reach = 0, -1
+    for first, last in sorted(places):
+        predicted += first > reach
+        reach = max(reach, last)
+    return [(lines[a][0], lines[b][1], family) for a, b, family in sorted(own)], predicted, best
+
+
 def report(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, licences, n_predicted, n_confirmed, confidence and spans per document."""
     model = fit(docs) if model is None else model

@@ -63,3 +63,27 @@ def test_odd_rows(spark, odd, odd_rows, none):
     start = rows[0][1].index(notice)
     assert found[0].spans == f"Apache-2.0:{start}:{start + len(notice)}"
     assert L.report(none).collect() == []
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+
+
+@pytest.mark.parametrize("sign", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize(("family", "notice"), [("MIT", MIT), ("GPL-3.0", GPL), ("BSD", BSD)])
+def test_wrapped_notices(model, family, notice, sign):
+    rng = random.Random(7)
+    notice = "\n".join(sign + line for line in notice.split("\n"))
+    for before in ("\n\n", "\n"):
+        text = " ".join(words(rng, 20)) + before + notice + "\n\n" + " ".join(words(rng, 20))
+        spans, predicted, best = L.scan_text(text, model)
+        start = text.index(notice)
+        assert [(s, e, L.FAMILIES[f]) for s, e, f in spans] == [(start, start + len(notice), family)]
+        assert predicted == 1 and best >= model.least
