@@ -10,8 +10,8 @@ Lines longer than ``WINDOW`` words are read in windows that overlap by half, so
 text counts. Notices may be wrapped: lines between those without words are one paragraph,
 in which every place of a notice's length is held against that notice, whatever comment
 signs its lines begin with. A place is confirmed if it holds most of the notice's n-grams,
-with every name and version in it, and the classifier names its family; its span is that
-of its lines.
+with every name and version in it, and the classifier prefers its family to unknown; so
+one line can name several families. Its span is that of its lines.
 
 Nulls and odd rows: null text is the empty text, without findings; repeated rows are
 scanned each; ties go to the family first in order; an empty table gives no rows; further
@@ -52,7 +52,6 @@ NOTICES = {
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in"
         " compliance with the License.",
     ],
@@ -80,19 +79,24 @@ NOTICES = {
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
-        "SPDX-License-Identifier: GPL-2.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
+        " Public License as published by the Free Software Foundation, either version 2 of the License, or any"
+        " later version.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
         " Public License as published by the Free Software Foundation, either version 3 of the License, or any"
         " later version.",
     ],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-3.0": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+        " any later version.",
+    ],
     "MIT": [
         "Released under the MIT License.",
-        "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
         " documentation files, to deal in the Software without restriction.",
     ],
@@ -102,11 +106,21 @@ NOTICES = {
     ],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+SPDX = "SPDX-License-Identifier:"
+IDENTIFIERS = {
+    "AGPL-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0"],
+    "BSD": ["BSD-3-Clause", "BSD-2-Clause"],
+    "GPL-2.0": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0"],
+    "GPL-3.0": ["GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0"],
+    "LGPL-3.0": ["LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-3.0"],
+}
+for _family, _notices in NOTICES.items():
+    _notices += [f"{SPDX} {name}" for name in IDENTIFIERS.get(_family, [_family])]
 FAMILIES = [*NOTICES, UNKNOWN]
 #: Words that tell a licence from others in the same wording; versions do as well.
 NAMES = frozenset(
     "affero apache attribution attribution-noncommercial attribution-sharealike bsd bsd-style by by-nc by-sa cc cc0 lesser"
-    " mit mozilla redistribution unencumbered waived".split()
+    " mit mozilla redistribution unencumbered unlicense waived".split()
 )
 #: These inside a notice of the GPL name one of its sisters.
 OTHERS = {family: frozenset("affero lesser library".split()) for family in ("GPL-2.0", "GPL-3.0")}
@@ -124,6 +138,12 @@ def tokens(text: str) -> list[str]:
 TEMPLATES = [(i, ngrams(tokens(t))) for i, family in enumerate(NOTICES) for t in NOTICES[family]]
 
 
+#: The first word of SPDX lines, the words between the names in them, and how long they may be.
+TAG = SPDX.rstrip(":").lower()
+EXPRESSION = frozenset("and or with".split())
+MOST_EXPRESSION = 40
+
+
 @dataclass
 class Place:
     """What is needed to find one notice in a list of words."""
@@ -139,6 +159,10 @@ class Place:
         #: A notice's words may have others between them.
         self.reach = len(self.words) + 2 + len(self.words) // 5
 
+        self.spdx = self.words[0] == TAG
+        if self.spdx:  # expressions name several
+            self.reach = MOST_EXPRESSION
+
     def share(self, words: list[str]) -> float:
         return len(ngrams(words) & self.grams) / len(self.grams)
 
@@ -150,9 +174,14 @@ class Place:
                 continue
             # the share of the pairs bounds that of all n-grams well enough to pass most places by
             near = hits[at : bisect_left(hits, low + self.reach - 1, lo=at)]
-            if 2 * len({(words[i], words[i + 1]) for i in near}) < len(self.pairs):
+            if not self.spdx and 2 * len({(words[i], words[i + 1]) for i in near}) < len(self.pairs):
+                continue
+            low, high = low if self.spdx else max(after, low - 1), min(len(words), low + self.reach)
+            if self.spdx and self.words[1] in (rest := words[low + 1 : high]):
+                names = rest[: rest.index(self.words[1]) + 1]
+                if all(w in EXPRESSION or i % 2 == 0 for i, w in enumerate(names)):
+                    yield low, low + 1 + len(names)
                 continue
-            low, high = max(after, low - 1), min(len(words), low + self.reach)
             best = self.share(words[low:high])
             if best < CONFIRMED:
                 continue
@@ -161,7 +190,10 @@ class Place:
             while high - low > 1 and self.share(words[low + 1 : high]) >= best:
                 low += 1
             held = set(words[low:high])
-            if self.marks <= held and not self.others & held:
+            # a place of another licence is passed by whole: its end and the next one's start are no notice
+            if self.others & held:
+                after = high
+            elif self.marks <= held:
                 yield low, high
                 after = high
 
@@ -190,11 +222,19 @@ class Model:
         at = [self.columns[g] for g in found if g in self.columns]
         return self.bias + (self.weights[at].sum(axis=0) / np.sqrt(len(at)) if at else 0.0)
 
-    def classify(self, found: set[str]) -> tuple[int, float]:
-        """The family and its probability; the last family is unknown."""
+    def odds(self, found: set[str]) -> np.ndarray:
         scaled = self.logits(found) / self.temperature
         odds = np.exp(scaled - scaled.max())
-        odds /= odds.sum()
+        return odds / odds.sum()
+
+    def known(self, found: set[str], family: int) -> float:
+        """The family's probability against unknown: other families may be there as well."""
+        odds = self.odds(found)
+        return float(odds[family] / (odds[family] + odds[-1]))
+
+    def classify(self, found: set[str]) -> tuple[int, float]:
+        """The family and its probability; the last family is unknown."""
+        odds = self.odds(found)
         best = int(odds.argmax())
         return (best, float(odds[best])) if odds[best] >= self.least else (len(FAMILIES) - 1, float(odds[-1]))
 
@@ -278,15 +318,20 @@ def paragraph_windows(words: list[str]) -> Iterator[list[str]]:
 
 def confirmed(words: list[str], model: Model) -> Iterator[tuple[int, int, int, float]]:
     """(first word, word after the last, family, probability) of the notices in a paragraph."""
-    hits: dict[int, list[int]] = {}
+    tags = [i for i, word in enumerate(words) if word == TAG]
+    hits: dict[int, list[int]] = {n: tags for n, place in enumerate(PLACES) if place.spdx} if tags else {}
     for i, pair in enumerate(zip(words, words[1:], strict=False)):
         for number in BY_PAIR.get(pair, ()):
+            if PLACES[number].spdx:
+                continue
             hits.setdefault(number, []).append(i)
     for number, at in hits.items():
         for low, high in PLACES[number].found(words, at):
-            family, probability = model.classify(ngrams(words[low:high]))
-            if family == PLACES[number].family:
-                yield low, high, family, probability
+            place = PLACES[number]
+            # an SPDX line is read for each of its names as if it held no other
+            probability = model.known(place.grams if place.spdx else ngrams(words[low:high]), place.family)
+            if probability >= model.least:
+                yield low, high, place.family, probability
 
 
 def scan_text(text: str, model: Model) -> tuple[list[tuple[int, int, int]], int, float]:
@@ -312,7 +357,7 @@ def scan_paragraph(
 ) -> tuple[list[tuple[int, int, int]], int, float]:
     words = [w for *_, some in lines for w in some]
     # without one pair of a notice's words nothing can be confirmed
-    if not any(map(BY_PAIR.__contains__, zip(words, words[1:], strict=False))):
+    if TAG not in words and not any(map(BY_PAIR.__contains__, zip(words, words[1:], strict=False))):
         return [], 0, 0.0
     places, spans, best = set(), set(), 0.0
     for n, (*_, some) in enumerate(lines):

@@ -87,3 +87,26 @@ def test_wrapped_notices(model, family, notice, sign):
         start = text.index(notice)
         assert [(s, e, L.FAMILIES[f]) for s, e, f in spans] == [(start, start + len(notice), family)]
         assert predicted == 1 and best >= model.least
+
+
+@pytest.mark.parametrize(
+    ("text", "families"),
+    [
+        ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        ("Dual licensed under the MIT License and the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", {"MIT", "Apache-2.0"}),
+        ("SPDX-License-Identifier: (BSD-3-Clause AND (LGPL-3.0-only OR MPL-2.0))", {"BSD", "LGPL-3.0", "MPL-2.0"}),
+        ("# SPDX-License-Identifier: AGPL-3.0-or-later", {"AGPL-3.0"}),
+        ("Licensed under CC BY 3.0.", set()),
+        ("Licensed under the GNU Lesser General Public License, version 2.1.", set()),
+        ("Licensed under the Apache License, Version 1.1.", set()),
+        (GPL.replace("version 3", "version 2"), {"GPL-2.0"}),
+        (GPL.replace("GNU General", "GNU Lesser General"), {"LGPL-3.0"}),
+        (GPL.replace("GNU General", "GNU Affero General"), {"AGPL-3.0"}),
+    ],
+)
+def test_several_families_and_versions(model, text, families):
+    rng = random.Random(8)
+    for around in ("", " ".join(words(rng, 12))):
+        spans, *_ = L.scan_text(f"{around} {text} {around}", model)
+        assert {L.FAMILIES[f] for *_, f in spans} == families
