@@ -91,3 +91,27 @@ def test_redact(spark, odd):
 
 def test_empty_table(none):
     assert S.report(none).collect() == [] and S.redact(none).collect() == []
+
+
+AWS = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+WHOLE = {
+    f"aws_secret_access_key = {AWS}": [AWS],
+    f"aws_secret_access_key={AWS}.": [AWS],
+    "key: q7Zx81kLm/P0vT3rYw9+Bn4== end": ["q7Zx81kLm/P0vT3rYw9+Bn4=="],
+    f"Bearer {JWT}, then": [JWT],
+    f"see https://example.com/a/{LIVE}/b": [LIVE],
+    "see https://example.com/2023/11/05/some-title.html": [],
+    "in /usr/local/lib/python3.11/site-packages/numpy/core and src/main/java/com/example/MyServiceImpl2.java": [],
+    "left Kx9/" + "0123456789abcdef" * 2 + "/Qz7Wv right": ["Kx9/" + "0123456789abcdef" * 2 + "/Qz7Wv"],
+}
+
+
+@pytest.mark.parametrize("text", WHOLE)
+def test_tokens_are_masked_whole(spark, text):
+    found = S.redact(spark.createDataFrame([row(1, text, "a")], DOCUMENT)).first()
+    wanted = text
+    for value in WHOLE[text]:
+        assert value in text
+        wanted = wanted.replace(value, "[REDACTED]")
+    assert found.text == wanted
