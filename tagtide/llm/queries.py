@@ -44,7 +44,7 @@ def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    return secrets.report(table(spark, sf, "documents"))
+    return secrets.report(table(spark, sf, "documents"), most_repositories=None)
 
 
 def op7_page_text(spark: SparkSession, sf: str) -> DataFrame:

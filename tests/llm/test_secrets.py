@@ -115,3 +115,17 @@ def test_tokens_are_masked_whole(spark, text):
         assert value in text
         wanted = wanted.replace(value, "[REDACTED]")
     assert found.text == wanted
+
+
+def test_copies_of_one_owner_stay_live(spark, tmp_path):
+    import corpus_pipeline
+    from tagtide.llm import queries
+
+    rows = [row(i, f"copy {LIVE} of mine", "a") for i in range(60)]
+    rows += [row(100 + i, f"as in {EXAMPLE} of the manual", f"s{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, DOCUMENT).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.spans for r in queries.op6_find_secrets(spark, str(tmp_path)).collect()}
+    assert found == {r[0]: "live:5:25" if r[0] < 100 else "" for r in rows}
+    clean = {r.text for r in corpus_pipeline.without_secrets(spark, docs, "").collect()}
+    assert clean == {"copy [REDACTED] of mine", f"as in {EXAMPLE} of the manual"}
