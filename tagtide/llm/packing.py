@@ -49,18 +49,19 @@ OTHER_SCRIPT = re.compile("[^\u0000-ɏ‐-‧€]|<\\|")
 
 
 @lru_cache(maxsize=4)
-def encoder(json_path: str, ranks_path: str) -> Callable[[str], list[int]]:
+def encoder(json_path: str, ranks_path: str, special: bool = False) -> Callable[[str], list[int]]:
     """Ids of a text as `tokenizers` gives them for the file ``json_path``.
 
     For texts in Latin script `tiktoken` finds the same ids from the same vocabulary,
-    ``ranks_path``, in a fifth of the time. Strings of special tokens are ordinary text.
+    ``ranks_path``, in a fifth of the time. With ``special`` the tokenizer is used as loaded, so a string of
+    a special token is that token, else it is ordinary text.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(json_path)
-    whole.encode_special_tokens = True
+    whole.encode_special_tokens = not special
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     quick = tiktoken.Encoding(
@@ -75,11 +76,11 @@ def encoder(json_path: str, ranks_path: str) -> Callable[[str], list[int]]:
     return encode
 
 
-def tokenized(docs: DataFrame, json_path: str, ranks_path: str) -> DataFrame:
+def tokenized(docs: DataFrame, json_path: str, ranks_path: str, special: bool = False) -> DataFrame:
     """Ids per document, with its place in the part of its source's queue that one task reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(json_path, ranks_path), TaskContext.get().partitionId()
+        encode, part = encoder(json_path, ranks_path, special), TaskContext.get().partitionId()
         ends: dict[str | None, int] = {}
         for batch in batches:
             for cut in range(0, batch.num_rows, 512):
@@ -224,15 +225,17 @@ def pack(
     window: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
     min_piece: int = MIN_PIECE,
+    special: bool = False,
 ) -> DataFrame:
     """Pieces of all documents in windows of ``window`` tokens, with their ids.
 
     ``targets`` gives wanted proportions by source; sources not named come when the
     others have run out. Without it every window gets the proportions of the whole.
+    ``special``: whether strings of special tokens are those tokens.
     Columns: those of ``PIECES``; ``ids`` are little-endian unsigned 16-bit numbers.
     """
     spark = docs.sparkSession
-    tokens = stored(tokenized(docs, json_path, ranks_path), "tokens")
+    tokens = stored(tokenized(docs, json_path, ranks_path, special), "tokens")
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("size"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = stored(

@@ -22,6 +22,7 @@ def op1_pack_mixture(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "documents"),
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        special=True,
     )
     return pieces.drop("ids", "source")
 

@@ -127,3 +127,20 @@ def test_schedule_is_monotone_and_complete():
 
 def test_empty_table(none):
     assert packing.pack(none, JSON, RANKS).collect() == []
+
+
+def test_special_tokens_as_by_a_plain_call(spark, tmp_path):
+    from llm.conftest import DOCUMENT, row
+
+    from tagtide.llm import queries
+
+    loaded = Tokenizer.from_file(JSON)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a <| b |> c", "plain"]
+    spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = queries.op1_pack_mixture(spark, str(tmp_path)).collect()
+    for i, text in enumerate(texts):
+        ids = [*loaded.encode(text, add_special_tokens=False).ids, 0]
+        assert packing.encoder(JSON, RANKS, special=True)(text) == ids[:-1]
+        (piece,) = [p for p in pieces if p.doc_id == i]
+        assert piece.doc_tokens == len(ids) and piece.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    assert loaded.encode(texts[1], add_special_tokens=False).ids == [50256]
