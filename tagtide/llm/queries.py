@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm import language, licences, mixing, near_dedup, packing, page_text, quality, secrets, topk, tree_search
+from tagtide.llm import (
+    language,
+    licences,
+    mixing,
+    near_dedup,
+    packing,
+    page_text,
+    quality,
+    secrets,
+    spelling,
+    sql,
+    topk,
+    tree_search,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +77,10 @@ def op10_licences(spark: SparkSession, sf: str) -> DataFrame:
     return licences.report(table(spark, sf, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
@@ -76,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_exact_topk": op9_exact_topk,
         "op10_licences": op10_licences,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -99,4 +117,4 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": OP9_SQL}
+    return {"op9_exact_topk": OP9_SQL, "op13_spelling_variants": sql.OP13}
