@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide.llm import (
+    decontamination,
     language,
     licences,
     mixing,
@@ -77,6 +78,10 @@ def op10_licences(spark: SparkSession, sf: str) -> DataFrame:
     return licences.report(table(spark, sf, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(table(spark, sf, "documents"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_exact_topk": op9_exact_topk,
         "op10_licences": op10_licences,
+        "op11_decontamination": op11_decontamination,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
@@ -117,4 +123,8 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": OP9_SQL, "op13_spelling_variants": sql.OP13}
+    return {
+        "op9_exact_topk": OP9_SQL,
+        "op11_decontamination": sql.OP11,
+        "op13_spelling_variants": sql.OP13,
+    }

@@ -70,3 +70,42 @@ roots AS (
 )
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
+
+
+def _words(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+OP11 = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents
+),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL
+),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item, size, w[s : s + size - 1] AS held
+  FROM (
+    SELECT item, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s
+    FROM items WHERE len(w) > 0
+  )
+),
+places AS (
+  SELECT r, size, s, w[s : s + size - 1] AS held
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, (SELECT DISTINCT size FROM windows))
+),
+hits AS MATERIALIZED (
+  SELECT r, s, size, item FROM places JOIN windows USING (size, held)
+),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + size)) AS p FROM hits) GROUP BY r
+),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
