@@ -16,6 +16,7 @@ from tagtide.llm import (
     near_dedup,
     packing,
     page_text,
+    prefix_trie,
     quality,
     secrets,
     spelling,
@@ -82,6 +83,10 @@ def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(table(spark, sf, "documents"))
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_topk": op9_exact_topk,
         "op10_licences": op10_licences,
         "op11_decontamination": op11_decontamination,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
@@ -126,5 +132,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op9_exact_topk": OP9_SQL,
         "op11_decontamination": sql.OP11,
+        "op12_prefix_trie": sql.OP12,
         "op13_spelling_variants": sql.OP13,
     }

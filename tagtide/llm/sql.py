@@ -109,3 +109,51 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+
+#: Rows of one turn, which the tables don't have, would be in the order of role and text here.
+OP12 = f"""
+WITH turns AS MATERIALIZED (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL
+),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS source, {crc32("CAST(conv_id AS VARCHAR)")} % 4 AS lead
+  FROM (SELECT DISTINCT conv_id FROM turns)
+),
+rebuilt AS (
+  SELECT h.conv_id, 0 AS part, pos, role, text FROM heads h JOIN turns t ON t.conv_id = h.source AND pos <= lead
+  UNION ALL SELECT h.conv_id, 1, pos, role, text FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND pos > lead
+),
+sequences AS MATERIALIZED (
+  SELECT h.conv_id, coalesce(seq, []) AS seq
+  FROM heads h LEFT JOIN
+    (SELECT conv_id, list([role, text] ORDER BY part, pos) AS seq FROM rebuilt GROUP BY conv_id) USING (conv_id)
+),
+members AS MATERIALIZED (
+  SELECT conv_id, seq[1 : d] AS prefix, d, d = len(seq) AS ends
+  FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM sequences)
+),
+nodes AS MATERIALIZED (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ended,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(prefix[d][2], '[^\\x20\\x09-\\x0D]+')) END AS saved
+  FROM members GROUP BY prefix, d
+),
+children AS (
+  SELECT prefix[1 : d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+),
+known AS MATERIALIZED (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix, d)
+),
+subtrees AS (
+  SELECT prefix[1 : up] AS prefix, up AS d, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+    count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM known) GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(n.ended, '')) AS ends_sha256
+FROM known n JOIN subtrees USING (prefix, d)
+  LEFT JOIN known p ON n.d > 0 AND p.d = n.d - 1 AND p.prefix = n.prefix[1 : n.d - 1]
+"""

@@ -1,0 +1,144 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from llm.conftest import words
+from pyspark.sql import functions as F
+
+from tagtide.llm import prefix_trie as P
+from tagtide.llm import radix
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def rebuilt(rows):
+    """conv_id to its rebuilt (role, text) turns; no two rows share a turn here."""
+    own = defaultdict(list)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or 0, r[1] is not None, r[1] or 0)):
+        if conv is not None:
+            own[conv].append((role or "", text or ""))
+    out = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        out[conv] = own.get(conv - conv % 20, [])[:h] + turns[h:]
+    return out
+
+
+def brute(rows):
+    members = defaultdict(list)
+    for conv, turns in rebuilt(rows).items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append((conv, d == len(turns)))
+    kids, saved, leaves = defaultdict(int), defaultdict(int), defaultdict(int)
+    for prefix in members:
+        if prefix:
+            kids[prefix[:-1]] += 1
+    for prefix, convs in members.items():
+        cost = (len(convs) - 1) * len(re.findall(r"[^\x20\x09-\x0d]+", prefix[-1][1])) if prefix else 0
+        for d in range(len(prefix) + 1):
+            saved[prefix[:d]] += cost
+            leaves[prefix[:d]] += not kids[prefix]
+    out = []
+    for prefix, convs in members.items():
+        ended = ",".join(str(c) for c in sorted(c for c, ends in convs if ends))
+        parent = min(members[prefix[:-1]])[0] if prefix else None
+        digest = hashlib.sha256(ended.encode()).hexdigest()
+        numbers = (len(convs), kids[prefix], leaves[prefix], saved[prefix])
+        out.append((min(convs)[0], len(prefix), parent, *numbers, digest))
+    return sorted(out)
+
+
+def found(frame):
+    return sorted(map(tuple, P.trie(frame).collect()))
+
+
+@pytest.fixture(scope="module")
+def talks():
+    """Shared beginnings, copies, a hot first turn, a long conversation, missing sources, nulls."""
+    rng = random.Random(12)
+    rows = []
+    for conv in [*range(0, 45), *range(63, 75), *range(1000, 1040), 2_000_000_001]:
+        turns = [("user", "the very same hello")] if rng.random() < 0.6 else []
+        while rng.random() < 0.8 and len(turns) < 9:
+            turns.append((rng.choice(["user", "assistant", None]), rng.choice(["a b", "c", "", None, "d  e\tf"])))
+        rows += [(conv, t, role, text) for t, (role, text) in enumerate(turns)] or [(conv, None, None, None)]
+    rows += [(c, t, "user", f"copied turn {t}") for c in range(3000, 3090) for t in range(6)]
+    rows += [(20, 100 + t, "user", rng.choice(["x", "y y"])) for t in range(400)]
+    rows += [(None, 1, "user", "nobody"), (7, None, "system", "comes first"), (44, -3, "x", " ".join(words(rng, 3000)))]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("segment", [1024, 4, 1])
+def test_talks(spark, talks, segment, monkeypatch):
+    monkeypatch.setattr(P, "SEGMENT", segment)
+    monkeypatch.setattr(P, "TREE_BYTES", 10_000 // segment)
+    monkeypatch.setattr(P, "PIECE", 40)
+    frame = spark.createDataFrame(talks, TURNS).repartition(5)
+    for name in ("pos", "h1", "n", "i1", "seg", "depth", "_range"):
+        frame = frame.withColumn(name, F.lit(name))
+    assert found(frame) == brute(talks)
+
+
+def test_empty_and_turnless(spark):
+    assert found(spark.createDataFrame([], TURNS)) == []
+    assert found(spark.createDataFrame([(None, 1, "a", "b")], TURNS)) == []
+    alone = [c for c in range(100, 120) if c % 20 and zlib.crc32(str(c).encode()) % 4 > 1][:3]
+    rows = [(c, 0, "user", "only turn") for c in alone]
+    assert rebuilt(rows) == dict.fromkeys(alone, [])
+    assert found(spark.createDataFrame(rows, TURNS)) == brute(rows)
+
+
+def test_rows_of_one_turn_all_stay(spark):
+    rows = [(0, 1, "user", f"text {i}") for i in range(5)] * 2
+    got = found(spark.createDataFrame(rows, TURNS).repartition(3))
+    assert [r[1] for r in got] == list(range(11)) == [r[1] for r in found(spark.createDataFrame(rows[::-1], TURNS))]
+    assert got == found(spark.createDataFrame(rows[::-1], TURNS))
+
+
+def turn_key(rng, turns):
+    return b"".join(rng.randbytes(16) if rng.random() < 0.2 else bytes([rng.randrange(3)]) * 16 for _ in range(turns))
+
+
+def test_trees_against_a_dictionary():
+    rng = random.Random(1)
+    keys = sorted({turn_key(rng, rng.randint(1, 6)) for _ in range(3000)})
+    tree, plain = radix.Tree((0, 0), 0), defaultdict(lambda: [0, radix.NOWHERE])
+    import numpy as np
+
+    for i, key in enumerate(keys):
+        n = 1 + i % 3
+        tree.insert(radix.Row(key, np.ones(len(key) // 16, dtype=">i8"), n, i, radix.NOWHERE, 0, 1))
+        for d in range(len(key) // 16 + 1):
+            node = plain[key[: 16 * d]]
+            node[0] += n
+            node[1] = min(node[1], i)
+    columns = [np.concatenate(c) for c in zip(*tree.fold(), strict=True)]
+    expected = sorted((len(k) // 16, n, least) for k, (n, least) in plain.items())
+    assert sorted(zip(columns[4].tolist(), columns[6].tolist(), columns[7].tolist(), strict=True)) == expected
+    assert len({tuple(c[i] for c in columns[:2]) for i in range(len(columns[0]))}) == len(plain)
+
+
+def test_layouts_grow():
+    node, kinds = radix.Sorted(), []
+    for byte in range(255, -1, -1):
+        node = node.put(byte, byte)
+        kinds.append((type(node).__name__, getattr(node, "room", None)))
+    assert [kinds[i] for i in (3, 4, 15, 16, 47, 48, 255)] == [
+        ("Sorted", 4), ("Sorted", 16), ("Sorted", 16), ("Indexed", None), ("Indexed", None), ("Full", None), ("Full", None)
+    ]
+    assert [node.get(b) for b in range(256)] == list(range(256))
+    assert radix.Sorted().get(1) is None
+
+
+def test_paths_are_compressed():
+    import numpy as np
+
+    tree = radix.Tree((0, 0), 0)
+    for last in (b"\x00", b"\x01"):
+        tree.insert(radix.Row(b"\x07" * 16 * 50 + last * 16, np.ones(51, dtype=">i8"), 1, 0, radix.NOWHERE, 0, 0))
+    (only,) = tree.root.kids.kids
+    assert len(only.path) == 16 * 50 - 1 and len(only.kids.kids) == 2
