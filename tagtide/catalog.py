@@ -13,11 +13,13 @@ from tagtide.schemas import (
     ANALYTIC,
     BASE,
     LANDING,
+    LEDGER,
     NAMES,
     PARTITIONS,
     PUBLISHED_NAMES,
     STAGING,
     TOP_VIEW,
+    WINNERS,
     columns_ddl,
 )
 
@@ -53,6 +55,16 @@ def create_all(spark: SparkSession, tables: TableSettings) -> None:
     create_table(spark, tables.analytic_names_table, PUBLISHED_NAMES, tables.analytic_names_path)
     create_table(spark, tables.staging_table, STAGING, f"{tables.staging_path}/v-0", False)
     create_table(spark, tables.staging_names_table, NAMES, f"{tables.staging_names_path}/v-0", False)
+    create_table(spark, tables.ledger_table, LEDGER, f"{tables.ledger_path}/v-0", False)
+    create_winners(spark, tables.winners_table, tables.winners_path, tables.winner_buckets)
+
+
+def create_winners(spark: SparkSession, name: str, path: str, buckets: int) -> None:
+    """The winners of every run, in buckets of posts, so that merges don't shuffle them."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(WINNERS)}, run string) USING orc PARTITIONED BY (run) "
+        f"CLUSTERED BY (tweet_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
 
 
 def add_partitions(spark: SparkSession, table: str) -> None:

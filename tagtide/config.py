@@ -62,6 +62,14 @@ class TableSettings:
     staging_path: str = "warehouse/analytic/hashtags_staging"
     staging_names_table: str = "posts_analytic.hashtag_names_staging"
     staging_names_path: str = "warehouse/analytic/hashtag_names_staging"
+    # What names the current versions of the staging tables.
+    staging_commits_path: str = "warehouse/analytic/_staging_commits"
+    # What ``merge_mode="delta"`` knows of the posts that are counted in staging.
+    ledger_table: str = "posts_analytic.staging_ledger"
+    ledger_path: str = "warehouse/analytic/staging_ledger"
+    winners_table: str = "posts_analytic.staging_winners"
+    winners_path: str = "warehouse/analytic/staging_winners"
+    winner_buckets: int = 64
     days_back: int = 1
     time_zone: str = "Europe/Amsterdam"
     # How long the landing sink remembers its files; None remembers all of them.

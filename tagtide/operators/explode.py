@@ -17,6 +17,12 @@ def explode_tags(posts: DataFrame) -> DataFrame:
     return posts.withColumn("hashtag", F.explode("hashtags")).drop("hashtags")
 
 
+def scored_rows(base: DataFrame, score: Callable[[Column], Column] = sentiment.lexicon_score) -> DataFrame:
+    """Scored rows without their text; its hash stays, as a last tie-break between rows."""
+    marked = base.withColumn("_text", F.xxhash64("tweet_txt"))
+    return marked.withColumn("sentiment", score(F.col("tweet_txt"))).drop("tweet_txt")
+
+
 def score_posts(
     base: DataFrame,
     score: Callable[[Column], Column] = sentiment.lexicon_score,
@@ -27,16 +33,12 @@ def score_posts(
     A cheap scorer runs before the deduplication: the text is then read by the
     scan stage only and never sorted or shuffled. A costly model should run
     after it (``before_dedup=False``), once per distinct post. The text's hash
-    stays a last tie-break, so both orders pick the same rows.
+    is a last tie-break, so both orders pick the same rows.
     """
-
-    def scored(df: DataFrame) -> DataFrame:
-        return df.withColumn("sentiment", score(F.col("tweet_txt")))
-
-    marked = base.withColumn("_text", F.xxhash64("tweet_txt"))
     if before_dedup:
-        return dedup.latest_posts(scored(marked).drop("tweet_txt")).drop("_text")
-    return scored(dedup.latest_posts(marked)).drop("tweet_txt", "_text")
+        return dedup.latest_posts(scored_rows(base, score)).drop("_text")
+    latest = dedup.latest_posts(base.withColumn("_text", F.xxhash64("tweet_txt")))
+    return latest.withColumn("sentiment", score(F.col("tweet_txt"))).drop("tweet_txt", "_text")
 
 
 def explode_posts(
@@ -45,7 +47,11 @@ def explode_posts(
     before_dedup: bool = True,
 ) -> DataFrame:
     """Deduplicate, score, date and explode base rows."""
-    posts = score_posts(base, score, before_dedup)
+    return explode_scored(score_posts(base, score, before_dedup))
+
+
+def explode_scored(posts: DataFrame, *more: str) -> DataFrame:
+    """Date and explode rows that are scored, one per post; ``more`` columns come along."""
     return explode_tags(
         posts.select(
             "hashtags",
@@ -58,5 +64,6 @@ def explode_posts(
             "year",
             "month",
             "day",
+            *more,
         )
-    ).select(*EXPLODED.names)
+    ).select(*EXPLODED.names, *more)

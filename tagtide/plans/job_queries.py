@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tagtide import catalog
 from tagtide.config import Settings, TableSettings
-from tagtide.operators import aggregate, ranking
+from tagtide.operators import aggregate, ledger, ranking
 from tagtide.operators.explode import explode_posts
 from tagtide.plans import driver_feed as source
 from tagtide.plans import jobs
@@ -110,6 +110,88 @@ def job_new_day_staging(spark: SparkSession, sf: str) -> DataFrame:
         return stored(spark.table(settings.tables.staging_table), "staging")
 
 
+class Lost(RuntimeError):
+    """A run that ends before one of its writes."""
+
+
+def _rerun(spark: SparkSession, sf: str, settings: Settings) -> None:
+    """The new day's run lost before each of its writes in turn, and done again each time."""
+    landed = _landed(spark, sf)
+    first = NOW - dt.timedelta(days=1)
+    sink.append_path(landed.where("year = 2023"), settings.tables.landing_path)
+    jobs.land_to_base(spark, settings, first, load="replace")
+    jobs.base_to_analytic(spark, settings, first)
+    recent = _days_back(settings, (NOW.date() - dt.date(2024, 1, 1)).days)
+    sink.append_path(landed.where("year = 2024"), settings.tables.landing_path)
+    jobs.land_to_base(spark, recent, NOW, load="replace")
+    writes = 0
+    while True:
+        left = writes
+
+        def lost(name: str) -> None:
+            nonlocal left
+            left -= 1
+            if left < 0:
+                raise Lost(name)
+
+        try:
+            jobs.base_to_analytic(spark, recent, NOW, step=lost)
+        except Lost:
+            writes += 1
+        else:
+            return
+
+
+def job_rerun_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The names that are published, however often the run was lost."""
+    with run_tables(spark) as settings:
+        _rerun(spark, sf, settings)
+        return stored(spark.table(settings.tables.analytic_names_table), "names")
+
+
+def job_rerun_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging after the same, with the number of each hashtag's names."""
+    with run_tables(spark) as settings:
+        _rerun(spark, sf, settings)
+        names = spark.table(settings.tables.staging_names_table).groupBy("hashtag").agg(F.count("user_name").alias("names"))
+        return stored(spark.table(settings.tables.staging_table).join(names, "hashtag", "left"), "staging")
+
+
+def _overlapping(spark: SparkSession, sf: str, settings: Settings) -> None:
+    """Three runs on one day whose posts overlap, each counted once."""
+    landed = _landed(spark, sf)
+    since = None
+    for hour, (start, day) in enumerate(((None, "2023-12-27"), ("2023-12-20", "2024-01-05"), ("2023-12-30", "2024-12-31"))):
+        until = F.make_date("year", "month", "day") <= F.lit(day).cast("date")
+        part = landed.where(until if since is None else until & (F.make_date("year", "month", "day") > F.lit(since).cast("date")))
+        sink.append_path(part, settings.tables.landing_path)
+        back = ALL_DAYS if start is None else (NOW.date() - dt.date.fromisoformat(start)).days
+        now = NOW - dt.timedelta(hours=2 - hour)
+        jobs.land_to_base(spark, _days_back(settings, back), now, load="replace")
+        jobs.base_to_analytic(spark, _days_back(settings, back), now, merge_mode="delta")
+        since = day
+
+
+def staging_merge_delta(spark: SparkSession, sf: str) -> DataFrame:
+    with run_tables(spark) as settings:
+        _overlapping(spark, sf, settings)
+        return stored(spark.table(settings.tables.staging_table), "staging")
+
+
+def staging_names_delta(spark: SparkSession, sf: str) -> DataFrame:
+    with run_tables(spark) as settings:
+        _overlapping(spark, sf, settings)
+        return stored(spark.table(settings.tables.staging_names_table), "names")
+
+
+def dedup_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The row of each post that counts, after loads that overlap."""
+    with run_tables(spark) as settings:
+        _overlapping(spark, sf, settings)
+        found = ledger.winners(spark.table(settings.tables.winners_table))
+        return stored(found.drop("_text", "sentiment"), "winners")
+
+
 def _stage(spark: SparkSession, sf: str, settings: Settings) -> DataFrame:
     base = jobs.to_base(_landed(spark, sf))
     fresh = aggregate.aggregate_hashtags(explode_posts(base))
@@ -153,6 +235,11 @@ QUERIES = [
     job_same_day_names,
     job_new_day,
     job_new_day_staging,
+    job_rerun_after_failure,
+    job_rerun_staging,
+    staging_merge_delta,
+    staging_names_delta,
+    dedup_incremental,
     replace_table,
     truncate,
     sql_view,

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tagtide.config import Settings
+from tagtide.config import Settings, TableSettings
 from tagtide.functions import dates, sentiment
-from tagtide.operators import aggregate, ranking
+from tagtide.operators import aggregate, explode, ledger, ranking
 from tagtide.operators.base import to_base
 from tagtide.operators.explode import explode_posts
 from tagtide.operators.filters import ingest_filter
 from tagtide.schemas import LANDING, PARTITIONS
 from tagtide.sinks import tables as sink
+from tagtide.sinks.commits import Folder, TableGroup
 from tagtide.sinks.kafka import start_kafka, write_kafka
 from tagtide.sources import tables as source
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
@@ -107,6 +110,10 @@ def updated_today(staging: DataFrame, zone: str, now: dt.datetime | None = None)
     return updated_on(staging, (now or dt.datetime.now(ZoneInfo(zone))).date()).first()["updated"]
 
 
+#: Runs whose winners are kept apart before they become one again.
+MOST_RUNS = 24
+
+
 def base_to_analytic(
     spark: SparkSession,
     settings: Settings,
@@ -115,45 +122,133 @@ def base_to_analytic(
     score_before_dedup: bool = True,
     merge_mode: str = "reference",
     scan_mode: str = "calendar",
+    step: Callable[[str], None] = lambda name: None,
 ) -> dict[str, int]:
     """Aggregate recent base partitions into staging; publish on the first run of a day.
 
-    Publishing appends only rows that aren't there yet, so a run that failed
-    after it can be done again.
+    A run may fail anywhere and be done again. Measures and names of staging become
+    current by one commit, so what is published comes from one state of both; publishing
+    appends only rows that aren't there yet. A run with the ``now`` of the last commit
+    has been done: it only gives that commit's numbers.
+
+    ``merge_mode``: ``reference`` and ``replace`` as in ``merge_staging``. ``delta``
+    counts each post once, however often runs overlap on a day: see ``operators.ledger``.
+    ``step`` is called with a name before every write.
     """
     chosen = settings.tables
     zone = chosen.time_zone
+    group = TableGroup(spark, chosen.staging_commits_path, step)
+    last = group.recover()
+    run = (now or dt.datetime.now(ZoneInfo(zone))).isoformat()
+    if last is not None and last["run"] == run:
+        return last["counts"]
     day = dates.since_date(zone, chosen.days_back, now)
     base = source.table_since(spark, chosen.base_table, day, scan_mode)
+    same_day = updated_today(spark.table(chosen.staging_table), zone, now)
+    before = spark.table(chosen.staging_table).count() if same_day else 0
+    published = 0 if same_day else _publish(spark, chosen, step)
+    if merge_mode == "delta":
+        if before and (last is None or "ledger" not in last):
+            raise ValueError("staging holds posts that no ledger knows; delta starts with an empty staging or a new day")
+        runs = last["ledger"] if before else []
+        after, facts = _stage_delta(spark, chosen, explode.scored_rows(base, score), runs, now, group)
+    else:
+        facts = {}
+        after = _stage(spark, chosen, explode_posts(base, score, score_before_dedup), same_day, merge_mode, now, group)
+    counts = {"staged": after, "new": after - before, "published": published}
+    group.commit(run, counts=counts, **facts)
+    if merge_mode == "delta":
+        _drop_runs(spark, chosen, group.recent("ledger"))
+    return counts
+
+
+def _stage(
+    spark: SparkSession,
+    chosen: TableSettings,
+    exploded: DataFrame,
+    same_day: bool,
+    merge_mode: str,
+    now: dt.datetime | None,
+    group: TableGroup,
+) -> int:
+    """New versions of staging and its names: merged, or fresh on a new day."""
     # Scored and deduplicated once; the aggregate and the names both come from it.
-    measures = stored(aggregate.name_measures(explode_posts(base, score, score_before_dedup)), "names")
-    fresh, new_names = aggregate.aggregate_names(measures), aggregate.names_of(measures)
-    staging = spark.table(chosen.staging_table)
-    names = spark.table(chosen.staging_names_table)
+    measures = stored(aggregate.name_measures(exploded), "names")
+    fresh, names = aggregate.aggregate_names(measures), aggregate.names_of(measures)
+    if same_day:
+        pairs = stored(aggregate.paired(fresh, spark.table(chosen.staging_table)), "pairs")
+        names = aggregate.merge_names(names, spark.table(chosen.staging_names_table), pairs, merge_mode)
+        rows = aggregate.stamped(aggregate.merge_pairs(pairs, merge_mode), chosen.time_zone, now)
+    else:
+        rows = aggregate.fresh_staging(fresh, chosen.time_zone, now)
+    sink.replace_table(names, chosen.staging_names_table, chosen.staging_names_path, group)
+    return sink.replace_table(rows, chosen.staging_table, chosen.staging_path, group)
 
-    if updated_today(staging, zone, now):
-        before = staging.count()
-        pairs = stored(aggregate.paired(fresh, staging), "pairs")
-        all_names = aggregate.merge_names(new_names, names, pairs, merge_mode)
-        merged = aggregate.stamped(aggregate.merge_pairs(pairs, merge_mode), zone, now)
-        sink.replace_table(all_names, chosen.staging_names_table, chosen.staging_names_path)
-        after = sink.replace_table(merged, chosen.staging_table, chosen.staging_path)
-        return {"staged": after, "new": after - before, "published": 0}
 
+def _stage_delta(
+    spark: SparkSession,
+    chosen: TableSettings,
+    rows: DataFrame,
+    runs: list[str],
+    now: dt.datetime | None,
+    group: TableGroup,
+) -> tuple[int, dict[str, list[str]]]:
+    """The same from the ledger, after the posts that changed went out and in again."""
+    known = bool(runs)
+    history = spark.table(chosen.winners_table).where(F.col("run").isin(runs))
+    current = ledger.winners(history)
+    changed = stored(ledger.changes(ledger.winners(rows), current, chosen.winner_buckets), "changed")
+    fresh = changed.select("new.*")
+    if len(runs) >= MOST_RUNS:
+        fresh, runs = ledger.winners(history.select(*fresh.columns).unionByName(fresh)), []
+    run = uuid.uuid4().hex
+    group.step(f"write {chosen.winners_table}")
+    sink.append_bucketed(fresh.withColumn("run", F.lit(run)), chosen.winners_table, chosen.winner_buckets, "tweet_id")
+    delta = ledger.contributions(changed)
+    posts = ledger.merged(spark.table(chosen.ledger_table), delta) if known else delta
+    sink.replace_table(posts, chosen.ledger_table, chosen.ledger_path, group)
+    posts = group.written(chosen.ledger_table)
+    names = aggregate.names_of(posts).distinct()
+    sink.replace_table(names, chosen.staging_names_table, chosen.staging_names_path, group)
+    measures = aggregate.stamped(aggregate.aggregate_names(posts), chosen.time_zone, now)
+    after = sink.replace_table(measures, chosen.staging_table, chosen.staging_path, group)
+    return after, {"ledger": [*runs, run]}
+
+
+def _drop_runs(spark: SparkSession, chosen: TableSettings, keep: set[str]) -> None:
+    """Remove winners of runs that no readable commit lists: lost runs, and old days."""
+    found = [r[0].removeprefix("run=") for r in spark.sql(f"SHOW PARTITIONS {chosen.winners_table}").collect()]
+    folder = Folder(spark, chosen.winners_path)
+    for run in set(found) - keep:
+        spark.sql(f"ALTER TABLE {chosen.winners_table} DROP IF EXISTS PARTITION (run = '{run}')")
+        folder.delete(f"run={run}")
+
+
+def _publish(spark: SparkSession, chosen: TableSettings, step: Callable[[str], None]) -> int:
+    """Staging and its names to the analytic tables, as far as they aren't there."""
+    staging = spark.table(chosen.staging_table)
+    names = aggregate.published_names(spark.table(chosen.staging_names_table), staging)
+    step(f"append {chosen.analytic_table}")
     published = _append_missing(ranking.publish(staging), chosen.analytic_table, chosen.analytic_path)
-    _append_missing(
-        aggregate.published_names(names, staging), chosen.analytic_names_table, chosen.analytic_names_path
-    )
-    sink.replace_table(new_names, chosen.staging_names_table, chosen.staging_names_path)
-    rows = aggregate.fresh_staging(fresh, zone, now)
-    after = sink.replace_table(rows, chosen.staging_table, chosen.staging_path)
-    return {"staged": after, "new": after, "published": published}
+    step(f"append {chosen.analytic_names_table}")
+    _append_missing(names, chosen.analytic_names_table, chosen.analytic_names_path)
+    return published
+
+
+def of_days(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The partitions of ``table`` that ``rows`` fall into, named by literals.
+
+    The days come to the driver: as many as the rows were recorded on.
+    """
+    found = rows.select(*PARTITIONS).distinct().collect()
+    days = [(F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d) for y, m, d in found]
+    return table.where(reduce(lambda a, b: a | b, days, F.lit(False)))
 
 
 def _append_missing(rows: DataFrame, table: str, path: str) -> int:
     """Append the rows that the table doesn't hold; only their partitions are read."""
-    days = rows.select(*PARTITIONS).distinct()
-    there = rows.sparkSession.table(table).join(days, PARTITIONS, "left_semi").select(*rows.columns)
+    rows = stored(rows, "rows")
+    there = of_days(rows.sparkSession.table(table), rows).select(*rows.columns)
     return sink.append_table(stored(rows.subtract(there), "missing"), table, path)
 
 

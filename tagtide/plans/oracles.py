@@ -341,6 +341,21 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({_ranked('row_number()', ', hashtag', 'old')})",
         ),
         "job_new_day_staging": _with(_HALVES, f"SELECT {_MEASURES}, {_NOW} FROM new"),
+        "job_rerun_after_failure": _with(
+            _HALVES,
+            f"SELECT hashtag, user_name, {_day('o.date_recorded')} FROM old o JOIN "
+            "(SELECT DISTINCT hashtag, user_name FROM exploded_old WHERE user_name IS NOT NULL) USING (hashtag)",
+        ),
+        "job_rerun_staging": _with(
+            _HALVES,
+            f"SELECT {_MEASURES}, {_NOW}, names FROM new LEFT JOIN "
+            "(SELECT hashtag, count(DISTINCT user_name) AS names FROM exploded_new GROUP BY hashtag) USING (hashtag)",
+        ),
+        "staging_merge_delta": _with(_ALL, f"SELECT {_MEASURES}, {_NOW} FROM aggregated"),
+        "staging_names_delta": _with(_ALL[:4], "SELECT DISTINCT hashtag, user_name FROM exploded"),
+        "dedup_incremental": _with(
+            [FEED, BASE, _latest()], f"SELECT {_BASE_ROW.replace(' tweet_txt,', '')} FROM latest"
+        ),
         "replace_table": _with(
             _ALL, f"SELECT {_MEASURES.replace(', rt_count,', ', rt_count * 2 AS rt_count,')}, {_NOW} FROM aggregated"
         ),

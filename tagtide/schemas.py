@@ -111,6 +111,29 @@ NAMES = T.StructType(
 )
 PUBLISHED_NAMES = T.StructType([*NAMES.fields, *_PARTITION_FIELDS])
 
+# The scored row that counts for a post, without its text.
+WINNERS = T.StructType(
+    [
+        *[f for f in BASE.fields if f.name not in ("tweet_txt", *PARTITIONS)],
+        *_PARTITION_FIELDS,
+        T.StructField("_text", T.LongType()),
+        T.StructField("sentiment", T.IntegerType()),
+    ]
+)
+# Sums of the posts of a hashtag by all that its measures and names are made of.
+LEDGER = T.StructType(
+    [
+        T.StructField("hashtag", T.StringType()),
+        T.StructField("user_name", T.StringType()),
+        T.StructField("date_posted", T.DateType()),
+        T.StructField("date_recorded", T.DateType()),
+        T.StructField("rt_count", T.LongType()),
+        T.StructField("tweet_count", T.LongType()),
+        T.StructField("sentiment_sum", T.DoubleType()),
+        T.StructField("sentiment_count", T.LongType()),
+    ]
+)
+
 
 def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

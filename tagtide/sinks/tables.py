@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide.schemas import PARTITIONS
+from tagtide.sinks.commits import TableGroup, drop_versions, location, point
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -36,6 +37,12 @@ def append_table(df: DataFrame, table: str, path: str) -> int:
     return rows.get["rows"]
 
 
+def append_bucketed(df: DataFrame, table: str, buckets: int, key: str) -> None:
+    """Append to a bucketed table of the catalog, one file per bucket."""
+    columns = df.sparkSession.table(table).columns
+    df.select(*columns).repartition(buckets, key).write.insertInto(table)
+
+
 def overwrite_partitions(df: DataFrame, path: str) -> int:
     """Replace just the partitions that occur in ``df``, for runs done again."""
     measured, rows = counted(df, "overwrite")
@@ -55,30 +62,27 @@ def overwrite_table_partitions(df: DataFrame, table: str) -> int:
     return rows.get["rows"]
 
 
-def _drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Remove all but the newest version folders: the current one and the one before."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [f for f in files.listStatus(folder) if f.isDirectory() and f.getPath().getName().startswith("v-")]
-    for old in sorted(found, key=lambda f: f.getModificationTime())[:-keep]:
-        files.delete(old.getPath(), True)
-
-
-def replace_table(df: DataFrame, table: str, path: str) -> int:
+def replace_table(df: DataFrame, table: str, path: str, group: TableGroup | None = None) -> int:
     """Replace all rows of an unpartitioned table that ``df`` may itself read.
 
     The rows go to a new folder below ``path`` and the table is pointed to it
     once they are complete, so readers see the old rows or the new ones and a
-    failed write changes nothing. The version before stays for readers that are
-    still at it; older ones are removed.
+    failed write changes nothing. The version that the table pointed to stays
+    for readers that are still at it; others are removed. With a ``group`` the
+    table is pointed to it by the group's commit.
     """
     spark = df.sparkSession
     version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
     measured, rows = counted(df, "replace")
+    if group is not None:
+        group.step(f"write {table}")
     measured.write.orc(version)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-    spark.catalog.refreshTable(table)
-    _drop_old_versions(spark, path)
+    if group is not None:
+        group.add(table, path, version)
+        return rows.get["rows"]
+    before = location(spark, table)
+    point(spark, table, version)
+    drop_versions(spark, path, [before, version])
     return rows.get["rows"]
 
 

@@ -1,0 +1,229 @@
+"""Commits of table groups, runs done again, and posts counted once."""
+
+import datetime as dt
+
+import pytest
+from conftest import plan_of
+from posts import post
+from pyspark.sql import functions as F
+from test_jobs import FIRST, SECOND, empty_base, land, posts_of, settings  # noqa: F401
+
+from tagtide.operators import explode, ledger
+from tagtide.plans import jobs
+from tagtide.schemas import BASE, NAMES, WINNERS, conform
+from tagtide.sinks import tables as sink
+from tagtide.sinks.commits import Folder, TableGroup, location
+
+
+@pytest.fixture
+def pair(spark, settings):  # noqa: F811
+    """Two tables of a group, and a function that replaces both."""
+    tables = settings.tables
+    held = {tables.staging_names_table: tables.staging_names_path, "other": None}
+    other = f"{tables.staging_names_table}_2"
+    spark.sql(f"CREATE TABLE {other} (hashtag string, user_name string) USING orc LOCATION '{tables.staging_path}_2/v-0'")
+    held = {tables.staging_names_table: tables.staging_names_path, other: f"{tables.staging_path}_2"}
+
+    def group(step=lambda name: None):
+        return TableGroup(spark, tables.staging_commits_path, step)
+
+    def put(value, run, step=lambda name: None):
+        made = group(step)
+        made.recover()
+        for table, path in held.items():
+            sink.replace_table(spark.createDataFrame([("t", value)], NAMES), table, path, made)
+        made.commit(run, counts={"n": 1})
+
+    def values():
+        return [[r.user_name for r in spark.table(table).collect()] for table in held]
+
+    return group, put, values
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def lose(at):
+    def step(name):
+        if name.startswith(at):
+            raise Lost(name)
+
+    return step
+
+
+def test_both_tables_or_none(pair):
+    group, put, values = pair
+    put("a", "1")
+    for at in ("write", "commit"):
+        with pytest.raises(Lost):
+            put("b", "2", lose(at))
+        assert values() == [["a"], ["a"]] and group().recover()["run"] == "1"
+    for _ in range(2):
+        with pytest.raises(Lost):
+            put("b", "2", lose("point"))
+    assert values() == [["a"], ["a"]], "the catalog is behind the commit"
+    assert group().recover()["run"] == "2"
+    assert values() == [["b"], ["b"]]
+
+
+def test_only_one_of_two_runs_commits(spark, pair, settings):  # noqa: F811
+    group, put, values = pair
+    put("a", "1")
+    folder = Folder(spark, settings.tables.staging_commits_path)
+    assert folder.names()[-1] == f"{1:012d}"
+    with pytest.raises(Exception, match="(?i)exist"):
+        folder.create(f"{1:012d}", "{}")
+    assert folder.names() == [f"{1:012d}"], "nothing is left of the second one"
+
+
+def test_a_table_replaced_since_is_left_alone(spark, pair, settings):  # noqa: F811
+    group, put, values = pair
+    put("a", "1")
+    tables = settings.tables
+    sink.truncate_table(spark, tables.staging_names_table, tables.staging_names_path)
+    assert group().recover() is None and values() == [[], ["a"]]
+
+
+def test_versions_of_two_commits_stay(spark, pair, settings):  # noqa: F811
+    group, put, values = pair
+    for n in range(4):
+        put(str(n), str(n))
+        with pytest.raises(Lost):
+            put("lost", "x", lose("commit"))
+    folder = Folder(spark, settings.tables.staging_names_path)
+    assert location(spark, settings.tables.staging_names_table).rpartition("/")[2] in folder.names()
+    assert values() == [["3"], ["3"]]
+    put("4", "4")
+    assert len([n for n in folder.names() if n.startswith("v-")]) == 2
+
+
+def test_version_folder_of_a_reader_stays_after_a_failed_write(spark, settings):  # noqa: F811
+    tables = settings.tables
+    names = spark.createDataFrame([("t", "a")], NAMES)
+    sink.replace_table(names, tables.staging_names_table, tables.staging_names_path)
+    reader = spark.read.schema(NAMES).orc(location(spark, tables.staging_names_table))
+    broken = names.withColumn("user_name", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        sink.replace_table(broken, tables.staging_names_table, tables.staging_names_path)
+    sink.replace_table(names, tables.staging_names_table, tables.staging_names_path)
+    assert reader.count() == 1
+
+
+def staged(spark, tables):
+    """Staging and its names, without the time of the run."""
+    rows = spark.table(tables.staging_table).drop("last_update").collect()
+    return sorted(map(str, rows)), sorted(map(str, spark.table(tables.staging_names_table).collect()))
+
+
+def reload(spark, settings, at, documents):  # noqa: F811
+    empty_base(spark, settings.tables)
+    land(spark, settings, at, *documents)
+    jobs.land_to_base(spark, settings, at)
+
+
+@pytest.mark.parametrize("mode", ["reference", "delta"])
+@pytest.mark.parametrize("again", [FIRST + dt.timedelta(hours=1), SECOND])
+def test_rerun_after_a_failure_at_each_write(spark, settings, mode, again):  # noqa: F811
+    tables = settings.tables
+    reload(spark, settings, FIRST, posts_of(0))
+    jobs.base_to_analytic(spark, settings, FIRST, merge_mode=mode)
+    before = staged(spark, tables)
+    reload(spark, settings, again, [*posts_of(1), post(tweet_id="9", plain=["New"], count=7, user="dan")])
+    seen = []
+    jobs_done = jobs.base_to_analytic
+    writes, at = [], 0
+    while True:
+        writes.clear()
+
+        def step(name):
+            writes.append(name)
+            if len(writes) > at:
+                raise Lost(name)
+
+        try:
+            counts = jobs_done(spark, settings, again, merge_mode=mode, step=step)
+            break
+        except Lost as lost:
+            seen.append(str(lost))
+            committed = any(name == "commit" for name in writes[:-1])
+            assert committed or staged(spark, tables) == before
+            at = at + 1 if not committed else 1_000
+    assert "commit" in seen and any(name.startswith("point") for name in seen)
+    after = staged(spark, tables)
+    assert jobs.base_to_analytic(spark, settings, again, merge_mode=mode) == counts, "the run is done already"
+    assert staged(spark, tables) == after
+    published = sorted((r.hashtag, r.user_name) for r in spark.table(tables.analytic_names_table).collect())
+    assert published == ([("Sea", "ann"), ("Sea", "bob"), ("Sky", "ann")] if again == SECOND else [])
+
+
+def test_delta_takes_out_what_a_post_had_before(spark, settings):  # noqa: F811
+    """A later count replaces the post's own; names and dates go with the last post that has them."""
+    tables = settings.tables
+
+    def run(hour, *documents):
+        now = FIRST + dt.timedelta(hours=hour)
+        reload(spark, settings, now, documents)
+        jobs.base_to_analytic(spark, settings, now, merge_mode="delta")
+        names = sorted(map(tuple, spark.table(tables.staging_names_table).collect()))
+        return {r.hashtag: (r.rt_count, r.tweet_count) for r in spark.table(tables.staging_table).collect()}, names
+
+    one = post(tweet_id="1", plain=["Sea"], count=10, user="ann")
+    assert run(0, one) == ({"Sea": (10, 1)}, [("Sea", "ann")])
+    assert run(1, one) == ({"Sea": (10, 1)}, [("Sea", "ann")])
+    moved = post(tweet_id="1", plain=["Sky"], count=12, user="bob")
+    other = post(tweet_id="2", plain=["Sky"], count=5, user="cat")
+    assert run(2, moved, other) == ({"Sky": (17, 2)}, [("Sky", "bob"), ("Sky", "cat")])
+    assert run(3, one, other) == ({"Sky": (17, 2)}, [("Sky", "bob"), ("Sky", "cat")]), "an older row changes nothing"
+
+
+def test_delta_needs_its_ledger(spark, settings):  # noqa: F811
+    reload(spark, settings, FIRST, posts_of(0))
+    jobs.base_to_analytic(spark, settings, FIRST)
+    with pytest.raises(ValueError, match="ledger"):
+        jobs.base_to_analytic(spark, settings, FIRST + dt.timedelta(hours=1), merge_mode="delta")
+    assert jobs.base_to_analytic(spark, settings, SECOND, merge_mode="delta")["published"] == 2
+
+
+def test_many_runs_become_one(spark, settings, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(jobs, "MOST_RUNS", 2)
+    tables = settings.tables
+    for hour in range(5):
+        now = FIRST + dt.timedelta(hours=hour)
+        reload(spark, settings, now, [post(tweet_id=f"{hour}", plain=["Sea"], count=1, user="u")])
+        jobs.base_to_analytic(spark, settings, now, merge_mode="delta")
+    rows = spark.table(tables.winners_table)
+    assert len(TableGroup(spark, tables.staging_commits_path).newest()["ledger"]) <= 2
+    assert rows.select("run").distinct().count() <= 4, "runs that no commit lists are gone"
+    assert spark.table(tables.staging_table).first()["tweet_count"] == 5
+
+
+def test_history_is_not_shuffled(spark, settings):  # noqa: F811
+    tables = settings.tables
+    reload(spark, settings, FIRST, posts_of(0))
+    jobs.base_to_analytic(spark, settings, FIRST, merge_mode="delta")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = ledger.winners(spark.table(tables.winners_table).where("run != ''"))
+        base = spark.createDataFrame([], BASE)
+        plan = plan_of(ledger.changes(ledger.winners(explode.scored_rows(base)), history, tables.winner_buckets))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    side = plan[: plan.index("winners_table")] + plan[plan.index("winners_table") :]
+    right = side.rsplit("Join", 1)[1]
+    depth = [line for line in right.splitlines() if "Exchange" in line]
+    assert len(depth) == 1 and "REPARTITION_BY_NUM" in depth[0], plan
+    assert "Bucketed: true" in plan
+
+
+def test_publishing_reads_the_days_it_needs(spark, settings):  # noqa: F811
+    rows = conform(spark.createDataFrame([(2020, 1, 1), (2019, 12, 31)], "year int, month int, day int"), _parts())
+    plan = plan_of(jobs.of_days(spark.table(settings.tables.analytic_table), rows))
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "2019" in filters and "2020" in filters and "31" in filters
+
+
+def _parts():
+    from pyspark.sql.types import StructType
+
+    return StructType([f for f in WINNERS.fields if f.name in ("year", "month", "day")])
