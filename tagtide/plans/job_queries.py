@@ -41,7 +41,7 @@ def run_tables(spark: SparkSession) -> Iterator[Settings]:
             values[name] = f"{database}.{name}"
         else:
             values[name] = value
-    settings = Settings(tables=TableSettings(**{**values, "time_zone": "UTC", "days_back": ALL_DAYS}))
+    settings = Settings(tables=TableSettings(**{**values, "time_zone": "UTC", "days_back": ALL_DAYS, "winner_buckets": 8}))
     try:
         catalog.create_all(spark, settings.tables)
         yield settings

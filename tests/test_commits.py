@@ -6,8 +6,10 @@ import pytest
 from conftest import plan_of
 from posts import post
 from pyspark.sql import functions as F
-from test_jobs import FIRST, SECOND, empty_base, land, posts_of, settings  # noqa: F401
+from test_jobs import FIRST, SECOND, empty_base, land, posts_of
+from test_jobs import settings as job_settings  # noqa: F401
 
+from tagtide import catalog
 from tagtide.operators import explode, ledger
 from tagtide.plans import jobs
 from tagtide.schemas import BASE, NAMES, WINNERS, conform
@@ -16,7 +18,17 @@ from tagtide.sinks.commits import Folder, TableGroup, location
 
 
 @pytest.fixture
-def pair(spark, settings):  # noqa: F811
+def settings(spark, job_settings):  # noqa: F811
+    """The tables of the job tests, with few buckets."""
+    found = job_settings.override({"tables": {"winner_buckets": 2}})
+    tables = found.tables
+    spark.sql(f"DROP TABLE {tables.winners_table}")
+    catalog.create_winners(spark, tables.winners_table, tables.winners_path, tables.winner_buckets)
+    return found
+
+
+@pytest.fixture
+def pair(spark, settings):
     """Two tables of a group, and a function that replaces both."""
     tables = settings.tables
     held = {tables.staging_names_table: tables.staging_names_path, "other": None}
@@ -67,7 +79,7 @@ def test_both_tables_or_none(pair):
     assert values() == [["b"], ["b"]]
 
 
-def test_only_one_of_two_runs_commits(spark, pair, settings):  # noqa: F811
+def test_only_one_of_two_runs_commits(spark, pair, settings):
     group, put, values = pair
     put("a", "1")
     folder = Folder(spark, settings.tables.staging_commits_path)
@@ -77,7 +89,7 @@ def test_only_one_of_two_runs_commits(spark, pair, settings):  # noqa: F811
     assert folder.names() == [f"{1:012d}"], "nothing is left of the second one"
 
 
-def test_a_table_replaced_since_is_left_alone(spark, pair, settings):  # noqa: F811
+def test_a_table_replaced_since_is_left_alone(spark, pair, settings):
     group, put, values = pair
     put("a", "1")
     tables = settings.tables
@@ -85,7 +97,7 @@ def test_a_table_replaced_since_is_left_alone(spark, pair, settings):  # noqa: F
     assert group().recover() is None and values() == [[], ["a"]]
 
 
-def test_versions_of_two_commits_stay(spark, pair, settings):  # noqa: F811
+def test_versions_of_two_commits_stay(spark, pair, settings):
     group, put, values = pair
     for n in range(4):
         put(str(n), str(n))
@@ -98,7 +110,7 @@ def test_versions_of_two_commits_stay(spark, pair, settings):  # noqa: F811
     assert len([n for n in folder.names() if n.startswith("v-")]) == 2
 
 
-def test_version_folder_of_a_reader_stays_after_a_failed_write(spark, settings):  # noqa: F811
+def test_version_folder_of_a_reader_stays_after_a_failed_write(spark, settings):
     tables = settings.tables
     names = spark.createDataFrame([("t", "a")], NAMES)
     sink.replace_table(names, tables.staging_names_table, tables.staging_names_path)
@@ -116,15 +128,14 @@ def staged(spark, tables):
     return sorted(map(str, rows)), sorted(map(str, spark.table(tables.staging_names_table).collect()))
 
 
-def reload(spark, settings, at, documents):  # noqa: F811
+def reload(spark, settings, at, documents):
     empty_base(spark, settings.tables)
     land(spark, settings, at, *documents)
     jobs.land_to_base(spark, settings, at)
 
 
-@pytest.mark.parametrize("mode", ["reference", "delta"])
-@pytest.mark.parametrize("again", [FIRST + dt.timedelta(hours=1), SECOND])
-def test_rerun_after_a_failure_at_each_write(spark, settings, mode, again):  # noqa: F811
+@pytest.mark.parametrize(("mode", "again"), [("reference", SECOND), ("delta", FIRST + dt.timedelta(hours=1))])
+def test_rerun_after_a_failure_at_each_write(spark, settings, mode, again):
     tables = settings.tables
     reload(spark, settings, FIRST, posts_of(0))
     jobs.base_to_analytic(spark, settings, FIRST, merge_mode=mode)
@@ -157,7 +168,7 @@ def test_rerun_after_a_failure_at_each_write(spark, settings, mode, again):  # n
     assert published == ([("Sea", "ann"), ("Sea", "bob"), ("Sky", "ann")] if again == SECOND else [])
 
 
-def test_delta_takes_out_what_a_post_had_before(spark, settings):  # noqa: F811
+def test_delta_takes_out_what_a_post_had_before(spark, settings):
     """A later count replaces the post's own; names and dates go with the last post that has them."""
     tables = settings.tables
 
@@ -177,7 +188,7 @@ def test_delta_takes_out_what_a_post_had_before(spark, settings):  # noqa: F811
     assert run(3, one, other) == ({"Sky": (17, 2)}, [("Sky", "bob"), ("Sky", "cat")]), "an older row changes nothing"
 
 
-def test_delta_needs_its_ledger(spark, settings):  # noqa: F811
+def test_delta_needs_its_ledger(spark, settings):
     reload(spark, settings, FIRST, posts_of(0))
     jobs.base_to_analytic(spark, settings, FIRST)
     with pytest.raises(ValueError, match="ledger"):
@@ -185,7 +196,7 @@ def test_delta_needs_its_ledger(spark, settings):  # noqa: F811
     assert jobs.base_to_analytic(spark, settings, SECOND, merge_mode="delta")["published"] == 2
 
 
-def test_many_runs_become_one(spark, settings, monkeypatch):  # noqa: F811
+def test_many_runs_become_one(spark, settings, monkeypatch):
     monkeypatch.setattr(jobs, "MOST_RUNS", 2)
     tables = settings.tables
     for hour in range(5):
@@ -198,7 +209,7 @@ def test_many_runs_become_one(spark, settings, monkeypatch):  # noqa: F811
     assert spark.table(tables.staging_table).first()["tweet_count"] == 5
 
 
-def test_history_is_not_shuffled(spark, settings):  # noqa: F811
+def test_history_is_not_shuffled(spark, settings):
     tables = settings.tables
     reload(spark, settings, FIRST, posts_of(0))
     jobs.base_to_analytic(spark, settings, FIRST, merge_mode="delta")
@@ -209,16 +220,18 @@ def test_history_is_not_shuffled(spark, settings):  # noqa: F811
         plan = plan_of(ledger.changes(ledger.winners(explode.scored_rows(base)), history, tables.winner_buckets))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    side = plan[: plan.index("winners_table")] + plan[plan.index("winners_table") :]
-    right = side.rsplit("Join", 1)[1]
-    depth = [line for line in right.splitlines() if "Exchange" in line]
-    assert len(depth) == 1 and "REPARTITION_BY_NUM" in depth[0], plan
+    shuffles = [line.lstrip() for line in plan.splitlines() if "Exchange" in line]
+    assert shuffles and all(line.startswith(":") for line in shuffles), "only below the left side, the fresh rows"
     assert "Bucketed: true" in plan
 
 
-def test_publishing_reads_the_days_it_needs(spark, settings):  # noqa: F811
+def test_publishing_reads_the_days_it_needs(spark, settings):
     rows = conform(spark.createDataFrame([(2020, 1, 1), (2019, 12, 31)], "year int, month int, day int"), _parts())
-    plan = plan_of(jobs.of_days(spark.table(settings.tables.analytic_table), rows))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plan_of(jobs.of_days(spark.table(settings.tables.analytic_table), rows))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "2019" in filters and "2020" in filters and "31" in filters
 
