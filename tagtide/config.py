@@ -72,6 +72,8 @@ class TableSettings:
     winner_buckets: int = 64
     days_back: int = 1
     time_zone: str = "Europe/Amsterdam"
+    # "files" is Spark's file sink; "batches" keeps dead letters and merges small files.
+    landing_sink: str = "files"
     # How long the landing sink remembers its files; None remembers all of them.
     landing_retention: str | None = None
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtide.schemas import POST
+from tagtide.schemas import DOCUMENT, POST
 
 _REPOST = "retweeted_status"
 
@@ -20,6 +20,21 @@ def parse_posts(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select("*", F.inline(F.array(F.from_json(value, POST))))
 
 
+def with_kind(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``kind``: ``malformed`` documents, ``notice`` of a deleted post, or ``post``.
+
+    The parser keeps the text of what it can't read in a column of its own.
+    """
+    parsed = df.select("*", F.inline(F.array(F.from_json(value, DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt"}))))
+    blank = ~F.coalesce(F.col(value).rlike(r"\S"), F.lit(False))
+    kind = (
+        F.when(blank | F.col("_corrupt").isNotNull(), "malformed")
+        .when(F.col("delete").isNotNull(), "notice")
+        .otherwise("post")
+    )
+    return parsed.select(*[F.col(f"`{name}`") for name in df.columns], kind.alias("kind"))
+
+
 def json_path(document: str, path: str) -> Column:
     """Ad-hoc path extract, as text."""
     return F.get_json_object(document, path)

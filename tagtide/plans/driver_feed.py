@@ -24,6 +24,8 @@ MOODS = [
 ]
 LANDED_DAYS_AGO = 15
 POSTED_DAYS_AGO = 16
+#: Files of a feed of many micro-batches, and the share of its events after which one is stopped.
+FILES, COLLECTED = 8, 20
 
 
 def _each(remainder: int, of: int) -> Column:
@@ -121,6 +123,32 @@ def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_of(events, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def split_events(spark: SparkSession, sf_dir: str, path: str, files: int = FILES) -> None:
+    """``events`` in files by falling age, of equal ranges of ids, for streams of many batches.
+
+    The file source takes the oldest files first, so their times are set apart.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    bounds = events.agg(F.min("event_id"), F.max("event_id")).first()
+    low, step = bounds[0], (bounds[1] - bounds[0]) // files + 1
+    numbered = events.withColumn("_file", F.floor((F.col("event_id") - low) / step))
+    numbered.repartition(files, "_file").write.partitionBy("_file").parquet(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in system.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith("_file="):
+            for file in system.listStatus(folder.getPath()):
+                system.setTimes(file.getPath(), 1_000_000 + 10_000 * int(name.removeprefix("_file=")), -1)
+
+
+def split_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The feed from ``split_events``, a file for each micro-batch."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    return feed_of(reader.parquet(path), spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def records_of(posts: DataFrame) -> DataFrame:
     """The feed in the shape of a Kafka source; records arrive when they land."""
     landed = days_before("ts", LANDED_DAYS_AGO).cast("timestamp")

@@ -17,12 +17,13 @@ from tagtide.functions import dates, sentiment
 from tagtide.operators import aggregate, explode, ledger, ranking
 from tagtide.operators.base import to_base
 from tagtide.operators.explode import explode_posts
-from tagtide.operators.filters import ingest_filter
+from tagtide.operators.filters import ingest_filter, scan_since
 from tagtide.schemas import LANDING, PARTITIONS
 from tagtide.sinks import tables as sink
 from tagtide.sinks.commits import Folder, TableGroup
 from tagtide.sinks.kafka import start_kafka, write_kafka
 from tagtide.sources import tables as source
+from tagtide.streaming.batches import landed_posts, start_landing_batches
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
 from tagtide.streaming.supervise import run_until_collected, run_until_stopped
 from tagtide.workspace import stored
@@ -39,6 +40,14 @@ def ingest(feed: DataFrame, settings: Settings, checkpoint: str | None = None) -
 
 def land(records: DataFrame, settings: Settings) -> StreamingQuery:
     """Kafka-shaped records to the landing folder, every few seconds."""
+    if settings.tables.landing_sink == "batches":
+        return start_landing_batches(
+            records,
+            settings.tables.landing_path,
+            settings.tables.landing_checkpoint,
+            settings.tables.time_zone,
+            batch_seconds=settings.spark.batch_seconds,
+        )
     return start_landing(
         records,
         settings.tables.landing_path,
@@ -88,7 +97,10 @@ def land_to_base(
     """
     chosen = settings.tables
     day = dates.since_date(chosen.time_zone, chosen.days_back, as_of)
-    landing = source.orc_path_since(spark, chosen.landing_path, LANDING, day, mode)
+    if chosen.landing_sink == "batches":
+        landing = scan_since(landed_posts(spark, chosen.landing_path), day, mode)
+    else:
+        landing = source.orc_path_since(spark, chosen.landing_path, LANDING, day, mode)
     if load == "replace":
         return sink.overwrite_table_partitions(to_base(landing), chosen.base_table)
     if load != "append":

@@ -7,7 +7,7 @@ Nothing here reads JSON: the post fields come straight from ``events`` and
 from __future__ import annotations
 
 from tagtide.functions.sentiment import NEGATIVE, POSITIVE
-from tagtide.plans.driver_feed import LANDED_DAYS_AGO, MOODS, POSTED_DAYS_AGO
+from tagtide.plans.driver_feed import COLLECTED, DELETE_NOTICE, FILES, LANDED_DAYS_AGO, MALFORMED, MOODS, POSTED_DAYS_AGO
 
 
 def _text(value: str) -> str:
@@ -183,6 +183,8 @@ SELECT strftime(date_recorded, '%Y-%m-%d') AS date_recorded, rank, hashtag, rt_c
 FROM ({_ranked("rank()", "")}) WHERE rank < 11
 """
 _ACCEPTED = "lang = 'en' AND is_repost AND rt_count >= 100 AND tags IS NOT NULL"
+#: Events whose document is malformed or a notice.
+_BROKEN = "event_id % 97 = 13 OR event_id % 89 = 7"
 _BASE_ROW = (
     "created, tweet_id, tweet_txt, array_to_string(hashtags, '|') AS hashtags, rt_count, user_id, user_name, "
     "year, month, day"
@@ -324,7 +326,28 @@ def oracle_sql() -> dict[str, str]:
             f"{_day('landed')} FROM feed"
         ),
         "stream_filter": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
-        "stream_collect": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
+        "stream_collect": _feed(
+            f"""SELECT event_id FROM (
+              SELECT event_id, count(*) OVER (ORDER BY file RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+              FROM (
+                SELECT event_id, (event_id - low) // ((high - low) // {FILES} + 1) AS file
+                FROM feed, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
+                WHERE {_ACCEPTED}
+              )
+            ) WHERE earlier < (SELECT count(*) // {COLLECTED} FROM events)"""
+        ),
+        "stream_compacted": _feed(_LANDED.format(day=_day("landed"), test=f"NOT ({_BROKEN})")),
+        "dead_letters": _feed(
+            "SELECT CASE WHEN event_id % 97 = 13 THEN 'malformed' ELSE 'notice' END AS kind, 'reposts' AS topic, "
+            f"epoch_us(landed) // 1000 AS time_id, CASE WHEN event_id % 97 = 13 THEN {_text(MALFORMED)} "
+            f"ELSE {_text(DELETE_NOTICE)} END AS document, {_day('landed')} FROM feed WHERE {_BROKEN}"
+        ),
+        "stream_idle_stop": _feed(
+            f"SELECT count(*) AS counted, count(*) AS written FROM feed WHERE {_ACCEPTED}"
+        ),
+        "stream_topics": "SELECT event_type AS topic, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS counted, "
+        "CAST(event_type = 'error' AS BIGINT) AS failed, CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS landed "
+        "FROM events GROUP BY event_type",
         "stream_processing_time": _feed(_LANDED.format(day=_day("landed"), test="true")),
         "job_land_to_base": _with([FEED, BASE], f"SELECT {_BASE_ROW} FROM base"),
         "load_twice": _with([FEED, BASE], f"SELECT {_BASE_ROW} FROM base"),

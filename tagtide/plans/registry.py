@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,17 @@ from tagtide.operators import aggregate, dedup, explode, filters, ranking
 from tagtide.operators.base import to_base
 from tagtide.plans import driver_feed as source
 from tagtide.plans import job_queries
+from tagtide.plans.driver_feed import COLLECTED, FILES
 from tagtide.plans.jobs import staging_status, updated_on
 from tagtide.schemas import BASE, LANDING
 from tagtide.sinks import tables as sink
 from tagtide.sinks.kafka import flush_and_close
 from tagtide.sources import tables
 from tagtide.sources.feeds import to_landing
+from tagtide.streaming import batches
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
-from tagtide.streaming.supervise import run_until_collected
+from tagtide.streaming.supervise import run_until_collected, run_until_stopped
+from tagtide.streaming.topics import Topics
 from tagtide.workspace import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -407,12 +411,84 @@ def stream_filter(spark: SparkSession, sf: str) -> DataFrame:
     return accepted.select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
 
 
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "events")
+    source.split_events(spark, sf, path)
+    return source.split_stream(spark, sf, path)
+
+
 def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
     """The stream stopped after the micro-batch in which enough posts are accepted."""
     path = new_path(spark, "collected")
-    stream = accepted_stream(source.feed_stream(spark, sf).select("value"), FEED)
-    run_until_collected(start_text(stream, path, new_path(spark, "collected-offsets"), 1), FIRST, 0.2)
-    return spark.read.text(path).select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
+    events = spark.read.parquet(f"{sf}/events.parquet").count()
+    stream = accepted_stream(_split(spark, sf).select("value"), FEED)
+    query = batches.start_collecting(stream, path, new_path(spark, "collected-offsets"), events // COLLECTED, 0)
+    run_until_collected(query, events // COLLECTED)
+    rows = batches.collected(spark, path).read()
+    return rows.select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
+
+
+def _landed_in_batches(spark: SparkSession, sf: str) -> str:
+    """Many small batches; the last ones come again, as after a lost commit of the stream."""
+    path, checkpoint = new_path(spark, "landing"), new_path(spark, "landing-offsets")
+    records = source.records_of(_split(spark, sf))
+    batches.start_landing_batches(records, path, checkpoint, landed_at=F.col("timestamp"), fan=3).awaitTermination()
+    table = batches.letters(spark, path)
+    for batch in range(FILES):
+        table.append(table.read(), checkpoint, batch)
+    return path
+
+
+def stream_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed posts by day, from folders that were merged while the stream went on."""
+    return batches.landed_posts(spark, _landed_in_batches(spark, sf)).select("topic", "time_id", "year", "month", "day")
+
+
+def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """What the landing stream put aside, with the documents as they came."""
+    rows = batches.dead_letters(spark, _landed_in_batches(spark, sf))
+    return rows.select("kind", "topic", "time_id", F.col("full_tweet").alias("document"), "year", "month", "day")
+
+
+def stream_idle_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by the engine's events, of a stream that stops itself when nothing comes any more."""
+    key = "spark.sql.streaming.noDataProgressEventInterval"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "300")
+    try:
+        path = new_path(spark, "accepted")
+        stream = accepted_stream(_split(spark, sf).select("value"), FEED)
+        query = start_text(stream, path, new_path(spark, "accepted-offsets"), 0)
+        rows = run_until_stopped(spark, query, new_path(spark, "marker"), poll_seconds=1, idle_batches=3)
+    finally:
+        spark.conf.set(key, before)
+    written = spark.read.text(path).agg(F.count(F.lit(1)).alias("written"))
+    return written.select(F.lit(rows).cast("long").alias("counted"), "written")
+
+
+def stream_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """A topic for each kind of event, a stream for each topic; the one of errors fails."""
+    feed = source.feed_of
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    kinds = sorted(r[0] for r in events.select("event_type").distinct().collect())
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    records = {
+        kind: source.records_of(feed(stream.where(F.col("event_type") == kind), documents)).withColumn("topic", F.lit(kind))
+        for kind in kinds
+    }
+    records["error"] = records["error"].withColumn("value", F.raise_error(F.lit("lost")).cast("string"))
+    path = new_path(spark, "topics")
+
+    def start(topic: str, rows: DataFrame, checkpoint: str):
+        return start_landing(rows, f"{path}/{topic}", checkpoint, landed_at=F.col("timestamp"))
+
+    outcomes = Topics(records, new_path(spark, "topics-offsets"), start).wait()
+    counted = [(topic, found.rows, int(found.error is not None)) for topic, found in sorted(outcomes.items())]
+    rows = spark.createDataFrame(counted, "topic string, counted long, failed int")
+    landed = [tables.orc_path(spark, f"{path}/{topic}", LANDING) for topic, _, failed in counted if not failed]
+    landed = reduce(DataFrame.unionAll, landed).groupBy("topic").agg(F.count(F.lit(1)).alias("landed"))
+    return rows.join(landed, "topic", "left").na.fill(0)
 
 
 def stream_processing_time(spark: SparkSession, sf: str) -> DataFrame:
@@ -498,6 +574,10 @@ def queries() -> dict[str, Query]:
         stream_land,
         stream_filter,
         stream_collect,
+        stream_compacted,
+        dead_letters,
+        stream_idle_stop,
+        stream_topics,
         stream_processing_time,
         part_prune_scan,
         orc_roundtrip,

@@ -45,6 +45,11 @@ POST = T.StructType(
     ]
 )
 
+# What tells posts from notices and from documents that can't be read.
+DOCUMENT = T.StructType(
+    [*POST.fields, T.StructField("delete", T.StringType()), T.StructField("_corrupt", T.StringType())]
+)
+
 PARTITIONS = ["year", "month", "day"]
 _PARTITION_FIELDS = [
     T.StructField("year", T.ShortType()),
