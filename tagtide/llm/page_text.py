@@ -2,8 +2,12 @@
 
 The standard library's parser streams events; they are cut into lines, one per block
 element. Lines inside elements that hold no article text (menus, headers outside an
-article, footers, side bars, forms, scripts, and those whose class, id or role says so)
-are boilerplate. The others have a ratio of text to tags, from which link text is left
+article, footers, side bars, scripts, and those whose class, id or role says so) are
+boilerplate. Outside of articles a name and a form only make suspect: wrappers of whole
+pages carry such names too. A suspect that holds the page's largest article, or most of
+the text of a page without articles, is none, unless it is named for comments. Text of buttons, labels and other
+controls, of scripts' stand-ins and of embedded objects is never part of a line, nor is
+that of hidden elements. The other lines have a ratio of text to tags, from which link text is left
 out. They make up regions: an article or main element each, and each run of lines outside
 of them. Ratios are smoothed by a Gaussian along the lines of a region, so short
 paragraphs among long ones keep up and no region lifts its neighbour, and split by a
@@ -23,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -41,8 +45,10 @@ BLOCKS = frozenset(
 )
 SKIPPED = frozenset(
     "head title script style noscript template svg iframe object embed applet canvas audio video nav aside"
-    " footer form button select textarea input label dialog menu".split()
+    " footer button select textarea input label dialog menu".split()
 )
+#: Those that stand within lines: their text is left out of the line around them.
+SILENT = SKIPPED - BLOCKS
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 REGIONS = frozenset("article main".split())
 #: Closed by the start of another block, as in HTML.
@@ -81,6 +87,13 @@ QUALIFIERS = frozenset(
     "area articles bar block box button buttons container content form icons inner items links list media module outer"
     " panel posts section site stories top widget wrap wrapper".split()
 )
+#: Before a name these say how a page is laid out.
+STATES = frozenset("has no with without is show hide".split())
+#: What a title's own header is named for.
+TITLED = frozenset("article content entry post story".split())
+#: Suspects that stay boilerplate whatever they hold.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_\d-])", re.IGNORECASE)
+UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MOST_LINKED = 0.25
 #: An article's own header holds its title: only one outside is boilerplate.
@@ -96,6 +109,7 @@ class Line:
     region: int
     boilerplate: bool
     doubtful: bool = False
+    suspects: tuple[int, ...] = ()
 
     @property
     def ratio(self) -> float:
@@ -119,28 +133,79 @@ def named_inside(slug: str) -> str:
     return "sure" if any(w in WHOLE for w in words) else "doubtful"
 
 
+def named_outside(slug: str) -> bool:
+    """The same outside of regions, where a part is enough to make suspect."""
+    words = [w for w in re.split(r"[_\d-]+", slug.lower()) if w]
+    if words and words[0] in STATES:
+        return False
+    return bool(NAMED.search(slug) or HEADER.search(slug) and not TITLED & {*words})
+
+
+@dataclass(frozen=True)
+class Open:
+    """An open element and what it hands down."""
+
+    tag: str = ""
+    boilerplate: bool = False
+    region: int = 0
+    silent: bool = False
+    doubtful: bool = False
+    suspects: tuple[int, ...] = ()
+
+
 class Lines(HTMLParser):
     """Collects the lines of a page from parser events."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int, bool, bool]] = []  # name, boilerplate, region, silent, doubtful
+        self.open: list[Open] = []
         self.parts: list[str] = []
         self.tags = self.linked = self.regions = self.anchors = 0
+        #: Whether each suspect is named for comments.
+        self.comments: list[bool] = []
+
+    @property
+    def inner(self) -> Open:
+        return self.open[-1] if self.open else Open()
 
     def close_page(self) -> None:
         super().close()
         self.flush()
+        self.judge()
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, boilerplate, region, _, doubtful = self.open[-1] if self.open else ("", False, 0, False, False)
-            self.lines.append(Line(text, self.tags, self.linked, region, boilerplate, doubtful))
+            at = self.inner
+            self.lines.append(Line(text, self.tags, self.linked, at.region, at.boilerplate, at.doubtful, at.suspects))
         self.parts, self.tags, self.linked = [], 0, 0
 
+    def judge(self) -> None:
+        """Lines of suspects that don't hold the page's text become boilerplate."""
+        clear = [line for line in self.lines if not line.boilerplate]
+        held, regions = [0] * len(self.comments), dict.fromkeys(range(1, self.regions + 1), 0)
+        for line in clear:
+            for suspect in line.suspects:
+                held[suspect] += len(line.text)
+            if line.region:
+                regions[line.region] += len(line.text)
+        most = max(regions, key=lambda r: (regions[r], -r), default=0)
+        if most and regions[most]:
+            cleared = {s for line in clear if line.region == most for s in line.suspects}
+        else:
+            whole = sum(len(line.text) for line in clear)
+            cleared = {s for s, n in enumerate(held) if 2 * n > whole}
+        guilty = {s for s in range(len(held)) if self.comments[s] or s not in cleared}
+        for line in clear:
+            line.boilerplate = not guilty.isdisjoint(line.suspects)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        above = self.inner
+        if above.silent:
+            if tag not in VOID:
+                self.open.append(replace(above, tag=tag))
+            return
         if tag in BLOCKS:
             self.flush()
             own = SHORT_LIVED.get(tag)
@@ -149,58 +214,86 @@ class Lines(HTMLParser):
             if own:
                 for name in own:
                     self.leave(name, stop=NESTS - own)
-        self.tags += 1
+            above = self.inner
+        hidden = self.hidden(attrs)
+        silent = tag in SILENT or (hidden and tag not in BLOCKS)
+        if not silent:
+            self.tags += 1
         if tag == "br":
             self.parts.append(" ")
-        if tag == "a":
+        if tag == "a" and not silent:
             self.anchors += 1
         if tag in VOID:
             return
-        _, boilerplate, region, silent, doubtful = self.open[-1] if self.open else ("", False, 0, False, False)
-        # outside a region titles and buttons that stand in a line of other text are no part of it
-        silent = silent or (tag in SKIPPED and not region)
+        boilerplate, doubtful, suspects = above.boilerplate, above.doubtful, above.suspects
         if not boilerplate:
-            by_name = self.named(tag, attrs, bool(region))
-            boilerplate = tag in SKIPPED or (tag == "header" and not region) or by_name == "sure"
-            doubtful = doubtful or by_name == "doubtful"
+            boilerplate = tag in SKIPPED or (tag == "header" and not above.region) or hidden
+            if above.region:
+                by_name = self.named(tag, attrs)
+                boilerplate = boilerplate or by_name == "sure" or tag == "form"
+                doubtful = doubtful or by_name == "doubtful"
+            elif not boilerplate and (names := self.suspect(tag, attrs)):
+                suspects = (*suspects, len(self.comments))
+                self.comments.append(bool(COMMENTS.search(names)))
+        region = above.region
         if tag in REGIONS and not boilerplate and not region:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, boilerplate, region, silent, doubtful))
+        self.open.append(Open(tag, boilerplate, region, silent, doubtful, suspects))
+
+    @staticmethod
+    def hidden(attrs: list) -> bool:
+        """Whether attributes keep an element from view, or from being read out as text."""
+        for name, value in attrs:
+            if name == "hidden" and (value or "").lower() != "until-found":
+                return True
+            if name == "style" and UNSEEN.search(value or "") or name == "aria-hidden" and value == "true":
+                return True
+            if name == "role" and (value or "").lower() in ROLES:
+                return True
+        return False
 
     @staticmethod
-    def named(tag: str, attrs: list, inside: bool) -> str:
-        """Whether attributes name boilerplate: "sure", "doubtful" or not at all."""
+    def named(tag: str, attrs: list) -> str:
+        """Whether attributes inside a region name boilerplate: "sure", "doubtful" or not at all."""
         if tag in ("html", "body", *REGIONS):
             return ""
         found = ""
         for name, value in attrs:
-            if not value:
-                if name == "hidden":
+            if value and (name == "class" or name == "id" and tag not in HEADINGS):
+                kinds = {named_inside(slug) for slug in CAMEL.sub("-", value).split()}
+                if "sure" in kinds:
                     return "sure"
-            elif name in ("class", "id"):
-                if not inside:
-                    plain = CAMEL.sub("-", value)
-                    if NAMED.search(plain) or HEADER.search(plain):
-                        return "sure"
-                elif name == "class" or tag not in HEADINGS:
-                    kinds = {named_inside(slug) for slug in CAMEL.sub("-", value).split()}
-                    if "sure" in kinds:
-                        return "sure"
-                    found = found or max(kinds, default="")
-            elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value == "true":
-                return "sure"
+                found = found or max(kinds, default="")
         return found
 
+    @staticmethod
+    def suspect(tag: str, attrs: list) -> str:
+        """The names that make an element outside of regions suspect, or that it is a form."""
+        if tag in ("html", "body", *REGIONS):
+            return ""
+        slugs = [slug for name, value in attrs if value and name in ("class", "id") for slug in CAMEL.sub("-", value).split()]
+        return " ".join([slug for slug in slugs if named_outside(slug)] + ["form"] * (tag == "form"))
+
     def leave(self, tag: str, stop: frozenset = frozenset()) -> None:
         for place in range(len(self.open) - 1, -1, -1):
-            if self.open[place][0] == tag:
+            if self.open[place].tag == tag:
                 del self.open[place:]
                 return
-            if self.open[place][0] in stop:
+            if self.open[place].tag in stop:
                 return
 
     def handle_endtag(self, tag: str) -> None:
+        if self.inner.silent:
+            # what a silent element holds closes nothing around it
+            root = max((i for i, o in enumerate(self.open) if not o.silent), default=-1) + 1
+            for place in range(len(self.open) - 1, root - 1, -1):
+                if self.open[place].tag == tag:
+                    del self.open[place:]
+                    return
+            if tag == "p" or tag not in BLOCKS:
+                return
+            del self.open[root:]
         if tag in BLOCKS:
             self.flush()
         if tag == "a":
@@ -212,7 +305,7 @@ class Lines(HTMLParser):
         self.leave(tag, stop=frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data: str) -> None:
-        if self.open and (self.open[-1][3] or self.open[-1][0] in ("script", "style")):
+        if self.inner.silent:
             return
         self.parts.append(data)
         if self.anchors:

@@ -119,3 +119,64 @@ def test_ratios_decide_between_elements_and_lines_outside(html, wanted):
 def test_names_inside_a_region(inside, wanted):
     found = P.main_text(f"<article><h1>Head</h1><p>{LONG}</p>{inside}</article>")
     assert found == "\n".join(x for x in ("Head", LONG, wanted) if x)
+
+
+MENU = "<nav><a href=1>One</a></nav><div class='ad'>Buy it.</div>"
+
+
+@pytest.mark.parametrize(
+    ("html", "wanted"),
+    [
+        (f"<body><form id=aspnetForm action=/>{MENU}<article><h1>Head</h1><p>{LONG}</p></article></form></body>", f"Head\n{LONG}"),
+        (f"<body><form action=/>{MENU}<div><p>{LONG}</p><p>{LONG}</p></div></form></body>", f"{LONG}\n{LONG}"),
+        *[
+            (f"<body><div {name}>{MENU}<article><p>{LONG}</p></article></div></body>", LONG)
+            for name in (
+                "class='layout has-sidebar'",
+                "class='site no-sidebar'",
+                "class='category-social'",
+                "id='search-results-paper'",
+                "class='page-with-banner'",
+            )
+        ],
+        (f"<body><div class='site no-sidebar'><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n{LONG}"),
+        (f"<body><div class='search-page'><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n{LONG}"),
+        (f"<body><div class='article-header'><h1>Head</h1></div><div><p>{LONG}</p><p>{LONG}</p></div></body>", f"Head\n{LONG}\n{LONG}"),
+        (f"<body><div class='ad'>{LONG} {LONG}</div><article><p>Short.</p></article></body>", "Short."),
+        (f"<body><article><p>{LONG}</p></article><div class='sidebar'>{TEASER}{TEASER}</div></body>", LONG),
+        (f"<body><p>{LONG}</p><ol class='comment-list'><li><article><p>{LONG} {LONG}</p></article></ol></body>", LONG),
+        (f"<body><article><p>{LONG}</p></article><form><p>{LONG}</p><label>Name</label></form></body>", LONG),
+    ],
+)
+def test_wrappers_and_forms_around_the_page(html, wanted):
+    assert P.main_text(html) == wanted
+
+
+@pytest.mark.parametrize(
+    "control",
+    [
+        "<button>Copy link</button>",
+        "<label>Name <input name=n></label>",
+        "<textarea>typed</textarea>",
+        "<select><option>one<option>two</select>",
+        "<noscript><p>Turn it on</p><img src=x></noscript>",
+        "<template><div><p>Not shown</p></div></template>",
+        "<iframe src=x>No frames</iframe>",
+        "<video src=x>No video</video>",
+        "<object data=x>No object</object>",
+        "<svg viewBox='0 0 1 1'><title>Icon</title><path d='M0'/></svg>",
+        "<span style='color:red; display: none'>Hidden</span>",
+        "<div style='display:none'><p>Hidden</p></div>",
+        "<span hidden>Hidden</span>",
+        f"<form><p>{LONG}</p></form>",
+    ],
+)
+def test_controls_stand_ins_and_hidden_text(control):
+    for html in (f"<article>{control}<p>{LONG}</p></article>", f"<body><div>{control}<p>{LONG}</p><p>{LONG}</p></div></body>"):
+        assert set(P.main_text(html).split("\n")) == {LONG}
+    inline = f"<article><p>{LONG} {control if '<p>' not in control or 'noscript' in control or 'template' in control else ''}And on.</p></article>"
+    assert P.main_text(inline) == f"{LONG} And on."
+
+
+def test_a_stray_tag_in_a_silent_element_closes_nothing():
+    assert P.main_text(f"<article><p>{LONG} <svg></p></svg>And on.</p><p>{LONG}</p></article>").startswith(f"{LONG}")
