@@ -11,6 +11,11 @@ Work is dealt in cells of a bounded block of queries and a bounded block of cand
 each cell gives its k best per query, and the k best of these are the answer. Every pair
 is covered by one cell, and nothing is broadcast.
 
+Sums are exact for components of any size. The largest components of a cell and its width
+bound its sums: below 2**53 they are doubles, below 2**63 they are 64-bit integers, with a
+margin for rounding in the bounds, and else integers of any size, all of which are worked
+out. Ranks go by the exact sums; a score beyond a long is given as the nearest long.
+
 Nulls and odd rows: vectors null, empty, or with null or non-finite components take no
 part, nor do rows with a null id; queries meet the candidates of their own length; rows of
 one id are candidates each, but never of a query of that id; ties go to the smaller id;
@@ -19,7 +24,8 @@ fewer candidates than k give all; an empty table gives no rows; further columns
 
 from __future__ import annotations
 
-from math import ceil
+from heapq import nsmallest
+from math import ceil, floor
 
 import numpy as np
 import pandas as pd
@@ -36,9 +42,44 @@ DIMENSIONS = 16
 CHUNK = 2_048
 
 
-def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and x, floor(scale * component) as whole numbers."""
-    return packed(vectors, lambda values: np.floor(scale * values), "<i8")
+LONG = 2**63 - 1
+DOUBLES, LONGS = 2**53, 2**63
+#: Share of the sums that rounding may take from a bound on 64-bit sums.
+MARGIN = 1e-12
+
+
+def whole(rows: list[np.ndarray], scale: int) -> np.ndarray:
+    """floor(scale * component): doubles where that is exact, else integers of any size."""
+    values = np.array(rows)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(scale * values)
+    if np.isfinite(scaled).all():
+        return scaled
+    exact = [[scale * int(x) if abs(x) >= DOUBLES else floor(scale * x) for x in row] for row in values.tolist()]
+    return np.array(exact, dtype=object)
+
+
+def as_kind(queries: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides in the narrowest kind of number that holds every sum exactly."""
+    bound = int(max(1, np.abs(queries).max())) * int(max(1, np.abs(vectors).max())) * queries.shape[1]
+    if bound < DOUBLES:
+        return queries, vectors
+    kind = np.int64 if bound < LONGS else object
+    if kind is object:
+        return tuple(np.array([[int(x) for x in row] for row in side], dtype=object) for side in (queries, vectors))
+    return queries.astype(kind), vectors.astype(kind)
+
+
+def search_all(
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
+) -> list[tuple[list[int], list[int]]]:
+    """The same for integers of any size, by all sums; scores are cut to a long."""
+    found = []
+    for query, own in zip(queries, query_ids, strict=True):
+        scores = vectors @ query
+        best = nsmallest(k, ((-int(score), int(i)) for score, i in zip(scores, ids, strict=True) if i != own))
+        found.append(([max(-LONG - 1, min(LONG, -less)) for less, _ in best], [i for _, i in best]))
+    return found
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -53,21 +94,27 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search(
     queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, step: int = DIMENSIONS
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Scores and ids of the k best per query. All values are whole and far below 2**53."""
-    mass = (vectors**2).sum(axis=0)
-    dims = np.argsort(-mass, kind="stable")
+    """Scores and ids of the k best per query.
+
+    Values are whole numbers, as doubles whose sums stay below 2**53, or as 64-bit integers.
+    """
+    sizes = vectors.astype(np.float64)
+    dims = np.argsort(-(sizes**2).sum(axis=0), kind="stable")
     cuts = list(range(0, len(dims), step))
-    order = np.argsort(-(vectors**2).sum(axis=1), kind="stable")
+    order = np.argsort(-(sizes**2).sum(axis=1), kind="stable")
     vectors, ids = vectors[order][:, dims], ids[order]
     queries = queries[:, dims]
+    margin = MARGIN if queries.dtype == np.int64 else 0.0
     # lengths of the parts from each cut on; a little more, for rounding
-    rest_v = [np.sqrt((vectors[:, c:] ** 2).sum(axis=1)) * (1 + 1e-9) for c in cuts]
-    rest_q = [np.sqrt((queries[:, c:] ** 2).sum(axis=1)) * (1 + 1e-9) for c in cuts]
-    found = [(np.zeros(0), np.zeros(0, dtype=np.int64)) for _ in range(len(queries))]
+    rest_v = [np.sqrt((vectors[:, c:].astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9) for c in cuts]
+    rest_q = [np.sqrt((queries[:, c:].astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9) for c in cuts]
+    found = [(np.zeros(0, dtype=queries.dtype), np.zeros(0, dtype=np.int64)) for _ in range(len(queries))]
+    # the k-th best score so far, for bounds and, in the kind of the scores, for the end
     bar = np.full(len(queries), -np.inf)
+    known = bar.copy() if margin == 0.0 else np.full(len(queries), -LONG)
     for low in range(0, len(vectors), CHUNK):
         high = min(len(vectors), low + CHUNK)
-        live = np.flatnonzero(rest_q[0] * rest_v[0][low] >= bar)
+        live = np.flatnonzero(rest_q[0] * rest_v[0][low] >= (bar - margin * np.abs(bar) if margin else bar))
         if not len(live):
             break
         columns = np.ascontiguousarray(vectors[low:high].T)  # dimension by dimension
@@ -76,12 +123,13 @@ def search(
             some, score = np.arange(high - low), first[i]
             for c in cuts[1:]:
                 place = c // step
-                keep = score + rest_q[place][q] * rest_v[place][low:high][some] >= bar[q]
+                most = score + rest_q[place][q] * rest_v[place][low:high][some]
+                keep = most >= bar[q] - (margin * (np.abs(score) + abs(bar[q])) if margin else 0.0)
                 some, score = some[keep], score[keep]
                 if not len(some):
                     break
                 score = score + queries[q, c : c + step] @ columns[c : c + step][:, some]
-            keep = (score >= bar[q]) & (ids[low:high][some] != query_ids[q])
+            keep = (score >= known[q]) & (ids[low:high][some] != query_ids[q])
             some, score = some[keep], score[keep]
             if not len(some):
                 continue
@@ -90,7 +138,7 @@ def search(
             top = best(scores, named, k)
             found[q] = (scores[top], named[top])
             if len(top) == k:
-                bar[q] = scores[top[-1]]
+                known[q] = bar[q] = scores[top[-1]]
     return found
 
 
@@ -103,9 +151,9 @@ def top_k(
     candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of every query row."""
-    whole = stored(quantized(vectors, scale), "quantized")
-    asked = whole.where(is_query)
-    counts = whole.agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.expr(is_query), 1)).alias("asked")).first()
+    rows = stored(packed(vectors), "vectors")
+    asked = rows.where(is_query)
+    counts = rows.agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.expr(is_query), 1)).alias("asked")).first()
     q_blocks, c_blocks = max(1, ceil(counts["asked"] / query_block)), max(1, ceil(counts["all"] / candidate_block))
     hashed, zero = F.xxhash64("vec_id", "x"), F.lit(0).cast("long")
     cells = asked.select(
@@ -115,7 +163,7 @@ def top_k(
         "vec_id",
         "x",
     ).unionAll(
-        whole.select(
+        rows.select(
             F.explode(F.sequence(zero, F.lit(q_blocks - 1).cast("long"))).alias("q"),
             # rows alike in everything are dealt out by a number of their own
             F.pmod(F.xxhash64("vec_id", "x", F.monotonically_increasing_id()), F.lit(c_blocks)).alias("c"),
@@ -129,7 +177,7 @@ def top_k(
         sides = []
         for role in (0, 1):
             side = rows[rows["role"] == role].sort_values("vec_id", kind="stable")
-            sides += [side["vec_id"].to_numpy(), [np.frombuffer(x, "<i8").astype(np.float64) for x in side["x"]]]
+            sides += [side["vec_id"].to_numpy(), [np.frombuffer(x, "<f8") for x in side["x"]]]
         query_ids, queries, ids, candidates = sides
         out = {"query_id": [], "vec_id": [], "score": []}
         for width in sorted({len(x) for x in queries}):
@@ -137,12 +185,12 @@ def top_k(
             to = np.array([i for i, x in enumerate(candidates) if len(x) == width], dtype=np.int64)
             if not len(to):
                 continue
-            matrix = np.array([queries[i] for i in at]).reshape(len(at), width)
-            others = np.array([candidates[i] for i in to]).reshape(len(to), width)
-            for i, (scores, named) in zip(at, search(matrix, query_ids[at], others, ids[to], k), strict=True):
+            matrix, others = as_kind(whole([queries[i] for i in at], scale), whole([candidates[i] for i in to], scale))
+            by = search_all if matrix.dtype == object else search
+            for i, (scores, named) in zip(at, by(matrix, query_ids[at], others, ids[to], k), strict=True):
                 out["query_id"] += [query_ids[i]] * len(named)
-                out["vec_id"] += named.tolist()
-                out["score"] += scores.astype(np.int64).tolist()
+                out["vec_id"] += list(map(int, named))
+                out["score"] += list(map(int, scores))
         return pd.DataFrame(out).astype("int64")
 
     found = cells.groupBy("q", "c").applyInPandas(cell, "query_id long, vec_id long, score long")

@@ -149,3 +149,26 @@ def test_shelves_hold_every_leaf_within_bounds():
             owners.setdefault(s, []).append(leaf)
     assert all(x <= 100 for x in load.values()) and sorted(load) == list(range(len(load)))
     assert all(len(o) == 1 for o in owners.values() if number[o[0]] > 1)
+
+
+@pytest.mark.parametrize(("size", "kind"), [(1.0, np.float64), (1e6, np.int64), (2.9e6, np.int64), (1e12, object), (1e300, object), (1.7e308, object)])
+def test_exact_top_k_of_large_components(spark, size, kind):
+    """Sums of integers of any size rank the candidates; a score beyond a long is cut to it."""
+    from math import floor
+
+    rng = np.random.default_rng(9)
+    frame = [(i, [float(x) for x in rng.uniform(-1, 1, 16) * size], 0) for i in range(120)]
+    frame += [(200, frame[1][1], 0), (201, [0.0] * 16, 0)]
+
+    def scaled(x):
+        return 256 * int(x) if abs(x) >= 2**53 else floor(256 * x)
+
+    exact = {i: [scaled(x) for x in v] for i, v, _ in frame}
+    wanted = []
+    for q in (i for i in exact if i % 50 == 0):
+        sums = sorted((-sum(a * b for a, b in zip(exact[q], exact[i], strict=True)), i) for i in exact if i != q)
+        wanted += [(q, n, i, max(-(2**63), min(2**63 - 1, -less))) for n, (less, i) in enumerate(sums[:5], 1)]
+    whole = topk.whole([np.array(v) for _, v, _ in frame], 256)
+    assert topk.as_kind(whole, whole)[0].dtype == kind
+    found = topk.top_k(spark.createDataFrame(frame, "vec_id long, embedding array<double>, label int"), "vec_id % 50 = 0", 5)
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
