@@ -14,7 +14,7 @@ is covered by one cell, and nothing is broadcast.
 Sums are exact for components of any size. The largest components of a cell and its width
 bound its sums: below 2**53 they are doubles, below 2**63 they are 64-bit integers, with a
 margin for rounding in the bounds, and else integers of any size, all of which are worked
-out. Ranks go by the exact sums; a score beyond a long is given as the nearest long.
+out. A score beyond a long is the nearest long, also for ranks, so such scores are ties.
 
 Nulls and odd rows: vectors null, empty, or with null or non-finite components take no
 part, nor do rows with a null id; queries meet the candidates of their own length; rows of
@@ -77,8 +77,9 @@ def search_all(
     found = []
     for query, own in zip(queries, query_ids, strict=True):
         scores = vectors @ query
-        best = nsmallest(k, ((-int(score), int(i)) for score, i in zip(scores, ids, strict=True) if i != own))
-        found.append(([max(-LONG - 1, min(LONG, -less)) for less, _ in best], [i for _, i in best]))
+        cut = (max(-LONG - 1, min(LONG, int(score))) for score in scores)
+        best = nsmallest(k, ((-score, int(i)) for score, i in zip(cut, ids, strict=True) if i != own))
+        found.append(([-less for less, _ in best], [i for _, i in best]))
     return found
 
 

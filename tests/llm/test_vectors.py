@@ -153,7 +153,7 @@ def test_shelves_hold_every_leaf_within_bounds():
 
 @pytest.mark.parametrize(("size", "kind"), [(1.0, np.float64), (1e6, np.int64), (2.9e6, np.int64), (1e12, object), (1e300, object), (1.7e308, object)])
 def test_exact_top_k_of_large_components(spark, size, kind):
-    """Sums of integers of any size rank the candidates; a score beyond a long is cut to it."""
+    """Sums of integers of any size rank the candidates; those beyond a long are cut to it, and ties."""
     from math import floor
 
     rng = np.random.default_rng(9)
@@ -166,8 +166,9 @@ def test_exact_top_k_of_large_components(spark, size, kind):
     exact = {i: [scaled(x) for x in v] for i, v, _ in frame}
     wanted = []
     for q in (i for i in exact if i % 50 == 0):
-        sums = sorted((-sum(a * b for a, b in zip(exact[q], exact[i], strict=True)), i) for i in exact if i != q)
-        wanted += [(q, n, i, max(-(2**63), min(2**63 - 1, -less))) for n, (less, i) in enumerate(sums[:5], 1)]
+        sums = {i: sum(a * b for a, b in zip(exact[q], exact[i], strict=True)) for i in exact if i != q}
+        cut = sorted((-max(-(2**63), min(2**63 - 1, s)), i) for i, s in sums.items())
+        wanted += [(q, n, i, -less) for n, (less, i) in enumerate(cut[:5], 1)]
     whole = topk.whole([np.array(v) for _, v, _ in frame], 256)
     assert topk.as_kind(whole, whole)[0].dtype == kind
     found = topk.top_k(spark.createDataFrame(frame, "vec_id long, embedding array<double>, label int"), "vec_id % 50 = 0", 5)
