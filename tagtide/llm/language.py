@@ -5,8 +5,11 @@ longest known character n-grams, five letters with the word's ends marked, then
 to one. The sums over all words of a text are compared.
 
 Training texts are documents with a language that aren't held out, at most about
-``MOST_DOCUMENTS`` of each language, picked by a hash; the model keeps the ``MOST_WORDS``
-and ``MOST_GRAMS`` most frequent entries. A prediction depends on the text alone.
+``MOST_DOCUMENTS`` of each language, picked by a hash; of this bounded sample the model
+keeps each language's ``MOST_ENTRIES`` most frequent words, and as many n-grams of each
+length, so a rare language keeps its own beside large ones. The model grows with the number
+of languages, which are listed on the driver. A prediction depends on the text alone, and
+a letter is what Unicode has as one: signs such as ² and ½ are none.
 
 Nulls and odd rows: null text, or text without a letter, is ``und`` with score 0; rows with
 a null language or id don't train; repeated rows train and are predicted each; without
@@ -22,15 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtide.llm.folds import held_out
 from tagtide.workspace import stored
 
 MOST_DOCUMENTS = 5_000
-MOST_WORDS = 100_000
-MOST_GRAMS = 100_000
+MOST_ENTRIES = 10_000
 LONGEST = 5
 SMOOTHING = 0.5
 #: Words of whose evidence a score may be certain; sums of longer texts are scaled to it.
@@ -40,6 +42,17 @@ WORD = re.compile(r"[^\W\d_]+")
 CACHE = 200_000
 
 
+def words(text: str | None) -> list[str]:
+    """Runs of letters, lower-cased."""
+    found = []
+    for run in WORD.findall((text or "").lower()):
+        if run.isalpha():
+            found.append(run)
+        else:  # number signs count as word characters to the pattern
+            found += "".join(c if c.isalpha() else " " for c in run).split()
+    return found
+
+
 def grams(word: str, size: int) -> list[str]:
     marked = f"<{word}>" if size > 1 else word
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
@@ -50,11 +63,11 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words: dict[str, Counter] = {}
+            each: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
+                each.setdefault(lang, Counter()).update(words(text))
             rows = Counter()
-            for lang, found in words.items():
+            for lang, found in each.items():
                 for word, n in found.items():
                     rows[0, word, lang] += n
                     for size in range(1, LONGEST + 1):
@@ -105,14 +118,14 @@ class Model:
         return found
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(WORD.findall((text or "").lower()))
-        if not words or not self.langs:
+        found = Counter(words(text))
+        if not found or not self.langs:
             return UNKNOWN, 0.0
         sums = [0.0] * len(self.langs)
-        for word, n in words.items():
+        for word, n in found.items():
             for i, x in enumerate(self.word(word)):
                 sums[i] += n * x
-        total = sum(words.values())
+        total = sum(found.values())
         scale = min(1.0, CERTAIN_WORDS / total)
         best = max(range(len(sums)), key=lambda i: (sums[i], -i))
         odds = [np.exp(scale * (x - sums[best])) for x in sums]
@@ -131,20 +144,19 @@ def fit(docs: DataFrame, most_documents: int = MOST_DOCUMENTS) -> Model:
         limit = F.when(F.col("lang") == lang, F.lit((1_000_000 * most_documents) // max(each[lang], most_documents))).otherwise(limit)
     counts = stored(counted(train.where(spot < limit)), "language-counts")
     totals = {(r["size"], r["lang"]): r["n"] for r in counts.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
-    entries = counts.groupBy("size", "entry").agg(
-        F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
+    best = Window.partitionBy("size", "lang").orderBy(F.desc("n"), "entry")
+    kept = counts.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= MOST_ENTRIES)
+    entries = counts.join(kept.select("size", "entry").distinct(), ["size", "entry"]).groupBy("size", "entry").agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
     )
-    order = [F.desc("n"), "size", "entry"]
-    kept = entries.where("size = 0 AND n > 1").orderBy(*order).limit(MOST_WORDS)
-    kept = kept.unionAll(entries.where("size > 0 AND n > 1").orderBy(*order).limit(MOST_GRAMS))
-    rows = [(r["size"], r["entry"], r["by"]) for r in kept.select("size", "entry", "by").collect()]
+    rows = [(r["size"], r["entry"], r["by"]) for r in entries.collect()]
     return Model(langs, sorted(rows, key=lambda r: r[:2]), totals)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row of ``docs``."""
     model = fit(docs) if model is None else model
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST_WORDS + MOST_GRAMS entries at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

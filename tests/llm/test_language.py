@@ -81,3 +81,26 @@ def test_counts_equal_a_plain_count(spark):
     found = {(r.size, r.entry, r.lang): r.n for r in L.counted(spark.createDataFrame(rows, DOCUMENT)).collect()}
     assert found[0, "ab", "x"] == 2 and found[0, "ab", "y"] == 1 and found[0, "c", "x"] == 1
     assert found[4, "<ab>", "x"] == 2 and found[2, "<c", "x"] == 1 and found[1, "a", "x"] == 2
+
+
+def test_signs_are_no_letters(spark):
+    assert L.words("²³ ½ ① x²y Ⅻ") == ["x", "y"] and L.words("Größe_1") == ["größe"]
+    rows = [(i, "some english words here", "en", "s", 0) for i in range(30)] + [(99, "² ½ ①", None, None, 0)]
+    found = {r.doc_id: r for r in L.identify(spark.createDataFrame(rows, DOCUMENT)).collect()}
+    assert (found[99].lang_pred, found[99].score) == ("und", 0.0)
+
+
+def test_a_rare_language_keeps_its_entries(spark, monkeypatch):
+    """One row in ten thousand: its words stay, though each is rarer than all of the large languages'."""
+    monkeypatch.setattr(L, "MOST_ENTRIES", 40)
+    large = spark.range(20_000).selectExpr(
+        "id AS doc_id",
+        "concat_ws(' ', transform(sequence(1, 8), i -> concat('en', char(97 + (id * i) % 26), char(97 + (id + i) % 26)))) AS text",
+        "'en' AS lang",
+    )
+    rare = spark.createDataFrame([(50_001, "kaiku valo", "fi"), (50_003, "valo talvi", "fi")], "doc_id long, text string, lang string")
+    model = L.fit(large.unionByName(rare), most_documents=100_000)
+    assert model.langs == ["en", "fi"]
+    assert {"valo"} <= set(model.tables[0]) and "<valo"[:5] in model.tables[5]
+    assert model.predict("valo kaiku")[0] == "fi" and model.predict("talvivalo")[0] == "fi"
+    assert all(len(table) <= 80 for table in model.tables)
