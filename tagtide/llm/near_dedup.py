@@ -17,7 +17,7 @@ differ. Pairs that could reach the threshold, five standard errors allowed, are
 by the intersection of the full sets. Links make components.
 
 With 24 bands of 5 values a pair at the threshold of 0.85 shares no band with a chance of
-4 in ten million.
+8 in ten million.
 
 Nulls and odd rows: null text is the empty text; texts without words have an empty set,
 are linked with nothing and kept; rows with a null doc_id are not linked, have a null

@@ -56,7 +56,7 @@ def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     rows = mixing.plan(table(spark, sf, "documents"), texts=False)
-    return rows.select("doc_id", "size", "source_size", "target", mixing.taken(F.col("draws")).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", mixing.taken(F.col("draws")).alias("taken"), "draws")
 
 
 def op6_find_secrets(spark: SparkSession, sf: str) -> DataFrame:

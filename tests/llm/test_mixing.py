@@ -132,3 +132,23 @@ def test_empty_table(none):
 def test_only_empty_texts(spark):
     docs = spark.createDataFrame([row(1, None), row(2, " ")], DOCUMENT)
     assert [(r["size"], r.target, r.draws) for r in M.plan(docs).collect()] == [(0, 0.0, [])] * 2
+
+
+def test_the_tree_deals_the_draws_of_the_query(spark, tmp_path, monkeypatch):
+    """The query gives the copies and shards that were drawn; another tree gives other shards."""
+    from tagtide.llm import queries
+
+    rng = random.Random(4)
+    rows = [row(i, " ".join(words(rng, 40)), rng.choice("abc")) for i in range(300)]
+    spark.createDataFrame(rows, DOCUMENT).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(M.plan, "__defaults__", tuple(400 if d == M.BLOCK_WORDS else 4 if d == M.SHARD_BLOCKS else d for d in M.plan.__defaults__))
+
+    def drawn():
+        found = {r.doc_id: r for r in queries.op5_mix_sources(spark, str(tmp_path)).collect()}
+        assert all(r.taken == sum(d.words for d in r.draws) for r in found.values())
+        return {i: r.taken for i, r in found.items()}, {i: sorted(d.shard for d in r.draws) for i, r in found.items()}
+
+    (taken, shards), again = drawn(), drawn()
+    assert (taken, shards) == again and len({s for each in shards.values() for s in each}) > 3
+    monkeypatch.setattr(M.plan, "__defaults__", tuple(7 if d == M.SEED else d for d in M.plan.__defaults__))
+    assert drawn()[1] != shards
