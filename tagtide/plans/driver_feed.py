@@ -85,7 +85,6 @@ def _document() -> Column:
             ),
         ).alias("extended_tweet"),
     )
-    # every seventh count arrives as text
     whole = F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
@@ -94,8 +93,11 @@ def _document() -> Column:
             F.when(F.col("event_type") != "error", repost).alias("retweeted_status"),
         )
     )
+    # every seventh count arrives as text; the document stands once in the plan
+    plain = F.lit('"retweeted_status":{')
     quoted = F.concat(F.lit('"retweeted_status":{"retweet_count":"'), reposts.cast("string"), F.lit('",'))
-    whole = F.when(_each(5, 7) & ~_each(11, 53) & reposts.isNotNull(), F.replace(whole, F.lit('"retweeted_status":{'), quoted)).otherwise(whole)
+    as_text = _each(5, 7) & ~_each(11, 53) & reposts.isNotNull()
+    whole = F.replace(whole, plain, F.when(as_text, quoted).otherwise(plain))
     return F.when(_each(13, 97), MALFORMED).when(_each(7, 89), DELETE_NOTICE).otherwise(whole)
 
 

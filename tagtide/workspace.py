@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set, one in the warehouse, which is shared too."""
+    """The cluster's checkpoint folder; where none is set, one in the warehouse.
+
+    On a cluster that has to be shared as well: a folder of one machine is refused.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
         named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        if not context.master.startswith("local") and named.startswith(("file:", "/")):
+            raise ValueError("spark.checkpoint.dir is unset and the warehouse is a folder of one machine")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
