@@ -138,3 +138,29 @@ def test_one_topic_fails_and_the_others_go_on(spark, feed, tmp_path):
     assert {t: o.rows for t, o in found.items()} == {"bad": 0, "good": 40, "more": 40} == topics.rows()
     assert "lost" in found["bad"].error and found["good"].error is None
     assert topics.running() == []
+
+
+def test_land_job_in_batches(spark, feed, tmp_path):
+    """The jobs land, keep dead letters apart and load the posts of the batches."""
+    import datetime as dt
+
+    from tagtide import catalog
+    from tagtide.config import Settings, TableSettings
+    from tagtide.plans import jobs
+
+    paths = {n: str(tmp_path / n) for n in vars(TableSettings()) if n.endswith(("_path", "_checkpoint"))}
+    names = {n: f"batches_{abs(hash(str(tmp_path)))}.{n}" for n in vars(TableSettings()) if n.endswith(("_table", "_view"))}
+    settings = Settings(tables=TableSettings(**paths, **names, time_zone="UTC", landing_sink="batches", winner_buckets=2))
+    catalog.create_all(spark, settings.tables)
+    try:
+        settings = settings.override({"spark": {"batch_seconds": 1}})
+        query = jobs.land(feeds.as_records(feeds.document_stream(spark, str(feed), 1), "t"), settings)
+        query.processAllAvailable()
+        query.stop()
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        posts_there = batches.landed_posts(spark, settings.tables.landing_path).count()
+        assert 0 < posts_there < 40
+        # documents without the fields of a repost are posts, but no base rows
+        assert jobs.land_to_base(spark, settings, now) == sum(i % 3 > 0 for i in range(40))
+    finally:
+        spark.sql(f"DROP DATABASE {settings.tables.base_table.split('.')[0]} CASCADE")
