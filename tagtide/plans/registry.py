@@ -75,7 +75,7 @@ def base(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exploded(spark: SparkSession, sf: str) -> DataFrame:
-    return explode.explode_posts(base(spark, sf))
+    return explode.explode_posts(base(spark, sf), before_dedup=False)
 
 
 def aggregated(spark: SparkSession, sf: str) -> DataFrame:
