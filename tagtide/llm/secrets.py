@@ -2,10 +2,12 @@
 
 Three fixed kinds of findings always count. Beyond them, bare tokens that look random are
 candidates. The hash of every candidate and of every value found is counted over the whole
-corpus by distinct repositories and distinct owners: a value that many of them hold is a
-copied example, one that few hold is somebody's own and looks live. Live candidates become
-findings of the kind ``live``; so does, whoever holds it, the whole of a random-looking
-token that one of the fixed kinds covers in part.
+corpus by distinct owners and their distinct repositories. A value of few owners, or one of
+whose repositories nearly all belong to one owner, is somebody's own and looks live, however
+often that owner repeats it; any other is a copied example. Live candidates become findings of
+the kind ``live``; so does, whoever holds it, the whole of a random-looking token that one of
+the fixed kinds covers in part. Every finding carries this judgement and its counts, the
+fixed kinds too; candidates that are examples are given beside the findings.
 
 Nulls and odd rows: null text is the empty text, without findings; null owners or
 repositories count as one; repeated rows are scanned each, and add no owner; an empty table
@@ -39,13 +41,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs are maximal, so the least length can stand in the pattern
 KEYWORD = re.compile("passw|secret|token|api", re.ASCII | re.IGNORECASE)
 
-KINDS = ("assign", "access", "hex", "live")
-LIVE = KINDS.index("live")
+#: ``bare`` is a candidate that the corpus shows to be a copied example.
+KINDS = ("assign", "access", "hex", "live", "bare")
+LIVE, BARE = KINDS.index("live"), KINDS.index("bare")
 LEAST = 20
 #: Maximal runs of base64 and base64url signs; ``TOKEN`` cuts them at assignments and full stops.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+(?:\.[A-Za-z0-9+/_-]+)*(?:={1,2}(?![A-Za-z0-9+/_.=-]))?")
 PIECE = re.compile(r"[A-Za-z0-9_+-]+")
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: What stands before the data of an inline image or font.
+INLINE = ";base64,"
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 #: The median length of the words that paths and hosts are made of; those of base64 are shorter.
 LEAST_WORD = 3
@@ -53,9 +59,11 @@ LEAST_BITS = 3.0
 #: More distinct owners or repositories than these make a value a copied example.
 MOST_OWNERS = 2
 MOST_REPOSITORIES = 20
+#: Unless one owner has at least so many hundredths of the repositories that hold it.
+OWN_PERCENT = 90
 
-SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
-CANDIDATES = "array<struct<start:bigint,end:bigint,value:bigint>>"
+FOUND = "array<struct<start:bigint,kind:int,end:bigint,value:bigint>>"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,own:boolean,owners:bigint,repositories:bigint>>"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -70,8 +78,8 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def looks_random(value: str) -> bool:
-    """Letters and digits mixed, and many bits per character."""
-    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+    """Letters and digits mixed, many bits per character, and no UUID, which is a name."""
+    if UUID.fullmatch(value) or not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
         return False
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
     return bits >= LEAST_BITS
@@ -87,9 +95,12 @@ def tokens(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, what it is counted by) of random-looking tokens.
 
     A token with slashes or dots is one credential, counted by its longest piece if that is
-    one by itself; of a path or an address the pieces are looked at.
+    one by itself; of a path or an address the pieces are looked at. The data of inline
+    images and fonts hold none.
     """
     for run in RUN.finditer(text):
+        if text.endswith(INLINE, 0, run.start()):
+            continue
         for m in TOKEN.finditer(text, run.start(), run.end()):
             value = m[0]
             if len(value) < LEAST:
@@ -108,7 +119,7 @@ def tokens(text: str) -> Iterator[tuple[int, int, str]]:
 
 def bare_spans(
     text: str, base: list[tuple[int, int, int, str]]
-) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
+) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Random-looking tokens that touch no base span, and those that hold more than a base value."""
     found, wider, i, reach = [], [], 0, 0
     near: list[tuple[int, int]] = []
@@ -121,7 +132,7 @@ def bare_spans(
         if reach <= start:
             found.append((start, end, value))
         elif any(x[0] < end and (start < x[0] or x[1] < end) for x in near):
-            wider.append((start, end))
+            wider.append((start, end, value))
     return found, wider
 
 
@@ -130,12 +141,10 @@ def _hash(value: str) -> int:
 
 
 def scan(docs: DataFrame, owner: Column, repository: Column, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One pass over the texts: base spans, candidates, and the hashes of base values."""
+    """One pass over the texts: base spans and candidates with the hashes of their values."""
     fields = [
         T.StructField("_row", T.LongType()),
-        T.StructField("_spans", T._parse_datatype_string(SPANS)),
-        T.StructField("_candidates", T._parse_datatype_string(CANDIDATES)),
-        T.StructField("_values", T.ArrayType(T.LongType())),
+        T.StructField("_found", T._parse_datatype_string(FOUND)),
     ]
     # Positions, not names, so that columns of the table may be called anything.
     narrow = docs.select(
@@ -147,9 +156,7 @@ def scan(docs: DataFrame, owner: Column, repository: Column, carry: tuple[str, .
     kept = narrow.schema.fields[1:]
     kinds = [
         pa.int64(),
-        pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])),
-        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.int64())])),
-        pa.list_(pa.int64()),
+        pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("value", pa.int64())])),
     ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,16 +164,14 @@ def scan(docs: DataFrame, owner: Column, repository: Column, carry: tuple[str, .
         for batch in batches:
             for cut in range(0, batch.num_rows, 1024):
                 few = batch.slice(cut, 1024)
-                rows: list[list] = [[], [], [], []]
+                rows: list[list] = [[], []]
                 for text in few.column(0).to_pylist():
                     text = text or ""
                     base = base_spans(text)
                     bare, wider = bare_spans(text, base)
-                    spans = sorted([(s, k, e) for s, k, e, _ in base] + [(s, LIVE, e) for s, e in wider])
+                    found = base + [(s, LIVE, e, v) for s, e, v in wider] + [(s, BARE, e, v) for s, e, v in bare]
                     rows[0].append(row)
-                    rows[1].append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                    rows[2].append([{"start": s, "end": e, "value": _hash(v)} for s, e, v in bare])
-                    rows[3].append(sorted({_hash(v) for *_, v in base}))
+                    rows[1].append([{"start": s, "kind": k, "end": e, "value": _hash(v)} for s, k, e, v in found])
                     row += 1
                 yield pa.RecordBatch.from_arrays(
                     [*few.columns[1:], *(pa.array(x, kind) for x, kind in zip(rows, kinds, strict=True))],
@@ -176,23 +181,22 @@ def scan(docs: DataFrame, owner: Column, repository: Column, carry: tuple[str, .
     return narrow.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
-def ownership(scanned: DataFrame, by_repository: bool = True) -> DataFrame:
-    """Distinct owners and, if wanted, repositories of every value, over the whole corpus.
+def ownership(scanned: DataFrame) -> DataFrame:
+    """value, owners, repositories, most: how many owners hold a value, in how many of their
+    repositories, and in how many of one owner's at most; over the whole corpus.
 
     Rows are first reduced to distinct (value, owner, repository), so a value that a third
     of all documents hold is counted map-side and never meets in one task as such.
     """
     values = scanned.select(
-        F.explode(F.array_union(F.transform("_candidates", lambda c: c["value"]), F.col("_values"))).alias("value"),
+        F.explode(F.array_distinct(F.transform("_found", lambda f: f["value"]))).alias("value"),
         F.coalesce("_owner", F.lit("")).alias("owner"),
         F.coalesce("_repository", F.lit("")).alias("repository"),
     )
-    owners = values.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
-    owners = owners.groupBy("value").agg(F.count(F.lit(1)).alias("owners"))
-    if not by_repository:
-        return owners
-    repositories = values.distinct().groupBy("value").agg(F.count(F.lit(1)).alias("repositories"))
-    return owners.join(repositories, "value")
+    by_owner = values.distinct().groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
+    return by_owner.groupBy("value").agg(
+        F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"), F.max("n").alias("most")
+    )
 
 
 def find(
@@ -203,48 +207,62 @@ def find(
     most_owners: int = MOST_OWNERS,
     most_repositories: int | None = MOST_REPOSITORIES,
 ) -> DataFrame:
-    """``carry`` and ``spans``, an array of (start, kind, end) in order, per document.
+    """``carry``, ``spans`` and ``examples`` per document, two arrays of SPANS in order.
 
-    With ``most_repositories`` None owners alone decide, so no number of copies that one owner
-    has makes a value an example. ``kind`` is a place in ``KINDS``; positions are in code points, ends exclusive.
+    ``spans`` are the findings, ``examples`` the candidates that are none as they are copied.
+    With ``most_repositories`` None no number of copies that one owner has makes a value an
+    example. ``kind`` is a place in ``KINDS``; positions are in code points, ends exclusive;
+    ``own`` tells a value of its owner from a copied one, by ``owners`` and ``repositories``.
     """
     owner = F.col("source") if owner is None else owner
     repository = F.col("doc_id") if repository is None else repository
     scanned = stored(scan(docs, owner, repository, carry), "scanned")
-    bare = scanned.where(F.size("_candidates") > 0).select("_row", F.explode("_candidates").alias("c"))
-    own = F.col("owners") <= most_owners
+    own = (F.col("owners") <= most_owners) | (100 * F.col("most") >= OWN_PERCENT * F.col("repositories"))
     if most_repositories is not None:
         own &= F.col("repositories") <= most_repositories
-    live = stored(ownership(scanned, most_repositories is not None).where(own).select("value"), "live")
-    added = (
-        bare.select("_row", "c.start", "c.end", F.col("c.value").alias("value"))
-        .join(live, "value", "left_semi")
+    judged = stored(ownership(scanned).select("value", own.alias("own"), "owners", "repositories"), "judged")
+    has = F.size("_found") > 0
+    each = scanned.where(has).select("_row", F.inline("_found"))
+    kind = F.when((F.col("kind") == BARE) & F.col("own"), LIVE).otherwise(F.col("kind"))
+    all_ = (
+        each.join(judged, "value")
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("_added"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("start", kind.alias("kind"), "end", "own", "owners", "repositories"))
+            ).alias("_all")
+        )
     )
-    # Documents without candidates, nearly all, pass by.
-    with_ = scanned.where(F.size("_candidates") > 0).join(added, "_row", "left")
-    without = scanned.where(F.size("_candidates") == 0).withColumn("_added", F.lit(None).cast(SPANS))
+    # Documents without findings and candidates, nearly all, pass by.
+    with_ = scanned.where(has).join(all_, "_row")
+    without = scanned.where(~has).withColumn("_all", F.array().cast(SPANS))
     both = with_.select(*without.columns).unionAll(without)
-    none = F.array().cast(SPANS)
-    spans = F.array_sort(F.concat("_spans", F.coalesce("_added", none)))
-    return both.select(*[F.col(f"`{c}`") for c in carry], spans.alias("spans"))
+    return both.select(
+        *[F.col(f"`{c}`") for c in carry],
+        F.filter("_all", lambda s: s["kind"] != BARE).alias("spans"),
+        F.filter("_all", lambda s: s["kind"] == BARE).alias("examples"),
+    )
 
 
-def told(spans: Column) -> Column:
-    """kind:start:end, comma-joined."""
+def told(spans: Column, judged: bool = False) -> Column:
+    """kind:start:end, comma-joined; if asked for with own or copied, owners and repositories."""
     names = F.array(*map(F.lit, KINDS))
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
-        ),
-        ",",
-    )
+
+    def one(s: Column) -> Column:
+        said = [F.get(names, s["kind"]), s["start"], s["end"]]
+        if judged:
+            said += [F.when(s["own"], "own").otherwise("copied"), s["owners"], s["repositories"]]
+        return F.concat_ws(":", *[x.cast("string") for x in said])
+
+    return F.array_join(F.transform(spans, one), ",")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    """Counts, digest and list of the findings per document."""
+    """Counts, digest and list of the findings per document, and what their owners say of them.
+
+    ``n_copied`` are findings of the fixed kinds whose value is a copied example, ``n_examples``
+    bare tokens that are; ``judged`` lists findings and examples with judgement and counts.
+    """
     found = find(docs, carry=("doc_id",), **options)
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"] < 3)
@@ -256,7 +274,10 @@ def report(docs: DataFrame, **options) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(told(base), 256).alias("base_sha256"),
         told(spans).alias("spans"),
-        count(3).alias("n_live"),
+        count(LIVE).alias("n_live"),
+        F.size(F.filter(base, lambda s: ~s["own"])).cast("long").alias("n_copied"),
+        F.size("examples").cast("long").alias("n_examples"),
+        told(F.array_sort(F.concat(spans, "examples")), judged=True).alias("judged"),
     )
 
 

@@ -129,3 +129,52 @@ def test_copies_of_one_owner_stay_live(spark, tmp_path):
     assert found == {r[0]: "live:5:25" if r[0] < 100 else "" for r in rows}
     clean = {r.text for r in corpus_pipeline.without_secrets(spark, docs, "").collect()}
     assert clean == {"copy [REDACTED] of mine", f"as in {EXAMPLE} of the manual"}
+
+
+def by_hand(rows):
+    """Owners, repositories and judgement of every value of rows of (doc_id, text, source)."""
+    held = {}
+    for i, text, source in rows:
+        base = S.base_spans(text)
+        bare, wider = S.bare_spans(text, base)
+        for value in {x[3] for x in base} | {x[2] for x in bare + wider}:
+            held.setdefault(value, {}).setdefault(source, set()).add(i)
+    judged = {}
+    for value, owners in held.items():
+        counts = [len(x) for x in owners.values()]
+        own = len(counts) <= S.MOST_OWNERS or max(counts) >= S.OWN_PERCENT / 100 * sum(counts)
+        judged[value] = ("own" if own else "copied", len(counts), sum(counts))
+    return judged
+
+
+def test_every_value_is_judged_by_its_owners_and_repositories(spark):
+    """Copied from place to place, kept by one owner, and leaked by one to a few others."""
+    leaked, ours = "Lk8Pq2Rs6Tu0Vw4Xy9Za", "Ow3Er7Ty1Ui5Op9As2Df"
+    rows = [(i, f"set password={EXAMPLE} and {LIVE}", f"s{i % 5}") for i in range(20)]
+    rows += [(100 + i, f"in use: {leaked}", "a") for i in range(60)]
+    rows += [(200 + i, f"seen {leaked}", f"s{i}") for i in range(3)]
+    rows += [(300, f"token = {ours}, " + "0123456789abcdef" * 2, "b"), (301, f"{ours} {ours}", "b")]
+    judged = by_hand(rows)
+    docs = spark.createDataFrame([row(i, t, s) for i, t, s in rows], DOCUMENT).repartition(3)
+    found = {r.doc_id: r for r in S.report(docs, most_repositories=None).collect()}
+    for i, text, _ in rows:
+        base = S.base_spans(text)
+        bare, _ = S.bare_spans(text, base)
+        wanted = [(s, S.KINDS[k], e, judged[v]) for s, k, e, v in base]
+        wanted += [(s, "live" if judged[v][0] == "own" else "bare", e, judged[v]) for s, e, v in bare]
+        said = ",".join(f"{k}:{s}:{e}:{':'.join(map(str, j))}" for s, k, e, j in sorted(wanted))
+        assert found[i].judged == said
+        assert found[i].n_copied == sum(k in S.KINDS[:3] and j[0] == "copied" for _, k, _, j in wanted)
+        assert found[i].n_examples == sum(k == "bare" for _, k, _, _ in wanted)
+    assert found[0].n_copied == 1 and found[0].n_live == 0 and found[100].n_live == found[200].n_live == 1
+    # The repositories decide: with as many documents of each owner the leaked value is an example.
+    few = docs.where("doc_id < 100 or doc_id >= 200 or doc_id = 100")
+    assert {r.n_live for r in S.report(few, most_repositories=None).where("doc_id in (100, 200)").collect()} == {0}
+
+
+def test_names_and_inline_data_are_no_candidates(spark):
+    picture = "iVBORw0KGgoAAAANSUhEUgAAAAUAAAAFCAYAAACNbyblAAAAHElEQVQI12P4"
+    text = f"id 3f2504e0-4f89-11d3-9a0c-0305e82c3301 <img src=data:image/png;base64,{picture}> use {LIVE}"
+    found = S.report(spark.createDataFrame([row(1, text, "a")], DOCUMENT)).first()
+    start = text.index(LIVE)
+    assert found.spans == f"live:{start}:{start + len(LIVE)}"
