@@ -138,10 +138,9 @@ def tokens(text: str) -> list[str]:
 TEMPLATES = [(i, ngrams(tokens(t))) for i, family in enumerate(NOTICES) for t in NOTICES[family]]
 
 
-#: The first word of SPDX lines, the words between the names in them, and how long they may be.
+#: The first word of SPDX lines, and the words between the names in them.
 TAG = SPDX.rstrip(":").lower()
 EXPRESSION = frozenset("and or with".split())
-MOST_EXPRESSION = 40
 
 
 @dataclass
@@ -160,8 +159,18 @@ class Place:
         self.reach = len(self.words) + 2 + len(self.words) // 5
 
         self.spdx = self.words[0] == TAG
-        if self.spdx:  # expressions name several
-            self.reach = MOST_EXPRESSION
+
+    def named(self, words: list[str], low: int) -> int:
+        """The word after this name in the expression that follows a tag at ``low``, or 0.
+
+        An expression names several, of any number, with one word between two.
+        """
+        for at in range(low + 1, len(words), 2):
+            if words[at] == self.words[1]:
+                return at + 1
+            if at + 1 >= len(words) or words[at + 1] not in EXPRESSION:
+                break
+        return 0
 
     def share(self, words: list[str]) -> float:
         return len(ngrams(words) & self.grams) / len(self.grams)
@@ -172,16 +181,15 @@ class Place:
         for at, low in enumerate(hits):
             if low < after:
                 continue
+            if self.spdx:
+                if high := self.named(words, low):
+                    yield low, high
+                continue
             # the share of the pairs bounds that of all n-grams well enough to pass most places by
             near = hits[at : bisect_left(hits, low + self.reach - 1, lo=at)]
-            if not self.spdx and 2 * len({(words[i], words[i + 1]) for i in near}) < len(self.pairs):
-                continue
-            low, high = low if self.spdx else max(after, low - 1), min(len(words), low + self.reach)
-            if self.spdx and self.words[1] in (rest := words[low + 1 : high]):
-                names = rest[: rest.index(self.words[1]) + 1]
-                if all(w in EXPRESSION or i % 2 == 0 for i, w in enumerate(names)):
-                    yield low, low + 1 + len(names)
+            if 2 * len({(words[i], words[i + 1]) for i in near}) < len(self.pairs):
                 continue
+            low, high = max(after, low - 1), min(len(words), low + self.reach)
             best = self.share(words[low:high])
             if best < CONFIRMED:
                 continue

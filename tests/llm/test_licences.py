@@ -110,3 +110,12 @@ def test_several_families_and_versions(model, text, families):
     for around in ("", " ".join(words(rng, 12))):
         spans, *_ = L.scan_text(f"{around} {text} {around}", model)
         assert {L.FAMILIES[f] for *_, f in spans} == families
+
+
+def test_an_expression_of_any_length_is_read_whole(model):
+    names = [f"LicenseRef-{i}" for i in range(60)]
+    text = "SPDX-License-Identifier: " + " OR ".join(names + ["MIT"]) + " AND Apache-2.0"
+    assert {L.FAMILIES[f] for *_, f in L.scan_text(text, model)[0]} == {"MIT", "Apache-2.0"}
+    # The expression ends where two names meet.
+    cut = "SPDX-License-Identifier: " + " OR ".join(names) + " is not MIT OR Apache-2.0"
+    assert L.scan_text(cut, model)[0] == []
