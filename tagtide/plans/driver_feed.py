@@ -24,8 +24,10 @@ MOODS = [
 ]
 LANDED_DAYS_AGO = 15
 POSTED_DAYS_AGO = 16
-#: Files of a feed of many micro-batches, and the share of its events after which one is stopped.
-FILES, COLLECTED = 8, 20
+#: Files of a feed of many micro-batches.
+FILES = 8
+#: Bytes of texts that a task puts into documents: what it writes is sorted by day in memory.
+TASK_BYTES = 128 << 20
 
 
 def _each(remainder: int, of: int) -> Column:

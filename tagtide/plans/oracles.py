@@ -7,7 +7,7 @@ Nothing here reads JSON: the post fields come straight from ``events`` and
 from __future__ import annotations
 
 from tagtide.functions.sentiment import NEGATIVE, POSITIVE
-from tagtide.plans.driver_feed import COLLECTED, DELETE_NOTICE, FILES, LANDED_DAYS_AGO, MALFORMED, MOODS, POSTED_DAYS_AGO
+from tagtide.plans.driver_feed import DELETE_NOTICE, LANDED_DAYS_AGO, MALFORMED, MOODS, POSTED_DAYS_AGO
 
 
 def _text(value: str) -> str:
@@ -326,16 +326,7 @@ def oracle_sql() -> dict[str, str]:
             f"{_day('landed')} FROM feed"
         ),
         "stream_filter": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
-        "stream_collect": _feed(
-            f"""SELECT event_id FROM (
-              SELECT event_id, count(*) OVER (ORDER BY file RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
-              FROM (
-                SELECT event_id, (event_id - low) // ((high - low) // {FILES} + 1) AS file
-                FROM feed, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
-                WHERE {_ACCEPTED}
-              )
-            ) WHERE earlier < (SELECT count(*) // {COLLECTED} FROM events)"""
-        ),
+        "stream_collect": _feed(f"SELECT event_id FROM feed WHERE {_ACCEPTED}"),
         "stream_compacted": _feed(_LANDED.format(day=_day("landed"), test=f"NOT ({_BROKEN})")),
         "dead_letters": _feed(
             "SELECT CASE WHEN event_id % 97 = 13 THEN 'malformed' ELSE 'notice' END AS kind, 'reposts' AS topic, "

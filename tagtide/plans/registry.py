@@ -21,7 +21,7 @@ from tagtide.operators import aggregate, dedup, explode, filters, ranking, sente
 from tagtide.operators.base import to_base
 from tagtide.plans import driver_feed as source
 from tagtide.plans import job_queries
-from tagtide.plans.driver_feed import COLLECTED, FILES
+from tagtide.plans.driver_feed import FILES
 from tagtide.plans.jobs import staging_status, updated_on
 from tagtide.schemas import BASE, LANDING
 from tagtide.sinks import tables as sink
@@ -442,8 +442,8 @@ def stream_collect(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "collected")
     events = spark.read.parquet(f"{sf}/events.parquet").count()
     stream = accepted_stream(_split(spark, sf).select("value"), FEED)
-    query = batches.start_collecting(stream, path, new_path(spark, "collected-offsets"), events // COLLECTED, 0)
-    run_until_collected(query, events // COLLECTED)
+    query = batches.start_collecting(stream, path, new_path(spark, "collected-offsets"), accepted, 0)
+    run_until_collected(query, accepted)
     rows = batches.collected(spark, path).read()
     return rows.select(posts.json_path("value", "$.id").cast("long").alias("event_id"))
 
