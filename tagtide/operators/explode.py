@@ -23,6 +23,16 @@ def scored_rows(base: DataFrame, score: Callable[[Column], Column] = sentiment.l
     return marked.withColumn("sentiment", score(F.col("tweet_txt"))).drop("tweet_txt")
 
 
+def scored_winners(base: DataFrame, score: Callable[[Column], Column] = sentiment.lexicon_score) -> DataFrame:
+    """``latest_posts(scored_rows(base))``, but only the rows that stay are scored.
+
+    The text goes along as the last to compare by, behind its hash, so the same rows stay.
+    """
+    marked = base.select(*[name for name in base.columns if name != "tweet_txt"], F.xxhash64("tweet_txt").alias("_text"), "tweet_txt")
+    latest = dedup.latest_posts(marked)
+    return latest.withColumn("sentiment", score(F.col("tweet_txt"))).drop("tweet_txt")
+
+
 def score_posts(
     base: DataFrame,
     score: Callable[[Column], Column] = sentiment.lexicon_score,

@@ -194,7 +194,7 @@ def dedup_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stage(spark: SparkSession, sf: str, settings: Settings) -> DataFrame:
     base = jobs.to_base(_landed(spark, sf))
-    fresh = aggregate.aggregate_hashtags(explode_posts(base))
+    fresh = aggregate.aggregate_hashtags(explode_posts(base, before_dedup=False))
     rows = aggregate.fresh_staging(fresh, "UTC", NOW)
     sink.replace_table(rows, settings.tables.staging_table, settings.tables.staging_path)
     return spark.table(settings.tables.staging_table)

@@ -131,7 +131,7 @@ def base_to_analytic(
     settings: Settings,
     now: dt.datetime | None = None,
     score: Callable[[Column], Column] = sentiment.lexicon_score,
-    score_before_dedup: bool = True,
+    score_before_dedup: bool = False,
     merge_mode: str = "reference",
     scan_mode: str = "calendar",
     step: Callable[[str], None] = lambda name: None,
@@ -145,7 +145,8 @@ def base_to_analytic(
 
     ``merge_mode``: ``reference`` and ``replace`` as in ``merge_staging``. ``delta``
     counts each post once, however often runs overlap on a day: see ``operators.ledger``.
-    ``step`` is called with a name before every write.
+    ``step`` is called with a name before every write. Posts are scored after their
+    deduplication; ``score_before_dedup`` suits bases that hold few rows of a post.
     """
     chosen = settings.tables
     zone = chosen.time_zone
@@ -163,7 +164,8 @@ def base_to_analytic(
         if before and (last is None or "ledger" not in last):
             raise ValueError("staging holds posts that no ledger knows; delta starts with an empty staging or a new day")
         runs = last["ledger"] if before else []
-        after, facts = _stage_delta(spark, chosen, explode.scored_rows(base, score), runs, now, group)
+        rows = ledger.winners(explode.scored_rows(base, score)) if score_before_dedup else explode.scored_winners(base, score)
+        after, facts = _stage_delta(spark, chosen, rows, runs, now, group)
     else:
         facts = {}
         after = _stage(spark, chosen, explode_posts(base, score, score_before_dedup), same_day, merge_mode, now, group)
@@ -205,11 +207,14 @@ def _stage_delta(
     now: dt.datetime | None,
     group: TableGroup,
 ) -> tuple[int, dict[str, list[str]]]:
-    """The same from the ledger, after the posts that changed went out and in again."""
+    """The same from the ledger, after the posts that changed went out and in again.
+
+    ``rows``: the scored row that counts for each post.
+    """
     known = bool(runs)
     history = spark.table(chosen.winners_table).where(F.col("run").isin(runs))
     current = ledger.winners(history)
-    changed = stored(ledger.changes(ledger.winners(rows), current, chosen.winner_buckets), "changed")
+    changed = stored(ledger.changes(rows, current, chosen.winner_buckets), "changed")
     fresh = changed.select("new.*")
     if len(runs) >= MOST_RUNS:
         fresh, runs = ledger.winners(history.select(*fresh.columns).unionByName(fresh)), []
