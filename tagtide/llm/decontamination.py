@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 from tagtide.workspace import Scratch, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Between words of a text whose A-Z are lower-cased.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Beyond A-Z, signs that have a lower case, or may have one in a newer Unicode.
+UPPER_SIGN = r"[\p{javaUpperCase}\p{javaTitleCase}\p{Cn}&&[^\x00-\x7F]]"
 WINDOW, SHINGLE = 10, 5
 #: Size of the windows up to which they are broadcast.
 MOST_BYTES = 64_000_000
@@ -39,8 +42,14 @@ KEY = ["k1", "k2"]
 
 
 def words(text: str) -> Column:
-    lowered = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, UPPER.lower())
-    return F.regexp_extract_all(lowered, F.lit(WORD), 0)
+    """The words of a text in lower-case A-Z.
+
+    ``lower`` is much faster than ``translate`` and the same where no other sign has a
+    lower case; splitting at the gaps is faster than finding the words.
+    """
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    lowered = F.when(whole.rlike(UPPER_SIGN), F.translate(whole, UPPER, UPPER.lower())).otherwise(F.lower(whole))
+    return F.array_remove(F.split(lowered, GAP), "")
 
 
 def _key() -> list[Column]:

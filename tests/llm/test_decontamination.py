@@ -130,3 +130,12 @@ def test_native(spark, odd):
     prefix = D.window_tokens(items).join(items.withColumnRenamed("words", "window"), "id")
     for small in (True, False):
         assert not re.search("Python|Arrow|Pandas", plan_of(D._hit_words(D._matches(odd, prefix, [2], small))))
+
+
+def test_words_of_every_sign(spark):
+    signs = [chr(i) for i in (*range(1, 0x3000), 0xA7CB, 0xA7DA, 0x10D50, 0x1F600)]
+    rows = spark.createDataFrame([(f"A{c}b Q{c}",) for c in signs], "text string")
+    lowered = F.translate("text", D.UPPER, D.UPPER.lower())
+    known = F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), 0)
+    assert rows.where(~known.eqNullSafe(D.words("text"))).count() == 0
+    assert "regexp_extract_all" not in plan_of(rows.select(D.words("text")))
