@@ -1,7 +1,8 @@
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from tagtide.functions.text import clean_tags, clean_text, flatten_distinct
+from tagtide.functions.text import LEADING_URL, NON_WORD, clean_tags, clean_text, flatten_distinct
 
 TEXTS = {
     "plain words": "plain words",
@@ -33,6 +34,18 @@ def test_clean_text_keeps_null(spark):
     assert df.select(clean_text(F.col("t"))).first()[0] is None
 
 
+def test_texts_are_cleaned_as_by_the_patterns_without_running_them_per_character(spark):
+    parts = ["http://a.b/c?d=é", "ftp://x", "file://", " ", "\n", "\r", "\u0085", "\u2028", "\u00a0", "\x00", "\x1f", "\x0c", "_", "http", "ähttp", "x", "é", "日", "\U0001f389", "."]
+    texts = [a + b + c for a in parts for b in parts for c in parts]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    df = df.unionAll(spark.sql("SELECT CAST(X'41FF42C368747470E22E0A43' AS STRING)"))  # no UTF-8
+    words = F.regexp_replace(F.regexp_replace("t", LEADING_URL, ""), NON_WORD, "")
+    plain = F.regexp_replace(F.regexp_replace(words, r"http(?<!\whttp).*", ""), "\n", "")
+    found = df.select(clean_text(F.col("t")).alias("ours"), plain.alias("plain"))
+    assert found.where("NOT ours <=> plain").collect() == []
+    assert "regexp_replace" not in plan_of(df.select(clean_text(F.col("t"))))
+
+
 TAGS = [
     (["One", "Two", "One"], ["One", "Two"]),
     (["case", "Case"], ["case", "Case"]),
