@@ -30,6 +30,8 @@ from tagtide.workspace import Scratch
 
 CLASSES = sentiment.TOP_CLASS + 1
 WORD = re.compile(r"[a-z0-9_]+")
+#: Bytes of UTF-8 to those of the words of ``WORD``, apart by blanks.
+_APART = bytes(c if WORD.fullmatch(chr(c)) else 32 for c in range(256))
 #: Words of the model, the most frequent first, and in how many different rows one has to be.
 MOST_WORDS, LEAST_ROWS = 50_000, 2
 REGULAR, L1_SHARE, ROUNDS = 1e-4, 0.5, 100
@@ -41,11 +43,15 @@ class SentenceModel:
     bias: np.ndarray
 
     def classify(self, sentences: list[str]) -> list[int]:
-        none = np.zeros(CLASSES)
+        # a look-up a word, and one sum of rows a sentence
+        places = {word.encode(): i for i, word in enumerate(self.weights)}
+        rows = np.array(list(self.weights.values())).reshape(-1, CLASSES)
         found = []
         for sentence in sentences:
-            known = (self.weights.get(word, none) for word in WORD.findall(sentence.lower()))
-            found.append(int((self.bias + sum(known, none)).argmax()))
+            words = sentence.lower().encode(errors="replace").translate(_APART).split()
+            known = [places[word] for word in words if word in places]
+            total = self.bias + rows[known].sum(axis=0) if known else self.bias
+            found.append(int(total.argmax()))
         return found
 
     def save(self, spark: SparkSession, path: str) -> None:
