@@ -22,6 +22,7 @@ from tagtide.schemas import (
     WINNERS,
     columns_ddl,
 )
+from tagtide.sinks.tables import TEXT_OPTIONS
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -34,8 +35,9 @@ def create_table(
 ) -> None:
     """An external ORC table at ``path``."""
     by = f" PARTITIONED BY ({', '.join(PARTITIONS)})" if partitioned else ""
+    options = ", ".join(f"'{key}' '{value}'" for key, value in TEXT_OPTIONS.items())
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) USING orc{by} LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) USING orc OPTIONS ({options}){by} LOCATION '{path}'"
     )
 
 
