@@ -26,7 +26,7 @@ from tagtide.sources import tables as source
 from tagtide.streaming.batches import landed_posts, start_landing_batches
 from tagtide.streaming.landing import accepted_stream, start_landing, start_text
 from tagtide.streaming.supervise import run_until_collected, run_until_stopped
-from tagtide.workspace import stored
+from tagtide.workspace import drop_shuffles, stored
 
 
 def ingest(feed: DataFrame, settings: Settings, checkpoint: str | None = None) -> StreamingQuery | None:
@@ -83,6 +83,10 @@ def land_until_stopped(records: DataFrame, settings: Settings) -> int:
     )
 
 
+#: Bytes of landing files whose days a repeated load replaces at a time.
+LOAD_BYTES = 256 << 20
+
+
 def land_to_base(
     spark: SparkSession,
     settings: Settings,
@@ -93,16 +97,19 @@ def land_to_base(
     """Base rows of recent landing partitions; gives their number.
 
     ``load="append"`` adds them, so a second run adds them again.
-    ``load="replace"`` replaces the partitions it reads and may be repeated.
+    ``load="replace"`` replaces the partitions it reads and may be repeated: some days at
+    a time, as old and new rows of a day are both there until the new ones are complete.
     """
     chosen = settings.tables
+    drop_shuffles(spark)
     day = dates.since_date(chosen.time_zone, chosen.days_back, as_of)
     if chosen.landing_sink == "batches":
         landing = scan_since(landed_posts(spark, chosen.landing_path), day, mode)
     else:
         landing = source.orc_path_since(spark, chosen.landing_path, LANDING, day, mode)
     if load == "replace":
-        return sink.overwrite_table_partitions(to_base(landing), chosen.base_table)
+        groups = sink.day_groups(landing, LOAD_BYTES)
+        return sum(sink.overwrite_table_partitions(to_base(landing.where(days)), chosen.base_table) for days in groups)
     if load != "append":
         raise ValueError(f"unknown load: {load}")
     return sink.append_table(to_base(landing), chosen.base_table, chosen.base_path)
@@ -150,6 +157,7 @@ def base_to_analytic(
     """
     chosen = settings.tables
     zone = chosen.time_zone
+    drop_shuffles(spark)
     group = TableGroup(spark, chosen.staging_commits_path, step)
     last = group.recover()
     run = (now or dt.datetime.now(ZoneInfo(zone))).isoformat()
@@ -258,7 +266,7 @@ def of_days(table: DataFrame, rows: DataFrame) -> DataFrame:
     The days come to the driver: as many as the rows were recorded on.
     """
     found = rows.select(*PARTITIONS).distinct().collect()
-    days = [(F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d) for y, m, d in found]
+    days = [sink.of_day(*day) for day in found]
     return table.where(reduce(lambda a, b: a | b, days, F.lit(False)))
 
 
