@@ -21,13 +21,15 @@ from tagtide.operators import aggregate, ledger, ranking
 from tagtide.operators.explode import explode_posts
 from tagtide.plans import driver_feed as source
 from tagtide.plans import jobs
+from tagtide.schemas import BASE
 from tagtide.sinks import tables as sink
 from tagtide.sources.feeds import to_landing
-from tagtide.workspace import new_path, stored
+from tagtide.workspace import moved, new_path, stored
 
 NOW = dt.datetime(2024, 1, 15, 12, 30)
 #: Reaches behind every row of the feed.
 ALL_DAYS = 10_000
+TURN = dt.date(2024, 1, 1)
 
 
 @contextmanager
@@ -57,30 +59,46 @@ def _days_back(settings: Settings, days: int) -> Settings:
     return replace(settings, tables=replace(settings.tables, days_back=days))
 
 
+def _expire(spark: SparkSession, settings: Settings, day: dt.date = dt.date.max) -> None:
+    """Landing days from before ``day`` go: they are in base, and no later load reads them."""
+    sink.drop_days_before(spark, settings.tables.landing_path, day)
+
+
 def _two_runs(spark: SparkSession, sf: str, settings: Settings, first: dt.datetime) -> None:
     """What landed before the turn of the year is staged at ``first``, the rest at ``NOW``."""
     landed = _landed(spark, sf)
-    for year, now, days in ((2023, first, ALL_DAYS), (2024, NOW, (NOW.date() - dt.date(2024, 1, 1)).days)):
+    for year, now, days in ((2023, first, ALL_DAYS), (2024, NOW, (NOW.date() - TURN).days)):
         recent = _days_back(settings, days)
         sink.append_path(landed.where(F.col("year") == year), settings.tables.landing_path)
         jobs.land_to_base(spark, recent, now, load="replace")
+        _expire(spark, settings)
         jobs.base_to_analytic(spark, recent, now)
 
 
+def _both_parts(spark: SparkSession, sf: str, settings: Settings) -> Iterator[None]:
+    """All rows, landed up to the turn of the year and then the rest; landing keeps a part until the next."""
+    landed = _landed(spark, sf)
+    late = F.coalesce(F.make_date("year", "month", "day") >= F.lit(TURN), F.lit(False))
+    for part in (~late, late):
+        sink.append_path(landed.where(part), settings.tables.landing_path)
+        yield
+        _expire(spark, settings)
+
+
 def job_land_to_base(spark: SparkSession, sf: str) -> DataFrame:
     with run_tables(spark) as settings:
-        sink.append_path(_landed(spark, sf), settings.tables.landing_path)
-        jobs.land_to_base(spark, settings, NOW)
-        return stored(spark.table(settings.tables.base_table), "base")
+        for _ in _both_parts(spark, sf, settings):
+            jobs.land_to_base(spark, settings, NOW)
+        return moved(spark, settings.tables.base_path, BASE, "base")
 
 
 def load_twice(spark: SparkSession, sf: str) -> DataFrame:
-    """A repeated load leaves the same rows."""
+    """A repeated load leaves the same rows, and those of other days."""
     with run_tables(spark) as settings:
-        sink.append_path(_landed(spark, sf), settings.tables.landing_path)
-        for _ in range(2):
-            jobs.land_to_base(spark, settings, NOW, load="replace")
-        return stored(spark.table(settings.tables.base_table), "base")
+        for _ in _both_parts(spark, sf, settings):
+            for _ in range(2):
+                jobs.land_to_base(spark, settings, NOW, load="replace")
+        return moved(spark, settings.tables.base_path, BASE, "base")
 
 
 def job_same_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,10 +138,12 @@ def _rerun(spark: SparkSession, sf: str, settings: Settings) -> None:
     first = NOW - dt.timedelta(days=1)
     sink.append_path(landed.where("year = 2023"), settings.tables.landing_path)
     jobs.land_to_base(spark, settings, first, load="replace")
+    _expire(spark, settings)
     jobs.base_to_analytic(spark, settings, first)
-    recent = _days_back(settings, (NOW.date() - dt.date(2024, 1, 1)).days)
+    recent = _days_back(settings, (NOW.date() - TURN).days)
     sink.append_path(landed.where("year = 2024"), settings.tables.landing_path)
     jobs.land_to_base(spark, recent, NOW, load="replace")
+    _expire(spark, settings)
     writes = 0
     while True:
         left = writes
@@ -161,13 +181,16 @@ def _overlapping(spark: SparkSession, sf: str, settings: Settings) -> None:
     """Three runs on one day whose posts overlap, each counted once."""
     landed = _landed(spark, sf)
     since = None
-    for hour, (start, day) in enumerate(((None, "2023-12-27"), ("2023-12-20", "2024-01-05"), ("2023-12-30", "2024-12-31"))):
+    runs = ((None, "2023-12-27"), ("2023-12-20", "2024-01-05"), ("2023-12-30", "2024-12-31"))
+    for hour, (start, day) in enumerate(runs):
         until = F.make_date("year", "month", "day") <= F.lit(day).cast("date")
         part = landed.where(until if since is None else until & (F.make_date("year", "month", "day") > F.lit(since).cast("date")))
         sink.append_path(part, settings.tables.landing_path)
         back = ALL_DAYS if start is None else (NOW.date() - dt.date.fromisoformat(start)).days
         now = NOW - dt.timedelta(hours=2 - hour)
         jobs.land_to_base(spark, _days_back(settings, back), now, load="replace")
+        following = [dt.date.fromisoformat(later) for later, _ in runs[hour + 1 :]]
+        _expire(spark, settings, min(following, default=dt.date.max))
         jobs.base_to_analytic(spark, _days_back(settings, back), now, merge_mode="delta")
         since = day
 
